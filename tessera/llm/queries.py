@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, mixing
+from . import decontaminate, exact_dedup, minhash, mixing, tokens
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,17 +17,27 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"), max_epochs=4.0, seed=17)
 
 
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.write_tokens(_read(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_read(spark, sf_dir, "documents"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(_read(spark, sf_dir, "documents"), k=3, perms=160, bands=40, b=4, threshold=0.55)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_spans(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), k=8, min_words=13)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
+    "op3_token_output": op3_token_output,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
