@@ -212,3 +212,26 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     if model is None:
         return source.select("doc_id", F.lit(None).cast("string").alias("language"), F.lit(None).cast("double").alias("probability"), F.lit(None).cast("double").alias("share"), F.lit(True).alias("accepted"))
     return source.mapInArrow(_apply(docs.sparkSession.sparkContext.broadcast(model), least, names), schema)
+
+
+def accepted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model: LanguageModel | None = None, per_language: int = 300, least: float = 0.3) -> DataFrame:
+    """The rows of docs that :func:`identify` accepts, with all columns; nothing is joined or shuffled.
+
+    Nulls, empty texts and a missing model are handled as there.
+    """
+    if model is None:
+        model = fit(training_rows(docs, per_language, lang_col=lang_col, text_col=text_col, id_col=id_col))
+    if model is None:
+        return docs
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _apply(held, least, ["doc_id", "language", "probability", "share", "accepted"])
+        for batch in batches:
+            if batch.num_rows:
+                pair = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(at)], ["doc_id", "t"])
+                yield batch.filter(pa.concat_arrays([b.column(4) for b in judge(iter([pair]))]))
+
+    return docs.mapInArrow(keep, docs.schema)
+
