@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, mixing
+from tessera.llm import decontaminate, langid, minhash, mixing, tokens
 from tessera.llm.common import fresh, shared_dir
 
 
@@ -17,6 +17,17 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids.select(F.col("doc_id").alias(k)).distinct(), F.col("doc_id") == F.col(k), "left_anti")
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no language that the network knows go."""
+    return langid.accepted_documents(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least id stays; rows that repeat an id share its fate."""
+    groups = minhash.near_groups(docs, k=3, perms=160, bands=40, b=4, threshold=0.55)
+    return without(docs, groups.where("is_duplicate"))
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share 13 successive words or more with a benchmark item go."""
     return without(docs, decontaminate.contaminated_spans(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
@@ -27,8 +38,19 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.mix(docs, max_epochs=4.0, seed=17, epoch_col=None)
 
 
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in flat files, and where each document's are."""
+    return tokens.write_tokens(docs)
+
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = [("decontamination", decontamination), ("source_mixing", source_mixing)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("source_mixing", source_mixing),
+    ("token_output", token_output),
+]
 
 #: A trained network, signatures and token ids can't be written in SQL; tests compare the stages with brute force.
 ORACLE_SQL: str | None = None
