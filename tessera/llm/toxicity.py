@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import hash_id
-from .textkernel import kgrams, slices, word_hashes
+from .textkernel import kgrams, mix, slices, span_hash, text_bytes, word_hashes, words
 
 #: Terms that name groups of people, by kind; a term is swapped with the others of its kind and with a neutral one.
 IDENTITY_TERMS: dict[str, tuple[str, ...]] = {
@@ -24,8 +24,12 @@ IDENTITY_TERMS: dict[str, tuple[str, ...]] = {
     "age": ("old", "young", "elderly", "teenage"),
 }
 NEUTRAL = ("local", "person", "people")
-#: Feature numbers of words: their hash's low bits.
+#: Feature numbers of words and stems: their hash's low bits.
 DIMS = 1 << 20
+#: Bytes of a stem.
+STEM = 6
+#: A word or stem has a feature for one occurrence in a text, one for two, and so on up to so many.
+TIMES = 3
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
 
@@ -37,26 +41,44 @@ class ToxicityModel:
 
     def scores(self, column: pa.Array) -> np.ndarray:
         """Log odds of lower-case texts."""
-        wh, wo = word_hashes(column)
-        n = len(wo) - 1
-        f = (wh & np.uint64(DIMS - 1)).astype(np.int64)
-        at = np.flatnonzero(self.weights[f])
-        pairs = np.unique((np.searchsorted(wo, at, side="right") - 1) * DIMS + f[at])  # a word counts once a text
-        return self.bias + np.bincount(pairs // DIMS, self.weights[pairs % DIMS], n)
+        doc, f, n = word_features(column)
+        at = np.flatnonzero(self.weights.reshape(TIMES, DIMS).any(axis=0)[f])
+        doc, f = times(doc[at], f[at])
+        return self.bias + np.bincount(doc, self.weights[f], n)
+
+
+def times(doc: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of each text, once each: that a word or stem occurs, that it does so twice, and ``TIMES`` times."""
+    pairs, n = np.unique(doc * DIMS + f, return_counts=True)
+    found = [pairs[n > i] for i in range(TIMES)]
+    return np.concatenate(found) // DIMS, np.concatenate([p % DIMS + i * DIMS for i, p in enumerate(found)])
+
+
+def word_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
+    """Document and number of every feature: each word, and the first ``STEM`` bytes of a longer one; and the count of texts."""
+    data, off = text_bytes(column)
+    start, end, wo = words(data, off)
+    doc = np.repeat(np.arange(len(off) - 1), np.diff(wo))
+    if not len(start):
+        return doc, doc, len(off) - 1
+    long = np.flatnonzero(end - start > STEM)
+    stems = mix(span_hash(data, start[long], start[long] + STEM) + np.uint64(1))
+    f = np.concatenate([span_hash(data, start, end), stems]) & np.uint64(DIMS - 1)
+    return np.concatenate([doc, doc[long]]), f.astype(np.int64), len(off) - 1
 
 
 def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct features of each text, with offsets."""
-    wh, wo = word_hashes(pa.array(texts, pa.large_string()))
-    doc = np.repeat(np.arange(len(texts)), np.diff(wo))
-    pairs = np.unique(doc * DIMS + (wh & np.uint64(DIMS - 1)).astype(np.int64))
-    return pairs % DIMS, np.searchsorted(pairs // DIMS, np.arange(len(texts) + 1))
+    doc, f, n = word_features(pa.array(texts, pa.large_string()))
+    doc, f = times(doc, f)
+    order = np.argsort(doc, kind="stable")
+    return f[order], np.searchsorted(doc[order], np.arange(n + 1))
 
 
-def distinct_texts(texts: list[str], k: int = 5, samples: int = 4) -> np.ndarray:
-    """Positions of the texts that share none of a few least word 5-gram hashes with one before.
+def distinct_texts(texts: list[str], k: int = 3, samples: int = 24, most: int = 3) -> np.ndarray:
+    """Positions of the texts that share at most ``most`` of their least word 3-gram hashes with the texts before.
 
-    Copies of one labelled text would make its chance words look like evidence.
+    Copies of one labelled text would make its chance words look like evidence. A text of fewer than k words stays.
     """
     wh, wo = word_hashes(pa.array(texts, pa.large_string()))
     h, _, ko = kgrams(wh, wo, k)
@@ -64,8 +86,8 @@ def distinct_texts(texts: list[str], k: int = 5, samples: int = 4) -> np.ndarray
     keep = []
     for i in range(len(texts)):
         own = h[ko[i] : ko[i + 1]]
-        marks = {(j, int((own * np.uint64(2 * j + 1) ^ own >> np.uint64(7 * j + 1)).min())) for j in range(samples)} if len(own) else set()
-        if not marks & seen:
+        marks = {(j, int(mix(own + np.uint64(j)).min())) for j in range(samples)} if len(own) else set()
+        if len(marks & seen) <= most:
             keep.append(i)
         seen |= marks
     return np.array(keep, dtype=np.int64)
@@ -104,13 +126,15 @@ def counterfactuals(texts: list[str], terms: dict[str, tuple[str, ...]], n: int,
     return left, right
 
 
-def fit(rows: list[tuple[str, int]], terms: dict[str, tuple[str, ...]] | None = None, penalty: float = 30.0, sparsity: float = 2.0, least_docs: int = 4, inserted: int = 400, steps: int = 400, seed: int = 3) -> ToxicityModel | None:
-    """Logistic regression on the distinct words of (text, 0 or 1) rows. None unless both labels occur.
+def fit(rows: list[tuple[str, int]], terms: dict[str, tuple[str, ...]] | None = None, penalty: float = 30.0, sparsity: float = 1.8, least_docs: int = 4, inserted: int = 400, steps: int = 400, seed: int = 3) -> ToxicityModel | None:
+    """Logistic regression on the distinct words and stems of (text, 0 or 1) rows. None unless both labels occur.
 
     Loss: mean log loss + ``penalty`` / 2 times the mean squared change of the score under the swaps of
-    :func:`counterfactuals` + an L1 term of ``sparsity`` times the square root of each word's document count
-    (so many times two standard errors of a word without effect: chance words get weight 0). Accelerated proximal
-    gradient; words in fewer than ``least_docs`` texts are left out, unless they are identity terms.
+    :func:`counterfactuals` + an L1 term of ``sparsity`` times the square root of each feature's document count
+    (so many times two standard errors of one without effect: chance words get weight 0). The features
+    that this leaves are fitted again with a tenth of the L1 term, which would shrink their weights, and with further
+    copies of the texts that lack most of their words, so that no word hides behind those that go with it.
+    Features in fewer than ``least_docs`` texts are left out, unless they are of identity terms.
     """
     terms = IDENTITY_TERMS if terms is None else terms
     rows = [(t.lower(), int(y)) for t, y in rows if t and y is not None]
@@ -124,30 +148,38 @@ def fit(rows: list[tuple[str, int]], terms: dict[str, tuple[str, ...]] | None =
     n = len(rows)
     idx, off = _features([t for t, _ in rows])
     left, right = counterfactuals([t for t, _ in rows], terms, inserted, np.random.default_rng(seed))
-    li, lo = _features(left)
-    ri, ro = _features(right)
-    df = np.bincount(idx, minlength=DIMS)
-    swapped = np.zeros(DIMS, dtype=bool)
+    swaps = (*_features(left), *_features(right))
+    df = np.bincount(idx, minlength=TIMES * DIMS)
+    swapped = np.zeros(TIMES * DIMS, dtype=bool)
     swapped[_features([t for ts in terms.values() for t in ts] + list(NEUTRAL))[0]] = True
     used = np.flatnonzero((df >= least_docs) | swapped & (df > 0))
-    column = np.full(DIMS, -1)
-    column[used] = np.arange(len(used))
+    w, b = _solve(idx, off, y, swaps, used, penalty, sparsity * np.sqrt(df[used]) / n, steps)
+    used = used[(w != 0) | swapped[used]]  # the L1 term has chosen the words; their weights are fitted anew with little of it
+    rng, doc = np.random.default_rng(seed), np.repeat(np.arange(n), np.diff(off))
+    kept = [np.ones(len(idx), dtype=bool), *(rng.random(len(idx)) < 0.4 for _ in range(3))]
+    doc = np.concatenate([doc[k] + i * n for i, k in enumerate(kept)])
+    idx, off, y = np.concatenate([idx[k] for k in kept]), np.searchsorted(doc, np.arange(len(kept) * n + 1)), np.tile(y, len(kept))
+    w, b = _solve(idx, off, y, swaps, used, penalty, 0.1 * sparsity * np.sqrt(df[used]) / n, steps)
+    weights = np.zeros(TIMES * DIMS)
+    weights[used] = w
+    return ToxicityModel(weights, b)
+
+
+def _solve(idx: np.ndarray, off: np.ndarray, y: np.ndarray, swaps: tuple, used: np.ndarray, penalty: float, shrink: np.ndarray, steps: int) -> tuple[np.ndarray, float]:
+    """Accelerated proximal gradient with a step for each word, as words differ in frequency."""
+    n, size, column = len(y), len(used), np.full(TIMES * DIMS, -1)
+    column[used] = np.arange(size)
 
     def csr(i: np.ndarray, o: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         c, row = column[i], np.repeat(np.arange(len(o) - 1), np.diff(o))
         return c[c >= 0], row[c >= 0]
 
     xc, xr = csr(idx, off)
-    lc, lr = csr(li, lo)
-    rc, rr = csr(ri, ro)
-    dc, dr, dv, m = np.concatenate([lc, rc]), np.concatenate([lr, rr]), np.concatenate([np.ones(len(lc)), -np.ones(len(rc))]), max(1, len(left))
-    shrink = sparsity * np.sqrt(df[used]) / n
-    w, b = np.zeros(len(used)), float(np.log(y.mean() / (1 - y.mean())))
-    z, zb, t = w.copy(), b, 1.0
-    scale = 1.0 / np.maximum(df[used] / (4 * n) * np.sqrt(8), 1e-9)  # a step for each word, as words differ in frequency
-    load = penalty * np.bincount(dc, dv * dv, len(used)) / m
-    scale = 1.0 / (1.0 / scale + 2 * load)
-    rate = 0.5
+    (lc, lr), (rc, rr) = csr(*swaps[:2]), csr(*swaps[2:])
+    dc, dr, dv, m = np.concatenate([lc, rc]), np.concatenate([lr, rr]), np.concatenate([np.ones(len(lc)), -np.ones(len(rc))]), max(1, len(swaps[1]) - 1)
+    scale = 1 / (np.maximum(np.bincount(xc, minlength=size), 1) / (1.5 * n) + 2 * penalty * np.bincount(dc, minlength=size) / m)
+    w, b = np.zeros(size), float(np.log(y.mean() / (1 - y.mean())))
+    z, zb, t, rate = w, b, 1.0, 0.5
 
     def smooth(w: np.ndarray, b: float) -> tuple[float, np.ndarray, float]:
         s = np.bincount(xr, w[xc], n) + b
@@ -155,7 +187,7 @@ def fit(rows: list[tuple[str, int]], terms: dict[str, tuple[str, ...]] | None =
         p = 1 / (1 + np.exp(-np.clip(s, -40, 40)))
         loss = float(np.mean(np.logaddexp(0, s) - y * s)) + penalty / 2 * float(np.mean(change**2))
         r = (p - y) / n
-        return loss, np.bincount(xc, r[xr], len(used)) + penalty / m * np.bincount(dc, dv * change[dr], len(used)), float(r.sum())
+        return loss, np.bincount(xc, r[xr], size) + penalty / m * np.bincount(dc, dv * change[dr], size), float(r.sum())
 
     for _ in range(steps):
         loss, g, gb = smooth(z, zb)
@@ -169,15 +201,13 @@ def fit(rows: list[tuple[str, int]], terms: dict[str, tuple[str, ...]] | None =
             if smooth(new, nb)[0] <= bound + 1e-12 or rate < 1e-6:
                 break
             rate /= 2
+        small = np.abs(new - w).max(initial=0) < 1e-4 and abs(nb - b) < 1e-4
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         z, zb = new + (t - 1) / t2 * (new - w), nb + (t - 1) / t2 * (nb - b)
-        if np.abs(new - w).max(initial=0) < 1e-4 and abs(nb - b) < 1e-4:
-            w, b = new, nb
-            break
         w, b, t = new, nb, t2
-    weights = np.zeros(DIMS)
-    weights[used] = w
-    return ToxicityModel(weights, b)
+        if small:
+            break
+    return w, b
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int, seed: int = 3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> list[tuple[str, int]]:
@@ -198,7 +228,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int, seed: int = 3,
 def _apply(held, threshold: float):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, weights, bias = held.value
-        dense = np.zeros(DIMS)
+        dense = np.zeros(TIMES * DIMS)
         dense[words] = weights
         model = ToxicityModel(dense, bias)
         for batch in batches:
