@@ -232,18 +232,31 @@ class CRF:
     def decode(self, e: np.ndarray, lengths: np.ndarray | None = None) -> np.ndarray:
         """Best tags (time, batch); beyond a sequence's length tags are 0.
 
-        Sequences whose best path is surely tag 0 throughout skip the search: where every other tag's
-        emission is so far below tag 0's that no transition can make up for it.
+        Sequences whose best path is surely tag 0 throughout skip the search. A stretch of m positions with
+        other tags gains at most the sum of their emissions' leads over tag 0's, m - 1 transitions within, one
+        into it (or the start) and one out of it (or the end). If the best stretch, found by a running
+        maximum, gains nothing, neither do several.
         """
         steps, n, k = e.shape
         lengths = np.full(n, steps) if lengths is None else lengths
-        gain = max(0.0, float((self.trans - self.trans[0, 0]).max()))
-        edge = max(0.0, float((self.start - self.start[0]).max())) + max(0.0, float((self.end - self.end[0]).max()))
+        t00, inner = self.trans[0, 0], self.trans[1:, 1:].max() - self.trans[0, 0]
+        enter, leave = self.trans[0, 1:].max() - t00, self.trans[1:, 0].max() - t00
+        start, end = max(0.0, self.start[1:].max() - self.start[0] - enter), max(0.0, self.end[1:].max() - self.end[0] - leave)
         y = np.zeros((steps, n), dtype=np.int8)
-        margin = (e[:, :, 1:].max(axis=2) - e[:, :, 0]).astype(F32)
-        # a path that leaves tag 0 for m positions changes at most m + 1 transitions
-        lead = margin + 2 * gain + edge
-        some = np.flatnonzero((lead * (np.arange(steps)[:, None] < lengths)).max(axis=0) > 0)
+        lead = e[:, :, 1].copy()
+        for j in range(2, k):
+            np.maximum(lead, e[:, :, j], out=lead)
+        lead -= e[:, :, 0]
+        lead += inner
+        lead[0] += start
+        lead[lengths - 1, np.arange(n)] += end
+        best, now = np.full(n, -np.inf, F32), np.zeros(n, F32)
+        lead[np.arange(steps)[:, None] >= lengths] = -np.inf
+        for row in lead:
+            np.maximum(now, 0, out=now)
+            now += row
+            np.maximum(best, now, out=best)
+        some = np.flatnonzero(best > inner - enter - leave - 1e-3)  # rounding
         if not len(some):
             return y
         e, lens = e[:, some], lengths[some]
