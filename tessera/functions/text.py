@@ -7,6 +7,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Signs that are neither letters, digits, underscores nor white space, three or more in a row.
 PUNCTUATION_RUN = r"[^\p{L}\p{N}_\s]{3,}"
@@ -81,22 +82,22 @@ def clean_tag(tag: Column) -> Column:
     return reduce(lambda c, s: F.regexp_replace(c, *s), steps, F.trim(tag))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFC")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfd(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFD")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFKC")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkd(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFKD")
 

@@ -7,6 +7,7 @@ from urllib.parse import unquote
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _AUTHORITY = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)"
 
@@ -62,7 +63,7 @@ def _to_fixpoint(u: str | None) -> str | None:
     return u
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unquoted(urls: pd.Series) -> pd.Series:
     return urls.map(_to_fixpoint, na_action="ignore")
 
