@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import shingles
+
 
 def profiles(docs: DataFrame, text: str = "text", language: str = "lang", n: int = 3, size: int = 400) -> dict[str, list[str]]:
     """The most frequent 1- to n-grams of each language's labelled texts, in the order of frequency.
@@ -17,8 +19,8 @@ def profiles(docs: DataFrame, text: str = "text", language: str = "lang", n: int
     from pyspark.sql import Window
 
     t = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "), F.lit(" "))
-    many = [F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(t) - k + 1)), lambda i, k=k: F.substring(t, i, k)) for k in range(1, n + 1)]
-    own = docs.where(F.col(text).isNotNull() & F.col(language).isNotNull()).select(F.col(language).alias("l"), F.explode(F.flatten(F.array(*many))).alias("g"))
+    own = docs.where(F.col(text).isNotNull() & F.col(language).isNotNull()).select(F.col(language).alias("l"), t.alias("t"))
+    own = own.select("l", F.explode(F.flatten(F.array(*(shingles(F.col("t"), k) for k in range(1, n + 1))))).alias("g"))
     top = own.where("trim(g) <> ''").groupBy("l", "g").agg(F.count(F.lit(1)).alias("c")).withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy(F.desc("c"), "g"))).where(F.col("r") <= size)
     out: dict[str, list[str]] = {}
     for r in top.orderBy("l", "r").toLocalIterator():

@@ -134,7 +134,7 @@ def same_p_remove(spark, d):
 
 @query(f"""SELECT id, list_transform(ps, lambda p: array_to_string(list_filter(string_split(p, ' '), lambda t: regexp_matches(t, '^[\\pL\\pN_]+\\.\\.\\.$') OR NOT regexp_matches(t, '[^\\pL\\pN_\\s]{{3,}}')), ' ')) AS paragraphs FROM {D}""")
 def token_clean(spark, d):
-    return documents(spark, d).select("id", F.transform("paragraphs", text.clean_tokens).alias("paragraphs"))
+    return documents(spark, d).select("id", F.transform("paragraphs", lambda p: text.clean_tokens(p)).alias("paragraphs"))
 
 
 @query(f"SELECT id, list_filter(ps, lambda p: NOT regexp_matches(p, '(?i)licen[cs]e|copyright|\\bthe and\\b')) AS paragraphs FROM {D}")
@@ -144,7 +144,7 @@ def paragraph_pattern(spark, d):
 
 @query(f"SELECT id, list_transform(ps, lambda p: trim(regexp_replace(replace(replace(replace(p, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\\s+', ' ', 'g'))) AS paragraphs FROM {D}")
 def paragraph_escape(spark, d):
-    return documents(spark, d).select("id", F.transform("paragraphs", text.escape_xml).alias("paragraphs"))
+    return documents(spark, d).select("id", F.transform("paragraphs", lambda p: text.escape_xml(p)).alias("paragraphs"))
 
 
 # ---- crawl index ----
