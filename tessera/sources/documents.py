@@ -74,7 +74,7 @@ def parse_tagged(text: str, name: str = "") -> Iterator[tuple[str, dict, dict, l
 
 def read_tagged(spark: SparkSession, path: str | list[str], recursive: bool = True) -> DataFrame:
     """Documents of tagged files, one file a task row: plain, ``.gz`` or ``.bz2``."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive).text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    raw = spark.read.option("recursiveFileLookup", recursive).text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

@@ -35,7 +35,7 @@ def parse_text(text: str, header: bool = True) -> Iterator[tuple]:
 
 def read_tsv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """Token rows of annotated files."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
