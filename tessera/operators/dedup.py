@@ -43,9 +43,9 @@ def signatures(docs: DataFrame, keys: list[str], text: str, perms: int = 256, n:
     Hashes and minima are built-in expressions. A text's n-grams are next to each other, so its minima are complete
     before the shuffle, which moves one row for each text. min_shingles: texts of fewer are left out.
     """
-    own = docs.select(*keys, F.array_distinct(shingles(F.col(text), n)).alias("_s"))
+    own = docs.select(*keys, shingles(F.col(text), n).alias("_s"))  # repeats don't change a minimum
     if min_shingles:
-        own = own.where(F.size("_s") >= min_shingles)
+        own = own.where(F.size(F.array_distinct("_s")) >= min_shingles)
     hashed = own.select(*keys, F.explode_outer("_s").alias("_s")).select(*keys, F.conv(F.substring(F.md5("_s"), 1, 7), 16, 10).cast("long").alias("_h"))
     low = [F.coalesce(F.min(F.pmod(F.col("_h") * a + b, F.lit(PRIME))), F.lit(NO_SHINGLE)).alias(f"_m{i}") for i, (a, b) in enumerate(coefficients(perms, seed))]
     return hashed.groupBy(*keys).agg(*low).select(*keys, F.array(*(f"_m{i}" for i in range(perms))).alias("sig"))
@@ -72,6 +72,7 @@ def _verified(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: fl
 def pairs(sigs: DataFrame, b: int, r: int, threshold: float | None = None, other_doc: str | None = None) -> DataFrame:
     """All candidate pairs ``a, b`` (a < b) of signatures with an ``id``. other_doc: pairs within one document are left out."""
     keys = ["id"] + ([other_doc] if other_doc else [])
+    sigs = stored(sigs, "signatures")
     banded = bands(sigs, keys, b, r)
     x = banded.select(F.col("id").alias("a"), *([F.col(other_doc).alias("_da")] if other_doc else []), "band", "hash")
     y = banded.select(F.col("id").alias("b"), *([F.col(other_doc).alias("_db")] if other_doc else []), "band", "hash")
@@ -86,6 +87,7 @@ def cross(sigs: DataFrame, others: DataFrame, b: int, r: int, threshold: float |
 
     Only distinct bands of the others are joined, so that many copies there cost one.
     """
+    sigs = stored(sigs, "signatures")
     own = bands(sigs, ["id"], b, r)
     if threshold is None:
         hit = own.join(bands(others, [], b, r).distinct(), ["band", "hash"], "left_semi").select("id")
@@ -106,6 +108,7 @@ def cumulative(sigs: DataFrame, b: int, r: int, batch: str = "batch") -> DataFra
 
 
 def _by_batch(sigs, b, r, batch, pick, beats) -> DataFrame:
+    sigs = stored(sigs, "signatures")
     banded = bands(sigs, ["id", batch], b, r)
     best = banded.groupBy("band", "hash").agg(pick(batch).alias("_best"))
     hit = banded.join(best, ["band", "hash"]).where(beats(F.col(batch), F.col("_best"))).select("id").distinct()
