@@ -8,13 +8,17 @@ in which documents come; the order of input files is no order.
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
+from hashlib import md5
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import shingles
 from ..sources.storage import stored
 
+_U = np.uint64
 PRIME = (1 << 31) - 1
 #: Minimum of a text without shingles: all such texts are candidates of each other.
 NO_SHINGLE = PRIME
@@ -40,15 +44,63 @@ def optimal_bands(threshold: float, perms: int, steps: int = 200) -> tuple[int,
 def signatures(docs: DataFrame, keys: list[str], text: str, perms: int = 256, n: int = 5, seed: int = 1, min_shingles: int = 0) -> DataFrame:
     """``keys, sig``: minima of the permuted 28-bit hashes of all character n-grams.
 
-    Hashes and minima are built-in expressions. A text's n-grams are next to each other, so its minima are complete
-    before the shuffle, which moves one row for each text. min_shingles: texts of fewer are left out.
+    Minima are made in Arrow batches, with matrices of n-grams by permutations. What is shuffled is the text, so that all
+    texts of a key are at one place. min_shingles: texts of fewer are left out, and so is a key without any other.
     """
-    own = docs.select(*keys, shingles(F.col(text), n).alias("_s"))  # repeats don't change a minimum
-    if min_shingles:
-        own = own.where(F.size(F.array_distinct("_s")) >= min_shingles)
-    hashed = own.select(*keys, F.explode_outer("_s").alias("_s")).select(*keys, F.conv(F.substring(F.md5("_s"), 1, 7), 16, 10).cast("long").alias("_h"))
-    low = [F.coalesce(F.min(F.pmod(F.col("_h") * a + b, F.lit(PRIME))), F.lit(NO_SHINGLE)).alias(f"_m{i}") for i, (a, b) in enumerate(coefficients(perms, seed))]
-    return hashed.groupBy(*keys).agg(*low).select(*keys, F.array(*(f"_m{i}" for i in range(perms))).alias("sig"))
+    own = docs.groupBy(*keys).agg(F.collect_list(text).alias("_t"))
+    kinds = ", ".join(f"`{k}` {kind}" for k, kind in own.dtypes[: len(keys)])
+    return own.mapInArrow(_minima(coefficients(perms, seed), n, min_shingles), f"{kinds}, sig array<long>")
+
+
+#: n-grams whose hashes a worker keeps at most, and n-grams of one matrix.
+KEPT_HASHES, MATRIX_ROWS = 1 << 19, 64
+
+
+class _Hashes(dict):
+    """The first 28 bits of the md5 of n-grams, kept between texts."""
+
+    def __missing__(self, g: str) -> int:
+        if len(self) >= KEPT_HASHES:
+            self.clear()
+        h = self[g] = int(md5(g.encode()).hexdigest()[:7], 16)
+        return h
+
+
+def minima(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least (a h + b) mod 2^31 - 1 over all h (28 bits) for each permutation."""
+    out = np.full(len(a), NO_SHINGLE, dtype=np.uint32)
+    for i in range(0, len(h), MATRIX_ROWS):
+        x = h[i : i + MATRIX_ROWS, None] * a
+        x += b
+        y = x >> _U(31)
+        x &= _U(PRIME)
+        x += y  # below 2^31 - 1 + 2^29: the prime is to be taken off once at most
+        z = x.astype(np.uint32)
+        np.minimum(z, z - np.uint32(PRIME), out=z)  # what would be negative is large
+        np.minimum(out, z.min(axis=0), out=out)
+    return out
+
+
+def _minima(permutations: list[tuple[int, int]], n: int, min_shingles: int):
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = (np.array(c, dtype=_U) for c in zip(*permutations))
+        hashes = _Hashes()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                kept, sigs = [], []
+                for i, texts in enumerate(part.column(part.num_columns - 1).to_pylist()):
+                    own = [{t[j : j + n] for j in range(len(t) - n + 1)} for t in texts]
+                    own = [s for s in own if len(s) >= min_shingles]
+                    if own or not min_shingles:
+                        grams = set().union(*own)
+                        kept.append(i)
+                        sigs.append(minima(np.fromiter(map(hashes.__getitem__, grams), _U, len(grams)), a, b))
+                if kept:
+                    sig = pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1, dtype=np.int32) * len(a)), pa.array(np.concatenate(sigs).astype(np.int64)))
+                    yield pa.RecordBatch.from_arrays([*(c.take(pa.array(kept)) for c in part.columns[:-1]), sig], [*part.schema.names[:-1], "sig"])
+
+    return signed
 
 
 def bands(sigs: DataFrame, keys: list[str], b: int, r: int) -> DataFrame:

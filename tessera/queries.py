@@ -12,7 +12,8 @@ from .operators import corpus, dedup, frequent, html, index, logs, sampling, tok
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-PERMS, BANDS, ROWS = 24, 6, 4
+PERMS = 256
+BANDS, ROWS = dedup.optimal_bands(0.9, PERMS)
 COEFFICIENTS = dedup.coefficients(PERMS)
 
 

@@ -1,7 +1,9 @@
 """Small cases of the core operators."""
 
 import gzip
+import hashlib
 import json
+import random
 import zlib
 
 import pytest
@@ -70,6 +72,28 @@ def test_repeats_and_greedy(spark):
     assert dedup.optimal_bands(0.9, 256) == (9, 28)
 
 
+def test_near_duplicate_queries_spare_clean_documents(spark, tmp_path):
+    from tessera import queries
+
+    assert (queries.PERMS, queries.BANDS, queries.ROWS) == (256, 9, 28)
+    rng = random.Random(1)
+    pool = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(400)]
+    rows = [(i, " ".join(rng.sample(pool, 100)), "en", "s") for i in range(40)]  # about 0.15 similar to each other
+    rows += [(100, rows[0][1], "en", "s"), (101, rows[1][1] + " x", "en", "s"), (102, None, "en", "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.id for r in queries.dedup_self_greedy(spark, str(tmp_path)).collect()} == {*range(40), 102}
+    assert {(r.a, r.b) for r in queries.lsh_pairs(spark, str(tmp_path)).collect()} == {(0, 100), (1, 101)}
+
+
+def test_signatures_are_minima_of_all_texts_of_a_key(spark):
+    texts = [(1, "abcdefgh"), (1, "abcdexyz"), (2, "abcd"), (3, None), (4, "a\U0001f600b\nc\u00e9d")]
+    got = {r.k: r.sig for r in dedup.signatures(spark.createDataFrame(texts, "k int, t string"), ["k"], "t", 30).collect()}
+    for k in range(1, 5):
+        h = {int(hashlib.md5(t[i : i + 5].encode()).hexdigest()[:7], 16) for j, t in texts if j == k and t for i in range(len(t) - 4)}
+        assert got[k] == [min(((a * x + b) % dedup.PRIME for x in h), default=dedup.NO_SHINGLE) for a, b in dedup.coefficients(30)]
+    assert {r.k for r in dedup.signatures(spark.createDataFrame(texts, "k int, t string"), ["k"], "t", 30, min_shingles=1).collect()} == {1, 4}
+
+
 def test_frequent_paragraphs(spark):
     def run(n, at, decay):
         got = frequent.collect(docs(spark, [(f"{i:02d}", "x", ["p"] if i in at else [f"o{i}"]) for i in range(1, n + 1)]), decay, min_freq=1).where("p = 'p'").collect()
