@@ -25,6 +25,8 @@ STOP_WORDS = {
     "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont ont avec son aux été cette être ses leur mais comme ou nous sa fait tout".split(),
     "es": "de la que el en y a los se del las un por con no una su para es al lo como más o pero sus le ha me si sin sobre este ya entre cuando todo esta ser son dos también fue había era muy".split(),
 }
+_LANG = re.compile(r"<html\b[^>]*?\s(?:xml:)?lang\s*=\s*[\"']?\s*([a-z]{2,3})(?![a-z])", re.I)
+_NO_WORD = r"[^\p{L}\p{N}']+"
 _BLOCKS = "i long, path string, text string, heading boolean, link_chars long"
 
 
@@ -91,29 +93,54 @@ def segment(html: str | None) -> list[tuple[int, str, str, bool, int]]:
     return s.blocks
 
 
-def segments(pages: DataFrame, id_col: str, html: str = "html") -> DataFrame:
-    """A row for each block: ``id_col, i, path, text, heading, link_chars``. A page without text has none."""
+def stated_language(html: str | None) -> str | None:
+    """First part of the lang attribute of the html element."""
+    m = _LANG.search(html or "")
+    return m[1].lower() if m else None
+
+
+def segments(pages: DataFrame, id_col: str, html: str = "html", language: bool = False) -> DataFrame:
+    """A row for each block: ``id_col, i, path, text, heading, link_chars``, and the page's stated ``language`` if asked for. A page without text has none."""
     kind = dict(pages.dtypes)[id_col]
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [(k, *b) for k, h in zip(f["k"], f["h"]) for b in segment(h)]
-            yield pd.DataFrame(rows, columns=[id_col, "i", "path", "text", "heading", "link_chars"])
+            rows = [(k, *b, *([stated_language(h)] if language else [])) for k, h in zip(f["k"], f["h"]) for b in segment(h)]
+            yield pd.DataFrame(rows, columns=[id_col, "i", "path", "text", "heading", "link_chars", *(["language"] if language else [])])
+
+    return pages.select(F.col(id_col).alias("k"), F.col(html).alias("h")).mapInPandas(cut, f"{id_col} {kind}, {_BLOCKS}" + ", language string" * language)
 
-    return pages.select(F.col(id_col).alias("k"), F.col(html).alias("h")).mapInPandas(cut, f"{id_col} {kind}, {_BLOCKS}")
 
+def page_language(blocks: DataFrame, id_col: str, lists: dict[str, list[str]] = STOP_WORDS) -> DataFrame:
+    """Makes ``language`` one of the lists': the stated one, else that with most stop words in the page's blocks, the first by name of equals."""
+    names = sorted(lists)
+    stated = F.when(F.col("language").isin(names), F.col("language"))
+    words = F.split(F.lower("text"), _NO_WORD)
+    count = lambda own: F.size(F.filter(words, lambda w: w.isin(*own)))
+    found = [F.when(stated.isNull(), count(lists[k])) for k in names]
+    page = Window.partitionBy(id_col)
+    out = blocks.withColumns({f"_n_{k}": F.sum(c).over(page) for k, c in zip(names, found)})
+    guess = F.coalesce(*(F.when(F.col(f"_n_{k}") == F.greatest(*(f"_n_{x}" for x in names)), k) for k in names))
+    return out.withColumn("language", F.coalesce(stated, guess)).drop(*(f"_n_{k}" for k in names))
 
-def classify(blocks: DataFrame, id_col: str, stop_words: list[str], short: int = 70, long: int = 200, low: float = 0.30, high: float = 0.32, links: float = 0.2, near_heading: int = 200) -> DataFrame:
+
+def classify(blocks: DataFrame, id_col: str, stop_words: list[str] | dict[str, list[str]], short: int = 70, long: int = 200, low: float = 0.30, high: float = 0.32, links: float = 0.2, near_heading: int = 200) -> DataFrame:
     """Adds ``kind``: ``good`` or ``bad``.
 
+    stop_words: one list for all, or lists by language for blocks with a ``language``.
+
     Blocks with many characters in links are bad; short ones are undecided; others are good, near-good or bad by
     the share of stop words. Then the undecided take the kind of their neighbours: between two good or two
     bad blocks theirs, else bad unless a neighbour is near-good; near-good blocks are bad between bad ones only.
     A short or near-good heading is good if a good block follows within ``near_heading`` characters.
     """
     n = F.length("text")
-    words = F.split(F.lower("text"), r"[^\p{L}\p{N}']+")
-    density = F.size(F.filter(words, lambda w: w.isin(*stop_words))) / F.greatest(F.size(F.filter(words, lambda w: w != "")), F.lit(1))
+    words = F.split(F.lower("text"), _NO_WORD)
+    if isinstance(stop_words, dict):
+        frequent = lambda w: F.coalesce(*(F.when(F.col("language") == k, w.isin(*own)) for k, own in stop_words.items()), F.lit(False))
+    else:
+        frequent = lambda w: w.isin(*stop_words)
+    density = F.size(F.filter(words, frequent)) / F.greatest(F.size(F.filter(words, lambda w: w != "")), F.lit(1))
     link = F.col("link_chars") / F.greatest(n, F.lit(1))
     first = (
         F.when((link > links) | F.col("text").contains("©"), "bad")
@@ -143,9 +170,12 @@ def _collected(blocks: DataFrame, id_col: str) -> DataFrame:
     return blocks.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "text"))), lambda x: x["text"]).alias("paragraphs"))
 
 
-def density_text(pages: DataFrame, id_col: str, html: str = "html", language: str = "en", **options) -> DataFrame:
-    """``id_col, paragraphs`` of the good blocks; pages without any go."""
-    blocks = classify(segments(pages, id_col, html), id_col, STOP_WORDS[language], **options)
+def density_text(pages: DataFrame, id_col: str, html: str = "html", language: str | None = None, **options) -> DataFrame:
+    """``id_col, paragraphs`` of the good blocks; pages without any go. Each page is judged in its own language, unless one is given for all."""
+    if language is None:
+        blocks = classify(page_language(segments(pages, id_col, html, language=True), id_col), id_col, STOP_WORDS, **options)
+    else:
+        blocks = classify(segments(pages, id_col, html), id_col, STOP_WORDS[language], **options)
     return _collected(blocks.where("kind = 'good'"), id_col)
 
 

@@ -152,6 +152,15 @@ def test_html_and_feeds(spark):
     assert [one(spark, s, mime.sniff) for s in ("<!DOCTYPE html><p>", "plain", "%PDF-1.4", " ")] == ["html", "txt", None, None]
 
 
+def test_main_text_in_each_page_s_language(spark):
+    said = {"en": "the house of the man and the dog that is in it was", "de": "der Hund und die Katze sind in dem Haus von einer Frau mit", "fr": "le chien et la maison de une femme qui est dans le jardin", "es": "el perro y la casa de una mujer que no es como los otros"}
+    page = "<html{}><body><p>{}</p></body></html>"
+    rows = [(f"{k}{i}", page.format(a, f"{v} " * 6)) for k, v in said.items() for i, a in enumerate([f' lang="{k}-XX"', "", ' class="x" lang=hu'])]
+    got = {r.k: r.paragraphs for r in html.density_text(spark.createDataFrame(rows, "k string, html string"), "k").collect()}
+    assert got == {f"{k}{i}": [(f"{v} " * 6).strip()] for k, v in said.items() for i in range(3)}
+    assert {r.k[:2] for r in html.density_text(spark.createDataFrame(rows, "k string, html string"), "k", language="en").collect()} == {"en"}
+
+
 def test_tokens(spark, tmp_path):
     assert tokens.wordpiece("unaffable", frozenset(["un", "##aff", "##able"])) == ["un", "##aff", "##able"]
     assert tokens.wordpiece("zz", frozenset(["z"])) == ["[UNK]"] == tokens.wordpiece("a" * 101, frozenset("a"))
