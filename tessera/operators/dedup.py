@@ -103,10 +103,13 @@ def _minima(permutations: list[tuple[int, int]], n: int, min_shingles: int):
     return signed
 
 
+def _bands(b: int, r: int):
+    return F.array(*(F.struct(F.lit(i).alias("band"), F.md5(F.array_join(F.slice("sig", i * r + 1, r).cast("array<string>"), ",")).alias("hash")) for i in range(b)))
+
+
 def bands(sigs: DataFrame, keys: list[str], b: int, r: int) -> DataFrame:
     """``keys, band, hash``: a row for each of the b bands of r minima."""
-    parts = [F.struct(F.lit(i).alias("band"), F.md5(F.array_join(F.slice("sig", i * r + 1, r).cast("array<string>"), ",")).alias("hash")) for i in range(b)]
-    return sigs.select(*keys, F.inline(F.array(*parts)))
+    return sigs.select(*keys, F.inline(_bands(b, r)))
 
 
 def similarity(x, y):
@@ -122,16 +125,29 @@ def _verified(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: fl
 
 
 def pairs(sigs: DataFrame, b: int, r: int, threshold: float | None = None, other_doc: str | None = None) -> DataFrame:
-    """All candidate pairs ``a, b`` (a < b) of signatures with an ``id``. other_doc: pairs within one document are left out."""
+    """All candidate pairs ``a, b`` (a < b) of signatures with an ``id``. other_doc: pairs within one document are left out.
+
+    Signatures that are equal (without a threshold: in all bands) have the same candidates. One of them is searched for all,
+    and its pairs are expanded afterwards.
+    """
+    minima = F.col("sig") if threshold is not None else F.slice("sig", 1, b * r)
+    kind = F.md5(F.array_join(minima.cast("array<string>"), ",")).alias("_kind")
+    hashes = F.transform(_bands(b, r), lambda x: x["hash"]).alias("_h")
     keys = ["id"] + ([other_doc] if other_doc else [])
-    sigs = stored(sigs, "signatures")
-    banded = bands(sigs, keys, b, r)
-    x = banded.select(F.col("id").alias("a"), *([F.col(other_doc).alias("_da")] if other_doc else []), "band", "hash")
-    y = banded.select(F.col("id").alias("b"), *([F.col(other_doc).alias("_db")] if other_doc else []), "band", "hash")
-    out = x.join(y, ["band", "hash"]).where("a < b")
+    rows = stored(sigs.select(*keys, kind, hashes, *(["sig"] if threshold is not None else [])), "signatures")
+    kinds = rows.groupBy("_kind").agg(F.count(F.lit(1)).alias("_n"), *(F.first(c).alias(c) for c in rows.columns if c in ("_h", "sig")))
+    banded = kinds.select("_kind", F.posexplode("_h").alias("band", "hash"))
+    x, y = (banded.withColumnRenamed("_kind", c) for c in ("a", "b"))
+    found = x.join(y, ["band", "hash"]).where("a < b").select("a", "b").distinct()
+    if threshold is not None:
+        each = kinds.select(F.col("_kind").alias("id"), "sig")
+        found = _verified(found, each, each, threshold)
+    found = found.unionByName(kinds.where("_n > 1").select(F.col("_kind").alias("a"), F.col("_kind").alias("b")))
+    left, right = (rows.select(F.col("_kind").alias(c), F.col("id").alias(f"_{c}"), *([F.col(other_doc).alias(f"_d{c}")] if other_doc else [])) for c in ("a", "b"))
+    out = found.join(left, "a").join(right, "b").where("a <> b or _a < _b")
     if other_doc:
         out = out.where("_da <> _db")
-    return _verified(out.select("a", "b").distinct(), sigs, sigs, threshold)
+    return out.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
 
 
 def cross(sigs: DataFrame, others: DataFrame, b: int, r: int, threshold: float | None = None) -> DataFrame:

@@ -393,11 +393,11 @@ def lsh_pairs(spark, d):
     return dedup.pairs(_sigs(spark, d), BANDS, ROWS)
 
 
-@query(f"""WITH p AS (SELECT id || '_' || i AS pid, id AS doc, ps[i] AS p FROM (SELECT id, ps, unnest(generate_series(1, len(ps))) AS i FROM {D}) WHERE length(ps[i]) >= 40),
+@query(f"""WITH p AS (SELECT id || '_' || i AS pid, id AS doc, ps[i] AS p FROM (SELECT id, ps, unnest(generate_series(1, len(ps))) AS i FROM {D}) WHERE length(ps[i]) >= 5),
 {_sig_sql("s", "p", "pid", "p")}
 SELECT DISTINCT x.id AS a, y.id AS b FROM s_b x JOIN s_b y ON x.band = y.band AND x.hash = y.hash AND x.id < y.id WHERE split_part(x.id, '_', 1) <> split_part(y.id, '_', 1)""")
 def lsh_pairs_other_doc(spark, d):
-    p = corpus.explode_paragraphs(documents(spark, d).select("id", "paragraphs")).where(F.length("p") >= 40)
+    p = corpus.explode_paragraphs(documents(spark, d).select("id", "paragraphs")).where(F.length("p") >= 5)  # others have no n-gram
     p = p.select(F.concat_ws("_", F.col("id").cast("string"), F.col("p_no").cast("string")).alias("pid"), F.col("id").alias("doc"), "p")
     sigs = dedup.signatures(p, ["pid", "doc"], "p", PERMS).withColumnRenamed("pid", "id")
     return dedup.pairs(sigs, BANDS, ROWS, other_doc="doc")

@@ -94,6 +94,19 @@ def test_signatures_are_minima_of_all_texts_of_a_key(spark):
     assert {r.k for r in dedup.signatures(spark.createDataFrame(texts, "k int, t string"), ["k"], "t", 30, min_shingles=1).collect()} == {1, 4}
 
 
+def test_paragraph_pairs_have_short_lines(spark, tmp_path):
+    from tessera import queries
+
+    long = "a line of more than forty characters that two documents have in common"
+    rows = [(1, "short\nabcd\n\nshort", "en", "s"), (2, f"abcd\nshort\n{long}", "en", "s"), (3, f"\n{long}\nalone here", "en", "s"), (4, None, "en", "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.lsh_pairs_other_doc(spark, str(tmp_path)).collect()
+    assert sorted((r.a, r.b) for r in got) == [("1_1", "2_2"), ("1_4", "2_2"), ("2_3", "3_2")]
+    sigs = spark.createDataFrame([(i, s) for i, s in enumerate([[1, 2, 3, 4], [1, 2, 3, 4], [1, 2, 9, 9], [7, 7, 3, 4], [5, 5, 5, 5], [1, 2, 3, 9]])], "id long, sig array<long>")
+    assert sorted((r.a, r.b) for r in dedup.pairs(sigs, 2, 2).collect()) == [(0, 1), (0, 2), (0, 3), (0, 5), (1, 2), (1, 3), (1, 5), (2, 5)]
+    assert sorted((r.a, r.b) for r in dedup.pairs(sigs, 2, 2, 0.75).collect()) == [(0, 1), (0, 5), (1, 5), (2, 5)]
+
+
 def test_frequent_paragraphs(spark):
     def run(n, at, decay):
         got = frequent.collect(docs(spark, [(f"{i:02d}", "x", ["p"] if i in at else [f"o{i}"]) for i in range(1, n + 1)]), decay, min_freq=1).where("p = 'p'").collect()
