@@ -5,13 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import by_key, keyed_text, shared_dir, shuffle_partitions
+from .common import by_key, checkpointed, keyed_text, shared_dir, shuffle_partitions
 from .textkernel import kgrams, mix, slices, winnow, word_hashes
 
 _U = np.uint64
@@ -86,6 +88,8 @@ class FingerprintIndex:
         self.spark, self.k, self.w = spark, k, min_words - k + 1
         self.buckets = buckets or shuffle_partitions(spark)
         self.runs: list[Run] = []
+        self.texts: list[DataFrame] = []  # of each batch, to extend spans
+        self.hits: list[DataFrame] = []  # of each batch, with repeats within one document
 
     def _write(self, df: DataFrame, level: int) -> Run:
         run = Run(f"tessera_run_{uuid.uuid4().hex}", shared_dir(self.spark, f"run-{level}"), level)
@@ -107,7 +111,8 @@ class FingerprintIndex:
 
         Columns doc, pos, src, src_pos: an earlier batch goes before, then the lower id within the batch.
         """
-        new = docs.mapInArrow(_fingerprints(self.k, self.w), "h long, proof int, doc long, pos int")
+        self.texts.append(checkpointed(docs.select("id", "t").where("t <> ''"), "texts"))
+        new = self.texts[-1].mapInArrow(_fingerprints(self.k, self.w), "h long, proof int, doc long, pos int")
         new = new.repartition(self.buckets, "h").sortWithinPartitions("h", "proof", "doc", "pos")
         run = self._write(new.mapInArrow(_firsts, "h long, proof int, doc long, pos int, first_doc long, first_pos int, is_first boolean"), 0)
         hits = self.spark.table(run.table)
@@ -116,13 +121,12 @@ class FingerprintIndex:
             # the proofs are compared apart from the key: with both as keys the buckets, by h alone, would be shuffled
             hits = hits.join(self.entries(r, f"_{i}"), (F.col("h") == F.col(f"h_{i}")) & (F.col("proof").bitwiseXOR(F.col(f"proof_{i}")) == 0), "left")
             src, at = F.coalesce(src, F.col(f"doc_{i}")), F.coalesce(at, F.col(f"pos_{i}"))
-        hits = hits.select("doc", "pos", F.coalesce(src, "first_doc").alias("src"), F.coalesce(at, "first_pos").alias("src_pos")).where("src <> doc")
-        path = shared_dir(self.spark, "hits")
-        hits.write.parquet(path)
+        hits = hits.select("doc", "pos", F.coalesce(src, "first_doc").alias("src"), F.coalesce(at, "first_pos").alias("src_pos")).where("src <> doc or src_pos <> pos")
+        self.hits.append(checkpointed(hits, "hits"))
         self.runs.append(run)
         while len(self.runs) > 1 and self.runs[-1].level == self.runs[-2].level:
             self._compact()
-        return self.spark.read.schema(hits.schema).parquet(path)
+        return self.hits[-1].where("src <> doc")
 
     def _compact(self) -> None:
         a, b = self.runs[-2], self.runs[-1]
@@ -140,6 +144,103 @@ def spans(hits: DataFrame, k: int) -> DataFrame:
     return aligned.repartition(n, "doc").sortWithinPartitions("doc", "src", "diag", "pos").mapInArrow(_merge_spans(k), _SPANS)
 
 
+def _digest(words: np.ndarray) -> int:
+    return int.from_bytes(blake2b(words.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
+def _around(margin: int):
+    def around(words: np.ndarray, at: int, n: int):
+        """Digest of n words, and up to margin words before them (the nearest first) and after them."""
+        if at + n <= len(words):
+            yield at, n, _digest(words[at : at + n]), words[max(0, at - margin) : at][::-1].view(np.int64), words[at + n : at + n + margin].view(np.int64)
+
+    return around
+
+
+def _runs(k: int, n: int):
+    def runs(words: np.ndarray, at: int, _: int):
+        """Digests of the runs of n words that hold the k words at a place."""
+        for s in range(max(0, at + k - n), min(at, len(words) - n) + 1):
+            yield s, n, _digest(words[s : s + n]), None, None
+
+    return runs
+
+
+_PLACES = "id long, at int, n int, digest long, left array<long>, right array<long>"
+
+
+def _read(texts: DataFrame, places: DataFrame, f) -> DataFrame:
+    """f of the words of every text of an id, at the places (``id, at, n``) asked for."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in slices(batch, "t"):
+                wh, wo = word_hashes(b.column(1))
+                rows = [(i, *x) for d, (i, asked) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist())) for p in asked for x in f(wh[wo[d] : wo[d + 1]], p["at"], p["n"])]
+                for lo in range(0, len(rows), 20_000):
+                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows[lo : lo + 20_000]), kinds)], ["id", "at", "n", "digest", "left", "right"])
+
+    asked = places.distinct().groupBy("id").agg(F.collect_list(F.struct("at", "n")).alias("asked"))
+    return texts.join(asked, "id").mapInArrow(read, _PLACES)
+
+
+def _grow(margin: int):
+    def equal(a: np.ndarray, b: np.ndarray) -> int:
+        n = min(len(a), len(b))
+        other = np.flatnonzero(a[:n] != b[:n])
+        return int(other[0]) if len(other) else n
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            left, right = ([equal(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(batch.column(i), batch.column(j))] for i, j in ((5, 7), (6, 8)))
+            left, right = np.array(left, dtype=np.int32), np.array(right, dtype=np.int32)
+            doc, start, n, src, at = (batch.column(i).to_numpy() for i in range(5))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc, start - left, n + left + right, src, at - left, (left == margin) | (right == margin))], ["doc_id", "start", "n_words", "source_doc_id", "source_start", "more"])
+
+    return grow
+
+
+def extended(found: DataFrame, texts: DataFrame, margin: int = 16) -> DataFrame:
+    """Spans grown word by word to the longest equal runs that hold them, each run once.
+
+    Both documents' words around a span are read, ``margin`` on each side; spans that are equal so far are read again with eight times as many.
+    """
+    out, todo = [], checkpointed(found, "found")
+    while True:
+        sides = todo.select(F.col("doc_id").alias("id"), F.col("start").alias("at"), F.col("n_words").alias("n")).union(todo.select("source_doc_id", "source_start", "n_words"))
+        read = checkpointed(_read(texts, sides, _around(margin)), "around")
+        a, b = (read.select(*(F.col(c).alias(f"{c}_{s}") for c in read.columns)) for s in "ab")
+        both = todo.join(a, (F.col("doc_id") == F.col("id_a")) & (F.col("start") == F.col("at_a")) & (F.col("n_words") == F.col("n_a")))
+        both = both.join(b, (F.col("source_doc_id") == F.col("id_b")) & (F.col("source_start") == F.col("at_b")) & (F.col("n_words") == F.col("n_b"))).where("digest_a = digest_b")
+        grown = checkpointed(both.select("doc_id", "start", "n_words", "source_doc_id", "source_start", "left_a", "right_a", "left_b", "right_b").mapInArrow(_grow(margin), _SPANS + ", more boolean").distinct(), "grown")
+        out.append(grown.where("not more").drop("more"))
+        todo, margin = grown.where("more").drop("more"), margin * 8
+        if todo.isEmpty():
+            return reduce(DataFrame.unionByName, out).distinct()
+
+
+def other_sources(short: DataFrame, hits: DataFrame, index: FingerprintIndex) -> DataFrame:
+    """Runs of the guaranteed length at the windows of spans that are shorter, with their first documents.
+
+    The first document of a window may share less of the passage than a later one does. So all documents that have the
+    window are read, and each run of the guaranteed length there is looked for among them.
+    """
+    k, n = index.k, index.k + index.w - 1
+    here = short.select(F.col("doc_id").alias("doc"), F.col("source_doc_id").alias("src"), (F.col("start") - F.col("source_start")).alias("diag"), "start", "n_words")
+    windows = hits.withColumn("diag", F.col("pos") - F.col("src_pos")).join(here, ["doc", "src", "diag"]).where("pos >= start and pos < start + n_words").select("src", "src_pos").distinct()
+    every = reduce(DataFrame.unionByName, index.hits).join(windows, ["src", "src_pos"]).select(F.col("doc").alias("id"), F.col("pos").alias("at"), F.lit(k).alias("n"))
+    every = every.union(windows.select("src", "src_pos", F.lit(k)))
+    runs = _read(reduce(DataFrame.unionByName, index.texts), every, _runs(k, n)).select("id", "at", "digest").distinct()
+    batches = reduce(DataFrame.unionByName, [t.select("id", F.lit(i).alias("batch")) for i, t in enumerate(index.texts)])
+    runs = runs.join(batches.groupBy("id").agg(F.min("batch").alias("batch")), "id")
+    first = runs.withColumn("first", F.min(F.struct("batch", "id", "at")).over(Window.partitionBy("digest"))).where("first.id <> id")
+    mine = first.join(short.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")
+    return mine.select(F.col("id").alias("doc_id"), F.col("at").alias("start"), F.lit(n).alias("n_words"), F.col("first.id").alias("source_doc_id"), F.col("first.at").alias("source_start"))
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 40, min_words: int = 50, batches: int = 4, index: FingerprintIndex | None = None) -> DataFrame:
     """Passages of documents that another document had before.
 
@@ -148,9 +249,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     batch its id is lower, so that a passage's first document isn't reported. Of every window of
     ``min_words - k + 1`` successive hashes of k words the least is kept; each batch's are sorted, joined with
     the runs of all earlier batches, verified by a second 32-bit hash of the k words, and become a run of the
-    index. Thus every run of ``min_words`` words that an earlier document has is reported at least in part, and
-    nothing of fewer than k words is. The source is the first document that has the window; windows
-    of one alignment that overlap or touch are one span. A passage with thousands of copies is thousands of rows, not of pairs.
+    index. The source is the first document that has the window. Windows of one alignment that overlap or touch
+    are one span, which then grows word by word, by 64-bit hashes, to the longest run that both documents have; of
+    fewer than ``min_words`` words none is reported. Where the first document shares less, the first that
+    shares ``min_words`` is the source. Thus every run of ``min_words`` words that an earlier document has is
+    within a reported span. A passage with thousands of copies is thousands of rows, not of pairs.
 
     With a given index, which may hold earlier documents, the documents are further batches of it.
 
@@ -165,4 +268,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         part = source if batches == 1 else source.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == b)
         found = index.add(part)
         hits = found if hits is None else hits.unionByName(found)
-    return spans(hits, index.k)
+    least = index.k + index.w - 1
+    texts = reduce(DataFrame.unionByName, index.texts)
+    whole = checkpointed(extended(spans(hits, index.k), texts), "spans")
+    long, short = whole.where(F.col("n_words") >= least), whole.where(F.col("n_words") < least)
+    if short.isEmpty():
+        return long
+    return long.unionByName(extended(other_sources(short, hits, index), texts)).distinct()

@@ -177,6 +177,20 @@ def test_substring_guarantee(spark):
     assert all(sum(i in hit for i in range(j, 36, 12)) == 2 for j in range(12)) and not any(i >= 50 for i in hit)
 
 
+def test_substring_spans_are_whole(spark):
+    rng = random.Random(16)
+    shared = {n: prose(rng, n, 5000) for n in (45, 49, 50, 51, 60, 300)}
+    rows = [(10 * n + i, f"{prose(rng, 30, 5000)} s{i} {p} e{i} {prose(rng, 30, 5000)}") for n, p in shared.items() for i in range(3)]
+    out = substring.repeated_spans(frame(spark, rows), batches=2).collect()
+    assert {(r.doc_id // 10, r.start, r.n_words, r.source_start) for r in out} == {(n, 31, n, 31) for n in shared if n >= 50} and len(out) == 8
+    # the first document has 45 words of a passage, the second 52
+    p = prose(rng, 52, 5000).split()
+    index = substring.FingerprintIndex(spark)
+    for i, (a, b) in enumerate([(4, 49), (0, 52), (0, 52)]):
+        found = substring.repeated_spans(frame(spark, [(i, f"{prose(rng, 30, 5000)} s{i} {' '.join(p[a:b])} e{i}")]), batches=1, index=index).collect()
+    assert [tuple(r) for r in found] == [(2, 31, 52, 1, 31)]
+
+
 def test_index_goes_on_with_later_documents(spark):
     rng = random.Random(7)
     p = prose(rng, 70, 5000)
