@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,13 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder's URI under the session's ``spark.checkpoint.dir``.
+    """A new folder's whole URI under the session's ``spark.checkpoint.dir``; a path without scheme is one of the default file system.
 
     Only a local session may have none; it gets a temporary folder, as in tests.
     """
@@ -26,16 +32,38 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if "://" not in base and base.startswith("/"):
-        base = "file://" + base
-    return f"{base.rstrip('/')}/tessera-{name}-{uuid.uuid4().hex[:12]}"
+    fs, p = _hadoop_path(spark, f"{base.rstrip('/')}/tessera-{name}-{uuid.uuid4().hex[:12]}")
+    return re.sub(r"^file:/(?!/)", "file:///", fs.makeQualified(p).toString())
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)
 
 
-def checkpointed(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends there, and lost executors cost nothing."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def checkpointed(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+    """Writes df to the shared folder and reads it back: lineage ends there, and lost executors cost nothing.
+
+    The shuffle files of the write aren't needed after it and go at once.
+    """
+    spark = df.sparkSession
+    path, before = shared_dir(spark, name), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table that :func:`checkpointed` wrote, once nothing reads it any more."""
+    delete_dir(df.sparkSession, df.written_to)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -96,10 +124,6 @@ def _last_change(table: pa.Table, keys: list[str]) -> int:
     return int(at[-1]) + 1 if len(at) else 0
 
 
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(f, schema)
-
-
 def hash_id(column: str, seed: int) -> Column:
     """52 seeded bits of a column as a double in [0, 1): the md5 that DuckDB also has, so that SQL can repeat it."""
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(column).cast("string")).cast("binary"))

@@ -1,4 +1,4 @@
-"""Operator 1: language-model scores by deleted interpolation of byte n-grams."""
+"""Operator 1: language-model scores by deleted interpolation of word n-grams."""
 
 from __future__ import annotations
 
@@ -6,76 +6,171 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, shuffle_partitions
-from .textkernel import slices, text_bytes
+from .common import by_key, checkpointed, shuffle_partitions
+from .textkernel import mix, slices, word_hashes
 
-#: Symbols of the longest n-gram.
-ORDER = 5
-#: The symbol before and after a text: a byte that UTF-8 never has.
-BOUND = 255
+#: Words of the longest n-gram.
+ORDER = 3
 #: Context-frequency buckets: unseen, then one for each power of two.
 BUCKETS = 48
-#: Distinct n-grams (12 bytes each) up to which every worker gets all scores; beyond it scores are joined by shuffle.
-TABLE_ROWS = 8_000_000
+#: Bytes of text whose n-grams a worker counts and scores at once, and n-grams of one range of keys. Larger ones make fewer and longer messages.
+CHUNK_BYTES, RANGE_KEYS = 16 << 20, 4 << 20
+#: Bytes that a word is taken to have with what is between words.
+WORD_BYTES = 6
 _U = np.uint64
+#: The symbols before and after a text.
+_BEGIN, _END = _U(0x1D8E4E27C47D124F), _U(0xEB44ACCAB455D165)
+_CHUNK = "chunk long, held boolean, n_docs long, n_symbols long, ids array<long>, known array<boolean>, lens array<int>, vocabulary binary, words binary"
+_COUNTS = "range int, chunk long, held boolean, keys binary, counts binary"
+_TOTALS = "chunk long, range int, held boolean, at binary, total binary, train binary, n_words long"
+_SCORES = "doc_id long, known boolean, n_words long, bits double"
+_CASES = "n long, " + ", ".join(f"q{k} double, b{k} long" for k in range(1, ORDER + 1))
 
 
-def grams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The packed 5-gram that ends in each symbol (8 bits a symbol), and offsets of the documents' symbols.
+def _planes(a: np.ndarray) -> bytes:
+    """The bytes of all numbers, the lowest ones first: what is alike in all of them compresses to nothing."""
+    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
 
-    A text has its bytes and an end symbol; four bound symbols stand before it.
+
+def _numbers(data: bytes, dtype: str) -> np.ndarray:
+    kind = np.dtype(dtype)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
+def gram_keys(wh: np.ndarray, wo: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """For every symbol of the texts (their words and an end symbol) the keys of the 1-, 2- and 3-grams that end in it, and the texts' offsets.
+
+    The two lowest bits of a key are its order, so that n-grams of different orders never meet.
     """
-    n, lens = len(off) - 1, np.diff(off)
-    sym = np.full(len(data) + 5 * n, BOUND, dtype=np.uint8)
-    sym[np.arange(len(data)) + np.repeat(5 * np.arange(n) + 4, lens)] = data
-    s = sym.astype(_U)
-    g = s[: -ORDER + 1].copy()
-    for i in range(1, ORDER):
-        g <<= _U(8)
-        g |= s[i : len(s) - ORDER + 1 + i]
-    keep = np.ones(len(g), dtype=bool)
-    seams = off[1:-1] + 5 * np.arange(n - 1)  # the last symbol of every text but the last; four grams after it span two texts
-    for i in range(1, ORDER):
-        keep[seams + i] = False
-    return g[keep], off + np.arange(n + 1)
-
-
-def _summed(g: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
-    order = np.argsort(g, kind="stable")
-    g = g[order]
-    first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
-    return [g[first], *((np.add.reduceat(c[order], first) if len(g) else c) for c in counts)]
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each distinct n-gram of the partition: its count, and that in held-out texts."""
-    parts: list[list[np.ndarray]] = []
-    rows = 0
-    for batch in batches:
-        for b in slices(batch, "t"):
-            g, eo = grams(*text_bytes(b.column(0)))
-            held = np.repeat(b.column(1).to_numpy(zero_copy_only=False), np.diff(eo))
-            g = np.sort(g << _U(1) | held.astype(_U))
-            first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
-            n, flag = np.diff(np.append(first, len(g))), (g[first] & _U(1)).astype(np.int64)
-            parts.append(_summed(g[first] >> _U(1), n, n * flag))
-            rows += len(parts[-1][0])
-            if len(parts) > 1 and rows > 2_000_000 + 2 * len(parts[0][0]):
-                parts = [_summed(*(np.concatenate(x) for x in zip(*parts)))]
-                rows = len(parts[0][0])
-    if parts:
-        out = _summed(*(np.concatenate(x) for x in zip(*parts)))
-        for lo in range(0, len(out[0]), 500_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[lo : lo + 500_000].astype(np.int64)) for x in out], ["g", "n", "held"])
-
-
-def _by(keys: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
-    """For every row the sums of counts over the rows of its key."""
-    _, inverse = np.unique(keys, return_inverse=True)
-    return [np.bincount(inverse, weights=c)[inverse] for c in counts]
+    n = len(wo) - 1
+    so = wo + np.arange(n + 1)
+    sym = np.full(so[-1], _END, dtype=_U)
+    sym[np.arange(len(wh)) + np.repeat(np.arange(n), np.diff(wo))] = wh
+    keys, h = [], sym
+    for k in range(ORDER):
+        if k:
+            before = np.full(len(sym), _BEGIN, dtype=_U)
+            before[k:] = sym[:-k]
+            for i in range(k):  # positions whose k-th symbol before is of the text before
+                at = so[:-1] + i
+                before[at[at < so[1:]]] = _BEGIN
+            h = mix(h * _U(0x9E3779B97F4A7C15) + before)
+        keys.append((mix(h) & ~_U(3)) | _U(k))
+    return keys, so
+
+
+def _chunks(chunk_bytes: int):
+    """Packs a partition's texts, held-out ones apart, to rows of about ``chunk_bytes`` of text: a vocabulary and the words' numbers in it."""
+
+    def pack(chunk: int, held: bool, ids: list, known: list, lens: list, hashes: list) -> pa.RecordBatch:
+        words, number, n = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(words), dtype=np.uint32)
+        rank[order] = np.arange(len(words))
+        size = np.concatenate(lens)
+        one = lambda x, kind: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x.cast(kind) if isinstance(x, pa.Array) else pa.array(x, kind))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk]), pa.array([held]), pa.array([len(size)]), pa.array([int(size.sum()) + len(size)]), one(pa.concat_arrays(ids), pa.int64()), one(np.concatenate(known), pa.bool_()), one(size, pa.int32()), pa.array([words[order].tobytes()], pa.binary()), pa.array([_planes(rank[number])], pa.binary())],
+            [c.split()[0] for c in _CHUNK.split(", ")],
+        )
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 24
+        open_: dict[bool, list] = {}
+        for batch in batches:
+            for b in slices(batch, "t"):
+                held = b.column(3).to_numpy(zero_copy_only=False)
+                for h in (False, True):
+                    part = b if not h and not held.any() else b.filter(pa.array(held == h))
+                    if not part.num_rows:
+                        continue
+                    wh, wo = word_hashes(part.column(1))
+                    have = open_.setdefault(h, [[], [], [], []])
+                    for to, x in zip(have, (part.column(0), part.column(2).to_numpy(zero_copy_only=False), np.diff(wo), wh)):
+                        to.append(x)
+                    if sum(map(len, have[3])) * WORD_BYTES >= chunk_bytes:
+                        yield pack(number, h, *open_.pop(h))
+                        number += 1
+        for h, have in open_.items():
+            yield pack(number, h, *have)
+            number += 1
+
+    return chunks
+
+
+class _Grams:
+    """All n-grams of a chunk: sorted distinct keys, their counts in the chunk, and the place of each symbol's n-grams among them."""
+
+    def __init__(self, row: dict, places: bool) -> None:
+        lens = np.asarray(row["lens"], dtype=np.int64)
+        words = np.frombuffer(row["vocabulary"], _U)[_numbers(row["words"], "<u4")] if len(row["words"]) else np.zeros(0, _U)
+        keys, self.so = gram_keys(words, np.concatenate([[0], np.cumsum(lens)]))
+        every = np.concatenate(keys)
+        if places:
+            self.keys, at, self.n = np.unique(every, return_inverse=True, return_counts=True)
+            self.at = at.reshape(ORDER, -1)
+        else:
+            self.keys, self.n = np.unique(every, return_counts=True)
+
+    def cuts(self, ranges: int) -> np.ndarray:
+        """Where each range of keys begins."""
+        return np.searchsorted((self.keys >> _U(32)) * _U(ranges) >> _U(32), np.arange(ranges + 1, dtype=_U))
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b.slice(i, 1).to_pylist()[0]
+
+
+def _count(ranges: int):
+    """Every chunk's n-grams and counts, a row for each range of keys."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            g = _Grams(row, places=False)
+            cut, n = g.cuts(ranges), g.n.astype("<u4")
+            at = np.flatnonzero(cut[:-1] < cut[1:])
+            for some in np.array_split(at, max(1, len(g.keys) >> 20)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int32()), pa.array([row["chunk"]] * len(some), pa.int64()), pa.array([row["held"]] * len(some), pa.bool_()), pa.array([_planes(g.keys[cut[i] : cut[i + 1]]) for i in some], pa.binary()), pa.array([_planes(n[cut[i] : cut[i + 1]]) for i in some], pa.binary())],
+                    [c.split()[0] for c in _COUNTS.split(", ")],
+                )
+
+    return count
+
+
+def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds up the counts of one range after the other, and gives each chunk those that other chunks have a share in.
+
+    The row of chunk -1 is the range's number of distinct words.
+    """
+    for table in by_key(batches, ["range"], 1):
+        number = table.column("range").to_numpy()
+        for r in np.unique(number):
+            rows = table.filter(pa.array(number == r)).to_pylist()
+            parts = [_numbers(x["keys"], "<u8") for x in rows]
+            keys, n = np.concatenate(parts), np.concatenate([_numbers(x["counts"], "<u4") for x in rows]).astype(np.int64)
+            size = np.array(list(map(len, parts)))
+            held = np.repeat([x["held"] for x in rows], size)
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            group = np.empty(len(keys), dtype=np.int64)
+            group[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
+            total, train = np.add.reduceat(n[order], first), np.add.reduceat((n * ~held)[order], first)
+            out = []
+            for x, lo, hi in zip(rows, np.cumsum(size) - size, np.cumsum(size)):
+                t = total[group[lo:hi]]
+                at = np.flatnonzero(t != n[lo:hi])
+                out.append((x["chunk"], int(r), x["held"], _planes(at.astype("<u4")), _planes(t[at]), _planes(train[group[lo:hi][at]]) if x["held"] else b"", 0))
+            out.append((-1, int(r), False, b"", b"", b"", int((keys[first] & _U(3) == 0).sum())))
+            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], [c.split()[0] for c in _TOTALS.split(", ")])
 
 
 def bucket(x: np.ndarray) -> np.ndarray:
@@ -83,143 +178,116 @@ def bucket(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, 1 + np.floor(np.log2(np.maximum(x, 1))), 0).astype(np.int64).clip(0, BUCKETS - 1)
 
 
-_SIDES = ("t", "a")  # counts of the texts that aren't held out, and of all
-_TAILS = [f"{s}{k}" for s in _SIDES for k in (4, 3, 2)]
-_WITH_TAILS = "g long, n long, held long, " + ", ".join(f"{c} double" for c in _TAILS)
-_MODEL = "g long, held long, " + ", ".join(f"{s}{k} double, {s}b{k} long" for s in _SIDES for k in range(1, ORDER + 1))
-
-
-def _whole(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
-    """All columns of a partition."""
-    got = [b for b in batches if b.num_rows]
-    table = pa.Table.from_batches(got) if got else None
-    return [] if table is None else [c.to_numpy() for c in table.columns]
-
-
-def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the counts of each n-gram's last 4, 3 and 2 symbols."""
-    cols = _whole(batches)
-    if not cols:
-        return
-    g, n, held = cols
-    out = {}
-    for k in (4, 3, 2):
-        out[f"t{k}"], out[f"a{k}"] = _by(g & ((1 << 8 * k) - 1), n - held, n)
-    yield from pa.table([pa.array(x) for x in (g, n, held, *(out[c] for c in _TAILS))], names=["g", "n", "held", *_TAILS]).to_batches(200_000)
-
-
-def _ratios(last: dict[str, np.ndarray], context: dict[str, np.ndarray]):
-    """Turns counts into maximum-likelihood estimates of every order and the buckets of their contexts."""
-
-    def ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols = _whole(batches)
-        if not cols:
-            return
-        g, n, held = cols[:3]
-        tail = dict(zip(_TAILS, cols[3:]))
-        tail |= {"t5": (n - held).astype(float), "a5": n.astype(float)}
-        data: list[np.ndarray] = [g, held]
-        seen = {}
-        for k in (5, 4, 3):  # contexts of k - 1 symbols
-            seen[f"t{k}"], seen[f"a{k}"] = _by(g >> 8 & ((1 << 8 * (k - 1)) - 1), n - held, n)
-        for s in _SIDES:
-            seen[f"{s}2"] = context[s][g >> 8 & 255]
-            seen[f"{s}1"], tail[f"{s}1"] = np.full(len(g), last[s].sum()), last[s][g & 255]
-            for k in range(1, ORDER + 1):
-                x = seen[f"{s}{k}"]
-                data += [tail[f"{s}{k}"] / np.maximum(x, 1), bucket(x)]
-        yield from pa.table([pa.array(x) for x in data], names=[c.split()[0] for c in _MODEL.split(", ")]).to_batches(200_000)
-
-    return ratios
-
-
-def mixed(q: list[np.ndarray], b: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+def _estimates(counts: list[np.ndarray], begins: np.ndarray, so: np.ndarray, symbols: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Maximum-likelihood estimates of orders 1 to 3 and the buckets of their contexts.
+
+    counts: of the n-grams that end in each symbol. An n-gram was followed by a symbol as often as it occurred, as none
+    goes on after an end symbol; so the context's count is that of the shorter n-gram one symbol before, and
+    ``begins`` (texts) at a text's first symbol. symbols: of all texts, the context of order 1.
+    """
+    q, b = [], []
+    for k in range(ORDER):
+        x = np.concatenate([[0], counts[k - 1][:-1]]) if k else symbols
+        if k:
+            x[so[:-1]] = begins
+        q.append(counts[k] / np.maximum(x, 1))
+        b.append(bucket(x))
+    return q, b
+
+
+def mixed(q: list[np.ndarray], b: list[np.ndarray], weights: np.ndarray, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Interpolated probability, and the share that each order (0: uniform) has in it.
 
-    q, b: estimates and context buckets of orders 1 to 5; weights: orders x buckets.
+    q, b: estimates and context buckets of orders 1 to 3; weights: orders x buckets; words: distinct ones.
     """
-    lam = [np.where(b[k] > 0, weights[k][b[k]], 0.0) for k in range(ORDER)]
     rest = np.ones(len(q[0]))
     parts = []
     for k in range(ORDER - 1, -1, -1):
-        parts.append(rest * lam[k] * q[k])
-        rest = rest * (1 - lam[k])
-    parts.append(rest / 256)
+        lam = np.where(b[k] > 0, weights[k][b[k]], 0.0)
+        parts.append(rest * lam * q[k])
+        rest = rest * (1 - lam)
+    parts.append(rest / (words + 1))
     return np.sum(parts, axis=0), parts[::-1]
 
 
-def _expect(weights: np.ndarray):
+def _filled(g: _Grams, answers: pa.Table, ranges: int, column: str, own: np.ndarray) -> np.ndarray:
+    """The chunk's counts, replaced by the sums that came back."""
+    out, cut = own.astype(np.int64), g.cuts(ranges)
+    for x in answers.select(["range", "at", column]).to_pylist():
+        out[cut[x["range"]] + _numbers(x["at"], "<u4").astype(np.int64)] = _numbers(x[column], "<i8")
+    return out
+
+
+def _held_cases(ranges: int, n_docs: int, n_symbols: int):
+    """The distinct cases (estimates and buckets from the texts that aren't held out) of a held-out chunk's symbols, with how often each occurs."""
+
+    def cases(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        names = [c.split()[0] for c in _CASES.split(", ")]
+        if not chunk.num_rows:
+            return pa.table({n: pa.array([], pa.float64() if n[0] == "q" else pa.int64()) for n in names})
+        g = _Grams(chunk.to_pylist()[0], places=True)
+        train = _filled(g, answers, ranges, "train", np.zeros(len(g.keys)))
+        q, b = _estimates([train[at] for at in g.at], np.full(len(g.so) - 1, n_docs), g.so, np.full(g.so[-1], n_symbols))
+        h = np.zeros(g.so[-1], dtype=_U)
+        for x in (*q, *b):
+            h = mix(h * _U(3) + x.view(_U))
+        _, first, n = np.unique(h, return_index=True, return_counts=True)
+        return pa.table([pa.array(n), *(pa.array(x[first]) for k in range(ORDER) for x in (q[k], b[k]))], names=names)
+
+    return cases
+
+
+def _score(ranges: int, n_docs: int, n_symbols: int, words: int, weights: np.ndarray):
+    """Code length of each text of a chunk; its own n-grams are taken from the counts."""
+
+    def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        if not chunk.num_rows:
+            return pa.table({"doc_id": pa.array([], pa.int64()), "known": pa.array([], pa.bool_()), "n_words": pa.array([], pa.int64()), "bits": pa.array([], pa.float64())})
+        row = chunk.to_pylist()[0]
+        g = _Grams(row, places=True)
+        total, size = _filled(g, answers, ranges, "total", g.n), np.diff(g.so)
+        doc = np.repeat(np.arange(len(size)), size)
+        others = []
+        for at in g.at:
+            own = np.ones(len(at), dtype=np.int64)
+            again = np.flatnonzero(g.n[at] > 1)  # the others occur once in the chunk, so once in the text
+            _, pair, n = np.unique(doc[again] * len(g.keys) + at[again], return_inverse=True, return_counts=True)
+            own[again] = n[pair]
+            others.append(total[at] - own)
+        q, b = _estimates(others, np.full(len(size), n_docs - 1), g.so, n_symbols - size[doc])
+        p, _ = mixed(q, b, weights, words)
+        bits = np.add.reduceat(-np.log2(p), g.so[:-1])
+        return pa.table({"doc_id": pa.array(row["ids"], pa.int64()), "known": pa.array(row["known"], pa.bool_()), "n_words": pa.array(size), "bits": pa.array(bits)})
+
+    return score
+
+
+def _expect(weights: np.ndarray, words: int):
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         used, reached, bits = np.zeros((ORDER, BUCKETS)), np.zeros((ORDER, BUCKETS)), 0.0
         for batch in batches:
-            cols = [c.to_numpy() for c in batch.columns]
-            held, q, b = cols[0], cols[1::2], cols[2::2]
-            p, parts = mixed(q, b, weights)
-            share = [held * x / p for x in parts]
+            n, *cols = [c.to_numpy() for c in batch.columns]
+            q, b = cols[::2], cols[1::2]
+            p, parts = mixed(q, b, weights, words)
+            share = [n * x / p for x in parts]
             below = share[0]
             for k in range(ORDER):
                 below = below + share[k + 1]
                 used[k] += np.bincount(b[k], share[k + 1], BUCKETS)
                 reached[k] += np.bincount(b[k], below, BUCKETS)
-            bits -= float((held * np.log2(p)).sum())
+            bits -= float((n * np.log2(p)).sum())
         k, i = np.nonzero(reached)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(k, -1)), pa.array(np.append(i, 0)), pa.array(np.append(used[k, i], bits)), pa.array(np.append(reached[k, i], 0.0))], ["k", "b", "used", "reached"])
 
     return expect
 
 
-def _bits(weights: np.ndarray):
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cols = [c.to_numpy() for c in batch.columns]
-            p, _ = mixed(cols[1::2], cols[2::2], weights)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(-np.log2(p))], ["g", "bits"])
-
-    return bits
-
-
-def _lookup(held):
-    def lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, values = held.value
-        for batch in batches:
-            for b in slices(batch, "t"):
-                g, eo = grams(*text_bytes(b.column(1)))
-                n = np.diff(eo)
-                total = np.zeros(len(n))
-                for lo in range(0, len(n), 1 << 20):  # 20 bits number the document, so that one sort brings equal n-grams together
-                    part = n[lo : lo + (1 << 20)]
-                    x = np.sort(g[eo[lo] : eo[lo + len(part)]] << _U(20) | np.repeat(np.arange(len(part), dtype=_U), part))
-                    gram = x >> _U(20)
-                    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-                    found = values[np.searchsorted(keys, gram[first]).clip(0, len(keys) - 1)] if len(keys) else np.zeros(len(first))
-                    doc = (x & _U((1 << 20) - 1)).astype(np.int64)
-                    total[lo : lo + len(part)] = np.bincount(doc, np.repeat(found, np.diff(np.append(first, len(x)))), len(part))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n), pa.array(total)], ["doc_id", "known", "n_symbols", "bits"])
-
-    return lookup
-
-
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every row's distinct n-grams with counts."""
-    for batch in batches:
-        for b in slices(batch, "t"):
-            g, eo = grams(*text_bytes(b.column(1)))
-            row = b.column(0).to_numpy()
-            doc = np.repeat(np.arange(b.num_rows), np.diff(eo))
-            order = np.lexsort((g, doc))
-            g, doc = g[order], doc[order]
-            first = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])]))
-            yield pa.RecordBatch.from_arrays([pa.array(row[doc[first]]), pa.array(g[first].astype(np.int64)), pa.array(np.diff(np.append(first, len(g))))], ["row", "g", "n"])
-
-
-def learn_weights(model: DataFrame, rounds: int) -> np.ndarray:
-    """Weights (orders x buckets) by expectation-maximisation on the held-out counts of all n-grams."""
+def learn_weights(cases: DataFrame, words: int, rounds: int) -> np.ndarray:
+    """Weights (orders x buckets) by expectation-maximisation on the held-out symbols."""
     weights = np.full((ORDER, BUCKETS), 0.5)  # stays where no held-out text has the bucket
-    names = ["held", *(c for k in range(1, ORDER + 1) for c in (f"t{k}", f"tb{k}"))]
-    rows = model.where("held > 0").select(*names)
     last = None
     for _ in range(rounds):
-        sums = rows.mapInArrow(_expect(weights), "k long, b long, used double, reached double").groupBy("k", "b").agg(F.sum("used").alias("u"), F.sum("reached").alias("r")).collect()
+        sums = cases.mapInArrow(_expect(weights, words), "k long, b long, used double, reached double").groupBy("k", "b").agg(F.sum("used").alias("u"), F.sum("reached").alias("r")).collect()
         bits = sum(r["u"] for r in sums if r["k"] < 0)
         for r in sums:
             if r["k"] >= 0 and r["r"] > 0:
@@ -230,61 +298,46 @@ def learn_weights(model: DataFrame, rounds: int) -> np.ndarray:
     return weights
 
 
-def fit(docs: DataFrame, text_col: str = "text", held_of: int = 10, rounds: int = 15) -> DataFrame:
-    """``g, bits``: the code length of every 5-gram of the corpus, written to the shared folder. See :func:`score`."""
-    spark = docs.sparkSession
-    t = F.col(f"`{text_col}`")
-    source = docs.where(t.isNotNull()).select(t.alias("t"), (F.pmod(F.xxhash64(t), F.lit(held_of)) == 0).alias("h"))
-    counts = checkpointed(source.mapInArrow(_count, "g long, n long, held long").groupBy("g").agg(F.sum("n").alias("n"), F.sum("held").alias("held")), "grams")
-    last, context = ({s: np.zeros(256) for s in _SIDES} for _ in range(2))
-    ends = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("g").bitwiseAND(F.lit(255)).alias("v")), F.struct(F.lit(1).alias("side"), F.shiftright("g", 8).bitwiseAND(F.lit(255)).alias("v")))).alias("e")
-    for r in counts.select(ends, "n", "held").groupBy("e").agg(F.sum("n").alias("n"), F.sum("held").alias("held")).collect():  # 512 rows at most
-        to = (last, context)[r["e"]["side"]]
-        to["t"][r["e"]["v"]], to["a"][r["e"]["v"]] = r["n"] - r["held"], r["n"]
-    n = shuffle_partitions(spark)
-    tails = counts.repartition(n, F.col("g").bitwiseAND(F.lit(0xFFFF))).mapInArrow(_tails, _WITH_TAILS)
-    model = checkpointed(tails.repartition(n, F.shiftright("g", 8).bitwiseAND(F.lit(0xFFFF))).mapInArrow(_ratios(last, context), _MODEL), "ratios")
-    weights = learn_weights(model, rounds)
-    names = ["g", *(c for k in range(1, ORDER + 1) for c in (f"a{k}", f"ab{k}"))]
-    return checkpointed(model.select(*names).mapInArrow(_bits(weights), "g long, bits double"), "bits")
-
-
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_of: int = 10, rounds: int = 15, table_rows: int = TABLE_ROWS) -> DataFrame:
-    """How well a byte 5-gram model of the whole corpus predicts each document.
-
-    Returns ``doc_id, n_symbols, bits, bits_per_symbol, perplexity``; symbols are the text's UTF-8 bytes and
-    an end symbol.
-
-    Counts: every partition counts its distinct 5-grams, and the sums over all texts give the counts of
-    every order. One text of ``held_of`` (by the text's hash, so that copies stay together) is held out.
-    Estimates: P_k = w_k(c) ML_k + (1 - w_k(c)) P_(k-1), where ML_k is the maximum-likelihood estimate of
-    order k from all texts, c the bucket of its context's count (powers of two; an unseen context has weight
-    0) and P_0 uniform over 256 symbols. The weights w are learned by at most ``rounds`` rounds of
-    expectation-maximisation on the held-out counts against estimates from the other texts; a bucket that
-    no held-out text has keeps 1/2. Scores then use the counts of all texts.
-
-    The code lengths of up to ``table_rows`` distinct 5-grams are sent to every worker. Larger tables are
-    joined by shuffle with the documents' distinct 5-grams.
-
-    Nulls: a null id stays null; a null text has null results and isn't counted; an empty text is its end
-    symbol. Repeated rows are counted and scored each. An empty table gives an empty result; other columns
-    are ignored.
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_of: int = 10, rounds: int = 15, chunk_bytes: int = CHUNK_BYTES, range_keys: int = RANGE_KEYS) -> DataFrame:
+    """How well a word trigram model of all other documents predicts each document.
+
+    Returns ``doc_id, n_words, bits_per_word, perplexity``; n_words counts the text's words (runs of letters and digits,
+    in lower case, compared by 64-bit hash) and an end symbol.
+
+    Estimates: P_k = w_k(c) ML_k + (1 - w_k(c)) P_(k-1), where ML_k is the maximum-likelihood estimate of order k, c the
+    bucket of its context's count (powers of two; an unseen context has weight 0) and P_0 uniform over the corpus's
+    distinct words and one unknown. The weights w are learned by at most ``rounds`` rounds of expectation-maximisation
+    on the n-grams of held-out texts (one of ``held_of``, by a hash of id and text) against counts of the others; a
+    bucket that no held-out text has keeps 1/2. A score then uses the counts of all texts but the document itself:
+    as a text helps predict itself whatever it says, its own n-grams are deleted. So a document that occurs twice is
+    nearly free, and one unlike all others is dear.
+
+    Plan: texts become chunks of about ``chunk_bytes``, written to the shared folder. Each sends its distinct
+    n-grams with counts, a message for each range of keys; a range's counts are added up and go back to the chunks for those
+    n-grams that other chunks have too. What moves grows with the distinct n-grams of the chunks, texts don't move,
+    a frequent n-gram is one number a chunk, and workers hold a chunk or a range of about ``range_keys`` n-grams.
+
+    Nulls: a null id stays null; a null text has null results and isn't counted; an empty text, or one without words, is
+    its end symbol. A text larger than a chunk is a chunk of its own. Ties don't occur; repeated rows are counted and
+    scored each. An empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
-    t = F.col(f"`{text_col}`")
-    table = fit(docs, text_col, held_of, rounds)
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), t.alias("t"), t.isNotNull().alias("k"))
-    if table.count() <= table_rows:
-        got = table.toArrow()
-        keys, values = got.column("g").to_numpy().astype(_U), got.column("bits").to_numpy()
-        order = np.argsort(keys)
-        held = spark.sparkContext.broadcast((keys[order], values[order]))
-        out = source.mapInArrow(_lookup(held), "doc_id long, known boolean, n_symbols long, bits double")
-    else:
-        numbered = checkpointed(source.withColumn("row", F.monotonically_increasing_id()), "texts")
-        parts = numbered.select("row", "t").mapInArrow(_spread, "row long, g long, n long").join(table, "g")
-        sums = parts.groupBy("row").agg(F.sum("n").alias("n_symbols"), F.sum(F.col("n") * F.col("bits")).alias("bits"))
-        out = numbered.select("row", F.col("id").alias("doc_id"), F.col("k").alias("known")).join(sums, "row", "left")
-    mean = F.col("bits") / F.col("n_symbols")
-    results = {"n_symbols": F.col("n_symbols"), "bits": F.col("bits"), "bits_per_symbol": mean, "perplexity": F.pow(F.lit(2.0), mean)}
-    return out.select("doc_id", *(F.when(F.col("known"), c).alias(name) for name, c in results.items()))
+    t, i = F.col(f"`{text_col}`"), F.col(f"`{id_col}`").cast("long")
+    source = docs.select(i.alias("id"), t.alias("t"), t.isNotNull().alias("k"), (t.isNotNull() & (F.pmod(F.xxhash64(i, t), F.lit(held_of)) == 0)).alias("h"))
+    nothing = source.where(~F.col("k")).select(F.col("id").alias("doc_id"), F.lit(None).cast("long").alias("n_words"), F.lit(None).cast("double").alias("bits_per_word"), F.lit(None).cast("double").alias("perplexity"))
+    texts = source.where("k").select("id", F.lower("t").alias("t"), "k", "h")
+    chunks = checkpointed(texts.mapInArrow(_chunks(chunk_bytes), _CHUNK), "chunks", compression="zstd")
+    sizes = {r["held"]: (r["d"], r["n"]) for r in chunks.groupBy("held").agg(F.sum("n_docs").alias("d"), F.sum("n_symbols").alias("n")).collect()}
+    (train_docs, train_symbols), (held_docs, held_symbols) = sizes.get(False, (0, 0)), sizes.get(True, (0, 0))
+    n_docs, n_symbols, n = train_docs + held_docs, train_symbols + held_symbols, shuffle_partitions(spark)
+    ranges = max(4 * n, -(-2 * n_symbols // range_keys))
+    counts = chunks.mapInArrow(_count(ranges), _COUNTS).repartition(n, "range").sortWithinPartitions("range")
+    totals = checkpointed(counts.mapInArrow(_total, _TOTALS), "totals", compression="zstd")
+    words = totals.where("chunk < 0").agg(F.sum("n_words")).first()[0] or 0
+    answers = totals.where("chunk >= 0").drop("n_words")
+    held = chunks.where("held").groupBy("chunk").cogroup(answers.where("held").groupBy("chunk"))
+    cases = checkpointed(held.applyInArrow(_held_cases(ranges, train_docs, train_symbols), _CASES), "cases")
+    weights = learn_weights(cases, words, rounds)
+    out = chunks.groupBy("chunk").cogroup(answers.drop("train").groupBy("chunk")).applyInArrow(_score(ranges, n_docs, n_symbols, words, weights), _SCORES)
+    mean = F.col("bits") / F.col("n_words")
+    return out.select("doc_id", "n_words", mean.alias("bits_per_word"), F.pow(F.lit(2.0), mean).alias("perplexity")).unionByName(nothing)
