@@ -18,7 +18,7 @@ ORDER = 3
 #: Context-frequency buckets: unseen, then one for each power of two.
 BUCKETS = 48
 #: Bytes of text whose n-grams a worker counts and scores at once, and n-grams of one range of keys. Larger ones make fewer and longer messages.
-CHUNK_BYTES, RANGE_KEYS = 16 << 20, 4 << 20
+CHUNK_BYTES, RANGE_KEYS = 8 << 20, 4 << 20
 #: Bytes that a word is taken to have with what is between words.
 WORD_BYTES = 6
 _U = np.uint64
@@ -44,7 +44,7 @@ def _numbers(data: bytes, dtype: str) -> np.ndarray:
 def gram_keys(wh: np.ndarray, wo: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """For every symbol of the texts (their words and an end symbol) the keys of the 1-, 2- and 3-grams that end in it, and the texts' offsets.
 
-    The two lowest bits of a key are its order, so that n-grams of different orders never meet.
+    A key has 56 bits: a hash and, as its two lowest bits, the order, so that n-grams of different orders never meet.
     """
     n = len(wo) - 1
     so = wo + np.arange(n + 1)
@@ -59,7 +59,7 @@ def gram_keys(wh: np.ndarray, wo: np.ndarray) -> tuple[list[np.ndarray], np.ndar
                 at = so[:-1] + i
                 before[at[at < so[1:]]] = _BEGIN
             h = mix(h * _U(0x9E3779B97F4A7C15) + before)
-        keys.append((mix(h) & ~_U(3)) | _U(k))
+        keys.append(mix(h) >> _U(10) << _U(2) | _U(k))
     return keys, so
 
 
@@ -103,22 +103,35 @@ def _chunks(chunk_bytes: int):
 
 
 class _Grams:
-    """All n-grams of a chunk: sorted distinct keys, their counts in the chunk, and the place of each symbol's n-grams among them."""
+    """The n-grams of a chunk, one order after the other: sorted distinct keys, their counts in the chunk, and the place of each symbol's n-gram among them."""
 
     def __init__(self, row: dict, places: bool) -> None:
         lens = np.asarray(row["lens"], dtype=np.int64)
         words = np.frombuffer(row["vocabulary"], _U)[_numbers(row["words"], "<u4")] if len(row["words"]) else np.zeros(0, _U)
-        keys, self.so = gram_keys(words, np.concatenate([[0], np.cumsum(lens)]))
-        every = np.concatenate(keys)
-        if places:
-            self.keys, at, self.n = np.unique(every, return_inverse=True, return_counts=True)
-            self.at = at.reshape(ORDER, -1)
-        else:
-            self.keys, self.n = np.unique(every, return_counts=True)
-
-    def cuts(self, ranges: int) -> np.ndarray:
-        """Where each range of keys begins."""
-        return np.searchsorted((self.keys >> _U(32)) * _U(ranges) >> _U(32), np.arange(ranges + 1, dtype=_U))
+        every, self.so = gram_keys(words, np.concatenate([[0], np.cumsum(lens)]))
+        self.keys, self.n, self.at = [], [], []
+        while every:
+            found = np.unique(every.pop(0), return_inverse=places, return_counts=True)
+            self.keys.append(found[0])
+            self.n.append(found[-1])
+            if places:
+                self.at.append(found[1].astype(np.uint32))
+
+    def cuts(self, ranges: int) -> list[np.ndarray]:
+        """Where each range of keys begins, in the keys of every order."""
+        return [np.searchsorted((k >> _U(24)) * _U(ranges) >> _U(32), np.arange(ranges + 1, dtype=_U)) for k in self.keys]
+
+    def filled(self, answers: pa.Table, ranges: int, column: str, own: list[np.ndarray]) -> list[np.ndarray]:
+        """Counts of every order, replaced by the sums that came back; a range's keys are those of order 1, then of 2, then of 3."""
+        out, cuts = [x.astype(np.int64) for x in own], self.cuts(ranges)
+        for x in answers.select(["range", "at", column]).to_pylist():
+            at, value, r = np.cumsum(_numbers(x["at"], "<u4").astype(np.int64)), _numbers(x[column], "<i8"), x["range"]
+            first = 0
+            for to, cut in zip(out, cuts):
+                lo, hi = np.searchsorted(at, [first, first + cut[r + 1] - cut[r]])
+                to[at[lo:hi] - first + cut[r]] = value[lo:hi]
+                first += cut[r + 1] - cut[r]
+        return out
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -133,11 +146,13 @@ def _count(ranges: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             g = _Grams(row, places=False)
-            cut, n = g.cuts(ranges), g.n.astype("<u4")
-            at = np.flatnonzero(cut[:-1] < cut[1:])
-            for some in np.array_split(at, max(1, len(g.keys) >> 20)):
+            cuts = g.cuts(ranges)
+            at = np.flatnonzero(sum(np.diff(c) for c in cuts))
+            of = lambda values, i: _planes(np.concatenate([v[c[i] : c[i + 1]] for v, c in zip(values, cuts)]))
+            n = [x.astype("<u4") for x in g.n]
+            for some in np.array_split(at, max(1, sum(map(len, g.keys)) >> 20)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()), pa.array([row["chunk"]] * len(some), pa.int64()), pa.array([row["held"]] * len(some), pa.bool_()), pa.array([_planes(g.keys[cut[i] : cut[i + 1]]) for i in some], pa.binary()), pa.array([_planes(n[cut[i] : cut[i + 1]]) for i in some], pa.binary())],
+                    [pa.array(some, pa.int32()), pa.array([row["chunk"]] * len(some), pa.int64()), pa.array([row["held"]] * len(some), pa.bool_()), pa.array([of(g.keys, i) for i in some], pa.binary()), pa.array([of(n, i) for i in some], pa.binary())],
                     [c.split()[0] for c in _COUNTS.split(", ")],
                 )
 
@@ -167,7 +182,7 @@ def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for x, lo, hi in zip(rows, np.cumsum(size) - size, np.cumsum(size)):
                 t = total[group[lo:hi]]
                 at = np.flatnonzero(t != n[lo:hi])
-                out.append((x["chunk"], int(r), x["held"], _planes(at.astype("<u4")), _planes(t[at]), _planes(train[group[lo:hi][at]]) if x["held"] else b"", 0))
+                out.append((x["chunk"], int(r), x["held"], _planes(np.diff(at, prepend=0).astype("<u4")), _planes(t[at]), _planes(train[group[lo:hi][at]]) if x["held"] else b"", 0))
             out.append((-1, int(r), False, b"", b"", b"", int((keys[first] & _U(3) == 0).sum())))
             kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], [c.split()[0] for c in _TOTALS.split(", ")])
@@ -210,14 +225,6 @@ def mixed(q: list[np.ndarray], b: list[np.ndarray], weights: np.ndarray, words:
     return np.sum(parts, axis=0), parts[::-1]
 
 
-def _filled(g: _Grams, answers: pa.Table, ranges: int, column: str, own: np.ndarray) -> np.ndarray:
-    """The chunk's counts, replaced by the sums that came back."""
-    out, cut = own.astype(np.int64), g.cuts(ranges)
-    for x in answers.select(["range", "at", column]).to_pylist():
-        out[cut[x["range"]] + _numbers(x["at"], "<u4").astype(np.int64)] = _numbers(x[column], "<i8")
-    return out
-
-
 def _held_cases(ranges: int, n_docs: int, n_symbols: int):
     """The distinct cases (estimates and buckets from the texts that aren't held out) of a held-out chunk's symbols, with how often each occurs."""
 
@@ -226,8 +233,8 @@ def _held_cases(ranges: int, n_docs: int, n_symbols: int):
         if not chunk.num_rows:
             return pa.table({n: pa.array([], pa.float64() if n[0] == "q" else pa.int64()) for n in names})
         g = _Grams(chunk.to_pylist()[0], places=True)
-        train = _filled(g, answers, ranges, "train", np.zeros(len(g.keys)))
-        q, b = _estimates([train[at] for at in g.at], np.full(len(g.so) - 1, n_docs), g.so, np.full(g.so[-1], n_symbols))
+        train = g.filled(answers, ranges, "train", [np.zeros(len(k)) for k in g.keys])
+        q, b = _estimates([x[at] for x, at in zip(train, g.at)], np.full(len(g.so) - 1, n_docs), g.so, np.full(g.so[-1], n_symbols))
         h = np.zeros(g.so[-1], dtype=_U)
         for x in (*q, *b):
             h = mix(h * _U(3) + x.view(_U))
@@ -245,15 +252,15 @@ def _score(ranges: int, n_docs: int, n_symbols: int, words: int, weights: np.nda
             return pa.table({"doc_id": pa.array([], pa.int64()), "known": pa.array([], pa.bool_()), "n_words": pa.array([], pa.int64()), "bits": pa.array([], pa.float64())})
         row = chunk.to_pylist()[0]
         g = _Grams(row, places=True)
-        total, size = _filled(g, answers, ranges, "total", g.n), np.diff(g.so)
+        total, size = g.filled(answers, ranges, "total", g.n), np.diff(g.so)
         doc = np.repeat(np.arange(len(size)), size)
         others = []
-        for at in g.at:
+        for k, at in enumerate(g.at):
             own = np.ones(len(at), dtype=np.int64)
-            again = np.flatnonzero(g.n[at] > 1)  # the others occur once in the chunk, so once in the text
-            _, pair, n = np.unique(doc[again] * len(g.keys) + at[again], return_inverse=True, return_counts=True)
+            again = np.flatnonzero(g.n[k][at] > 1)  # the others occur once in the chunk, so once in the text
+            _, pair, n = np.unique(doc[again] * len(g.keys[k]) + at[again], return_inverse=True, return_counts=True)
             own[again] = n[pair]
-            others.append(total[at] - own)
+            others.append(total[k][at] - own)
         q, b = _estimates(others, np.full(len(size), n_docs - 1), g.so, n_symbols - size[doc])
         p, _ = mixed(q, b, weights, words)
         bits = np.add.reduceat(-np.log2(p), g.so[:-1])
@@ -302,7 +309,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     """How well a word trigram model of all other documents predicts each document.
 
     Returns ``doc_id, n_words, bits_per_word, perplexity``; n_words counts the text's words (runs of letters and digits,
-    in lower case, compared by 64-bit hash) and an end symbol.
+    in lower case) and an end symbol. Words are compared by 64-bit hash, n-grams by one of 54 bits.
 
     Estimates: P_k = w_k(c) ML_k + (1 - w_k(c)) P_(k-1), where ML_k is the maximum-likelihood estimate of order k, c the
     bucket of its context's count (powers of two; an unseen context has weight 0) and P_0 uniform over the corpus's
