@@ -52,3 +52,24 @@ def detector(ranked: dict[str, list[str]], n: int = 3, size: int = 400, fallback
         return texts.map(one)
 
     return detect
+
+
+def with_fallback(primary: Callable[[str], str], second: Callable[[str], str]) -> Callable[[Column], Column]:
+    """Text column to language column: the first detector's answer, the second's where the first raises, and null where both do.
+
+    Rows with null are those that can't be judged; filters drop them.
+    """
+
+    def one(text: str | None) -> str | None:
+        for detect in (primary, second):
+            try:
+                return None if text is None else detect(text)
+            except Exception:  # a detector of someone else's: whatever it raises means no answer
+                continue
+        return None
+
+    @F.pandas_udf("string")
+    def detect(texts: pd.Series) -> pd.Series:
+        return texts.map(one)
+
+    return detect

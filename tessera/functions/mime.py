@@ -41,6 +41,22 @@ def content_type(identified: Column, response: Column) -> Column:
     return F.lower(F.trim(F.regexp_extract(F.coalesce(identified, header(response, "Content-Type")), "^([^;,]*)", 1)))
 
 
+def content_kind(identified: Column, response: Column) -> Column:
+    """``atom``, ``rss``, ``bibtex`` (by type, or by an attachment's name) or ``html`` for anything else."""
+    t = F.coalesce(content_type(identified, response), F.lit(""))
+    bib = t.contains("bibtex") | (attachment_extension(response) == "bib")
+    return F.when(bib, "bibtex").when(t.contains("atom"), "atom").when(t.contains("rss"), "rss").otherwise("html")
+
+
+def normalize_page(page: Column) -> Column:
+    """A page as HTML: HTML as it is, within html and body elements if it lacks them; text within them, escaped; else null."""
+    kind = sniff(page)
+    text = F.replace(F.replace(F.replace(page, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    wrap = lambda c: F.concat(F.lit("<html><body>"), c, F.lit("</body></html>"))
+    whole = page.rlike(r"(?i)<(?:html|body)[\s>]")
+    return F.when(kind == "html", F.when(whole, page).otherwise(wrap(page))).when(kind == "txt", wrap(text))
+
+
 def attachment_extension(response: Column) -> Column:
     """Extension of an attachment's file name: ``-`` without an attachment, ``no_extension`` without a dot."""
     name = F.regexp_extract(response, r"(?im)^Content-Disposition:.*?filename=[\"']?([^\"'\r\n;]+)", 1)

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 
-def sized_join(left: DataFrame, right: DataFrame, on, how: str, rows: int = 200_000) -> DataFrame:
-    """A join with a list: it is broadcast if it has at most ``rows`` rows, else both sides are shuffled."""
-    return left.join(F.broadcast(right) if right.limit(rows + 1).count() <= rows else right, on, how)
+def sized_join(left: DataFrame, right: DataFrame, on, how: str, most_bytes: int = 32 << 20) -> DataFrame:
+    """A join with a list: it is broadcast if its values have at most ``most_bytes`` as text, else both sides are shuffled."""
+    size = right.agg(F.sum(F.octet_length(F.concat_ws("", *(F.col(c).cast("string") for c in right.columns))) + 16)).first()[0] or 0
+    return left.join(F.broadcast(right) if size <= most_bytes else right, on, how)
 
 
 def explode_paragraphs(docs: DataFrame, pars: str = "paragraphs") -> DataFrame:
@@ -82,9 +83,10 @@ def repeat_statistics(docs: DataFrame, domain: str, id_col: str = "id", pars: st
     Everything but the last sum is local to a document, so it needs no shuffle of paragraphs.
     """
     p = F.filter(F.col(pars), lambda x: F.length(x) >= least)
-    distinct = F.array_distinct(p)
-    repeated = F.size(F.filter(distinct, lambda x: F.size(F.filter(p, lambda y: y == x)) > 1))
-    surplus = F.size(p) - F.size(distinct)
+    hashes = F.array_sort(F.transform(p, lambda x: F.xxhash64(x)))  # in order, equal ones are neighbours
+    again = F.zip_with(F.slice(hashes, 2, F.greatest(F.size(p) - 1, F.lit(0))), F.slice(hashes, 1, F.greatest(F.size(p) - 1, F.lit(0))), lambda x, y: x == y)
+    surplus = F.size(F.filter(again, lambda x: x))
+    repeated = F.size(F.filter(again, lambda x, i: x & ((i == 0) | ~F.coalesce(F.get(again, i - 1), F.lit(False)))))
     per = docs.select(F.col(domain).alias("domain"), F.size(pars).alias("n"), surplus.alias("s"), F.when(surplus > 0, repeated).otherwise(0).alias("r"))
     out = per.groupBy("domain").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").cast("long").alias("paragraphs"), F.sum((F.col("s") > 0).cast("long")).alias("affected_docs"), F.sum("r").cast("long").alias("repeated"), F.sum("s").cast("long").alias("surplus"))
     return out.where("affected_docs > 0")
@@ -125,6 +127,20 @@ def select_parts(docs: DataFrame, attrs: bool = True, meta: list[str] | bool = T
     return out if content else out.withColumn("paragraphs", F.array().cast("array<string>"))
 
 
+def serialized_size(docs: DataFrame) -> DataFrame:
+    """Adds ``bytes``: the size of the document in the tagged format."""
+    from ..sources.documents import to_tagged_rows
+
+    return to_tagged_rows(docs, *docs.columns).withColumn("bytes", F.octet_length("value") + 1).drop("value")
+
+
+def documents_at(docs: DataFrame, places: DataFrame, keys: tuple[str, ...] = ("file", "pos")) -> DataFrame:
+    """The documents at given places (file and position in it), in the order of places; a place without document is an error."""
+    found = places.select(*keys).distinct().join(docs.withColumn("_found", F.lit(True)), list(keys), "left")
+    ok = F.when(F.col("_found"), F.lit(True)).otherwise(F.raise_error(F.concat_ws(":", F.lit("no document at "), *(F.col(k).cast("string") for k in keys))).cast("boolean"))
+    return found.where(ok).drop("_found").sortWithinPartitions(*keys)
+
+
 def top_tokens(tokens: DataFrame, n: int = 50_000, col: str = "token", lower: bool = False) -> DataFrame:
     """The n most frequent tokens; ties by token."""
     t = F.lower(col) if lower else F.col(col)

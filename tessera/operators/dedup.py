@@ -166,12 +166,34 @@ def cross(sigs: DataFrame, others: DataFrame, b: int, r: int, threshold: float |
 
 
 def later_batch_wins(sigs: DataFrame, b: int, r: int, batch: str = "batch") -> DataFrame:
-    """Ids without a candidate in a later batch. For each band the last batch that has it decides: no pairs are made."""
-    return _by_batch(sigs, b, r, batch, F.max, lambda own, best: best > own)
+    """Keep-first within each batch, then what is left of a batch loses documents with a candidate in what is left of a later one.
+
+    For each band the last batch that has it decides: no pairs are made.
+    """
+    return _by_batch(self_dedup(sigs, b, r, within=batch).join(sigs, "id"), b, r, batch, F.max, lambda own, best: best > own)
+
+
+def batch_chain(sigs: DataFrame, b: int, r: int, batch: str = "batch") -> DataFrame:
+    """Batch after batch, without candidates among what was kept of the earlier batches; candidates within a batch stay.
+
+    Unlike :func:`cumulative`, a document that was removed removes no other. A document stands against its whole batch: one
+    round decides all batches without an undecided earlier one in any of their bands, and ends in a written table.
+    """
+    rows = stored(bands(sigs, ["id", batch], b, r).select("id", F.col(batch).alias("_batch"), F.xxhash64("band", "hash").alias("g")), "bands")
+    kept = None
+    while not rows.isEmpty():
+        first = rows.groupBy("g").agg(F.min("_batch").alias("_first"))
+        least = rows.join(first, "g").groupBy("id").agg(F.max((F.col("_batch") > F.col("_first")).cast("int")).alias("_waits"))
+        now = stored(least.where("_waits = 0").select("id"), "kept")
+        held = rows.join(now, "id", "left_semi").groupBy("g").agg(F.min("_batch").alias("_kept"))
+        gone = rows.join(held, "g").where(F.col("_batch") > F.col("_kept")).select("id").distinct()
+        kept = now if kept is None else kept.unionByName(now)
+        rows = stored(rows.join(now.unionByName(gone).distinct(), "id", "left_anti"), "bands")
+    return sigs.select("id").limit(0) if kept is None else kept
 
 
 def cumulative(sigs: DataFrame, b: int, r: int, batch: str = "batch") -> DataFrame:
-    """Ids without a candidate in an earlier batch; the chain of removals batch by batch comes to the same."""
+    """Ids without a candidate in an earlier batch, whatever became of it there; see :func:`batch_chain` for the other rule."""
     return _by_batch(sigs, b, r, batch, F.min, lambda own, best: best < own)
 
 
@@ -200,14 +222,37 @@ def greedy(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("n")).limit(0) if dropped is None else dropped
 
 
-def self_dedup(sigs: DataFrame, b: int, r: int, threshold: float | None = None) -> DataFrame:
-    """Ids kept by keep-first in the order of ids.
+def keep_first(banded: DataFrame) -> DataFrame:
+    """``n, rep``: what keep-first drops, and the least kept candidate that it was dropped for.
+
+    banded ``id, g``: ids that share a g are candidates. No pairs are made: in each round the ids that are the least
+    undecided one in all of their g are kept, and the others of those g dropped. Rounds end in written tables.
+    """
+    rows = stored(banded.select("id", "g").distinct(), "bands")
+    dropped = None
+    while not rows.isEmpty():
+        first = rows.groupBy("g").agg(F.min("id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")  # alone in a g: no candidate there
+        contested = stored(rows.join(first, "g").select("id", "g", "_first"), "bands")
+        heads = contested.groupBy("id").agg(F.min((F.col("id") == F.col("_first")).cast("int")).alias("_all")).where("_all = 1").select(F.col("id").alias("_first"))
+        gone = stored(contested.where(F.col("id") != F.col("_first")).join(heads, "_first").groupBy("id").agg(F.min("_first").alias("rep")).select(F.col("id").alias("n"), "rep"), "dropped")
+        dropped = gone if dropped is None else dropped.unionByName(gone)
+        decided = gone.select("n").unionByName(heads.select(F.col("_first").alias("n")))
+        rows = stored(contested.join(decided.distinct(), contested["id"] == F.col("n"), "left_anti").select("id", "g"), "bands")
+    return banded.select(F.col("id").alias("n"), F.col("id").alias("rep")).limit(0) if dropped is None else dropped
+
+
+def self_dedup(sigs: DataFrame, b: int, r: int, threshold: float | None = None, within: str | None = None) -> DataFrame:
+    """Ids kept by keep-first in the order of ids. within: a column; only equal values of it are candidates.
 
     Texts with equal signatures are each other's candidates and have the same others, so the first stands for all.
     """
-    first = sigs.groupBy("sig").agg(F.min("id").alias("id")).select("id", "sig")
-    first = stored(first, "signatures")
-    return first.select("id").join(greedy(pairs(first, b, r, threshold)).withColumnRenamed("n", "id"), "id", "left_anti")
+    own = [within] if within else []
+    first = stored(sigs.groupBy("sig", *own).agg(F.min("id").alias("id")).select("id", "sig", *own), "signatures")
+    if threshold is None:
+        gone = keep_first(bands(first, ["id", *own], b, r).select("id", F.xxhash64(*own, "band", "hash").alias("g"))).select(F.col("n").alias("id"))
+    else:
+        gone = greedy(pairs(first, b, r, threshold)).withColumnRenamed("n", "id")
+    return first.select("id").join(gone, "id", "left_anti")
 
 
 def incremental_dedup(sigs: DataFrame, seeds: DataFrame, b: int, r: int) -> DataFrame:
@@ -215,9 +260,10 @@ def incremental_dedup(sigs: DataFrame, seeds: DataFrame, b: int, r: int) -> Data
     return self_dedup(sigs.join(cross(sigs, seeds, b, r), "id", "left_semi"), b, r)
 
 
-def apply_result(docs: DataFrame, kept: DataFrame, key: str = "id") -> DataFrame:
-    """Documents whose key survived."""
-    return docs.join(kept.select(key).distinct(), key, "left_semi")
+def apply_result(docs: DataFrame, kept: DataFrame, key: str | list[str] = "id") -> DataFrame:
+    """Documents whose key (one column, or file and id) survived."""
+    keys = [key] if isinstance(key, str) else key
+    return docs.join(kept.select(*keys).distinct(), keys, "left_semi")
 
 
 def at_positions(sigs: DataFrame, numbers: DataFrame, order: str = "id") -> DataFrame:

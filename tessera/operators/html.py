@@ -161,7 +161,8 @@ def classify(blocks: DataFrame, id_col: str, stop_words: list[str] | dict[str, l
     out = out.withColumns({"_p": edges(back, F.last), "_n": edges(ahead, F.first), "_pn": near_edges(back, F.last), "_nn": near_edges(ahead, F.first)})
     both = (F.col("_p") == "good") & (F.col("_n") == "good")
     short_ok = both | ((F.col("_p") == "good") & (F.col("_nn") == "near")) | ((F.col("_n") == "good") & (F.col("_pn") == "near"))
-    near_ok = F.when(F.col("heading"), F.lit(True)).otherwise((F.col("_p") == "good") | (F.col("_n") == "good"))
+    good_after = F.first(F.when(F.col("_c") == "good", F.col("_end") - n), ignorenulls=True).over(ahead)
+    near_ok = (F.col("_p") == "good") | (F.col("_n") == "good") | (F.col("heading") & F.coalesce(good_after - F.col("_end") <= near_heading, F.lit(False)))
     kind = F.when(F.col("_c") == "good", "good").when(F.col("_c") == "near", F.when(near_ok, "good").otherwise("bad")).when(F.col("_c") == "short", F.when(short_ok, "good").otherwise("bad")).otherwise("bad")
     return out.withColumn("kind", kind).drop("_c", "_end", "_p", "_n", "_pn", "_nn")
 

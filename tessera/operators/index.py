@@ -50,16 +50,18 @@ _BETTER = {"biggest": "length", "latest": "warc"}
 def keep_best(index: DataFrame, rule: str = "biggest", key: str = "url", tie: tuple[str, ...] = ("warc", "offset"), by: str | None = None) -> DataFrame:
     """One row for each key: the longest (``biggest``) or the last archive's (``latest``); ties by the least of ``tie``.
 
-    An arg-max aggregation: every task keeps one row for each key before anything is shuffled.
+    One aggregation: every task keeps, for each key, the least rows of the best value so far, and only those are shuffled.
+    A numeric best value is negated, so that the least struct wins; of others each value keeps its row first, and the greatest
+    value is taken then.
     """
-    best = F.col(by or _BETTER[rule])
+    best = by or _BETTER[rule]
     rest = [c for c in index.columns if c != key]
-    rows = index.withColumn("_row", F.struct(*rest))
-    # max_by keeps the greatest (best, then least tie): two steps, as ties run the other way
-    top = rows.groupBy(key).agg(F.max(best).alias("_best"))
-    # aggregation of the rows that reach it, on the same partitioning
-    kept = rows.join(top, key).where(best.eqNullSafe(F.col("_best"))).groupBy(key).agg(F.min_by("_row", F.struct(*tie)).alias("_row"))
-    return kept.select(key, "_row.*").select(*index.columns)
+    row = F.struct(*rest)
+    if dict(index.dtypes)[best] in ("tinyint", "smallint", "int", "bigint", "float", "double") or dict(index.dtypes)[best].startswith("decimal"):
+        order = F.struct(F.col(best).isNull(), -F.col(best), *tie)  # rows without a value come last
+        return index.groupBy(key).agg(F.min_by(row, order).alias("_row")).select(key, "_row.*").select(*index.columns)
+    each = index.groupBy(key, F.col(best).alias("_best")).agg(F.min_by(row, F.struct(*tie)).alias("_row"))
+    return each.groupBy(key).agg(F.max_by("_row", F.struct(F.col("_best").isNotNull(), "_best")).alias("_row")).select(key, "_row.*").select(*index.columns)
 
 
 def keep_winner_rows(index: DataFrame, winners: DataFrame, keys: tuple[str, ...] = ("url", "warc", "offset", "length")) -> DataFrame:
@@ -86,9 +88,9 @@ def url_counts(index: DataFrame) -> DataFrame:
 
 def shares(index: DataFrame, key) -> DataFrame:
     """``key, n, percent`` by falling n, then key; the percentage has 3 decimals."""
-    total = Window.partitionBy()
     out = index.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    return out.withColumn("percent", F.round(F.col("n") * 100.0 / F.sum("n").over(total), 3)).orderBy(F.desc("n"), "key")
+    total = index.agg(F.count(F.lit(1)).alias("_total"))  # one row
+    return out.crossJoin(F.broadcast(total)).withColumn("percent", F.round(F.col("n") * 100.0 / F.col("_total"), 3)).drop("_total").orderBy(F.desc("n"), "key")
 
 
 def statistics(index: DataFrame) -> DataFrame:
@@ -97,19 +99,16 @@ def statistics(index: DataFrame) -> DataFrame:
 
 
 def matched_clusters(clusters: DataFrame, query: str) -> DataFrame:
-    """Clusters that may hold lines of a domain: those that begin in it, and the one before the first of them or before its place.
+    """Clusters that may hold lines of a domain: those that begin in it, and the last one that begins before its place.
 
-    Clusters are ordered by (surt, path); a cluster holds all lines up to the next one's begin.
+    Clusters are ordered by (surt, path, offset); a cluster holds all lines up to the next one's begin. That one is a
+    single row, found by a greatest value that every task forms by itself; a clusters' order isn't needed.
     """
-    order = Window.partitionBy(F.lit(0)).orderBy("surt", "path", "offset")  # one row for thousands of index lines
-    key = F.col("surt")
-    nxt = F.lead("surt").over(order)
     # the labels, not the string, decide the order: "a,b" and its subdomains come before "a,b-c"
-    labels, q = F.split(key, ","), F.split(F.lit(query), ",")
-    before = labels < q
-    starts = U.surt_matches(key, query)
-    reaches = before & (nxt.isNull() | ~(F.split(nxt, ",") < q))
-    return clusters.withColumn("_keep", starts | reaches).where("_keep").drop("_keep")
+    labels, q = F.split(F.col("surt"), ","), F.split(F.lit(query), ",")
+    columns = F.struct(*clusters.columns)
+    before = clusters.where(labels < q).agg(F.max_by(columns, F.struct(labels, "path", "offset")).alias("_c")).where("_c is not null").select("_c.*")
+    return clusters.where(U.surt_matches(F.col("surt"), query)).unionByName(before)
 
 
 def merge_ranges(ranges: DataFrame, most: int | None = None, file: str = "file", offset: str = "offset", length: str = "length") -> DataFrame:

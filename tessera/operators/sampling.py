@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,16 +32,49 @@ def rechunk(df: DataFrame, size: int, order: list[str], first: int = 1, name: st
     return numbered(df, order, "_n").withColumn(name, (F.floor((F.col("_n") - 1) / size) + first).cast("long")).drop("_n")
 
 
+def _fold(groups: list[str], size: str, most: int, full: bool, first: int):
+    """Numbers of containers that are filled row by row in each group of a sorted partition; only the running state is kept.
+
+    full: a container closes once it has ``most`` or more; else before the row that would bring it above ``most``.
+    """
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, number, filled = None, first, 0
+        for batch in batches:
+            sizes = batch.column(batch.schema.get_field_index(size)).to_numpy(zero_copy_only=False)
+            keys = list(zip(*(batch.column(batch.schema.get_field_index(g)).to_pylist() for g in groups))) if groups else [()] * len(sizes)
+            out = np.empty(len(sizes), dtype=np.int64)
+            for i, (k, n) in enumerate(zip(keys, sizes.tolist())):
+                n = n if n == n and n is not None else 0
+                if k != key:
+                    key, number, filled = k, first, 0
+                elif filled >= most if full else filled and filled + n > most:
+                    number, filled = number + 1, 0
+                filled += n
+                out[i] = number
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, "_number"])
+
+    return fold
+
+
 def pack_files(files: DataFrame, size: int, file: str = "file", n: str = "n", first: int = 1) -> DataFrame:
-    """``file, batch``: whole files, in order, to batches that close once they have ``size`` rows or more."""
-    before = F.coalesce(F.sum(n).over(Window.partitionBy(F.lit(0)).orderBy(file).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row for each file
-    return files.where(F.col(n) > 0).select(file, (F.floor(before / size) + first).cast("long").alias("batch"))
+    """``file, batch``: whole files, in order, to batches that close once they have ``size`` rows or more; a new batch starts from 0.
+
+    Each decision needs the one before, so one task goes over the files (a row each) and keeps a running sum.
+    """
+    rows = files.where(F.col(n) > 0).select(file, F.col(n).cast("long").alias("_size")).repartition(1).sortWithinPartitions(file)
+    kind = dict(files.dtypes)[file]
+    return rows.mapInArrow(_fold([], "_size", size, True, first), f"`{file}` {kind}, _size long, _number long").select(file, F.col("_number").alias("batch"))
 
 
-def rotate(df: DataFrame, most_bytes: int, size, order: list[str], within: list[str], name: str = "file_no") -> DataFrame:
-    """Numbers output files of about ``most_bytes`` within each group: a file ends with the row that fills it."""
-    w = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(name, (F.floor(F.coalesce(F.sum(size).over(w), F.lit(0)) / most_bytes) + 1).cast("long"))
+def rotate(df: DataFrame, most_bytes: int, size, order: list[str], within: list[str], name: str = "file_no", first: int = 1) -> DataFrame:
+    """Numbers output files of at most ``most_bytes`` within each group; a row that doesn't fit opens the next file, where the size starts from 0.
+
+    A group's rows go over one task in order, as they would to its files; the task keeps a running sum only.
+    """
+    rows = df.withColumn("_size", F.coalesce(size, F.lit(0)).cast("long")).repartition(*within).sortWithinPartitions(*within, *order)
+    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", _number long"
+    return rows.mapInArrow(_fold(within, "_size", most_bytes, False, first), schema).withColumnRenamed("_number", name).drop("_size")
 
 
 def equal_split(df: DataFrame, parts: int, order: list[str], name: str = "part") -> DataFrame:
@@ -90,9 +127,12 @@ def split(df: DataFrame, percent: float, seed: int = 1, key: str = "id") -> tupl
     return df.where(chosen), df.where(~chosen)
 
 
-def shuffled(df: DataFrame, seed: int = 1, key: str = "id") -> DataFrame:
-    """Rows in a random order that the seed decides."""
-    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key)
+def shuffled(df: DataFrame, seed: int = 1, key: str = "id", per_file: int | None = None, name: str = "file_no") -> DataFrame:
+    """Rows in a random order that the seed decides. per_file: they are numbered into files of at most so many."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    if per_file is None:
+        return df.orderBy(h, key)
+    return rechunk(df.withColumn("_h", h), per_file, ["_h", key], name=name).drop("_h")
 
 
 def first_of_group(df: DataFrame, n: int, group: str, order: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,6 +92,22 @@ def punctuation_runs(toks: str, most: int = 3):
     return F.aggregate(toks, start, step, lambda s: s["out"])
 
 
+def raw_sentence_tokens(text: str):
+    """Tokens of a sentence's raw text, as its comment has it: cut at single spaces."""
+    return F.split(F.regexp_replace(text, r"^# text =\s?", ""), " ")
+
+
+def xml_sentences(xml: str, most: int = 3):
+    """Sentences of a tokeniser's XML: ``raw`` has all tokens (``w`` and ``c`` elements) with their white space, ``tokens`` those for an analyser.
+
+    Of signs in a row only the first ``most`` go to the analyser.
+    """
+    sentences = F.regexp_extract_all(xml, F.lit(r"(?s)<s>(.*?)</s>"), F.lit(1))
+    plain = lambda c: reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")], c)
+    toks = lambda s: F.transform(F.regexp_extract_all(s, F.lit(r"(?s)<[wc]>(.*?)</[wc]>"), F.lit(1)), plain)
+    return F.transform(sentences, lambda s: F.struct(plain(F.regexp_replace(s, r"</?(?:w|c|ws)>", "")).alias("raw"), punctuation_runs(toks(s), most).alias("tokens")))
+
+
 def analyze(sentences: DataFrame, analyzer, schema: str, most: int = 500, tokens: str = "tokens") -> DataFrame:
     """Runs an external analyser (``iterator of pandas frames -> iterator of pandas frames``) over sentences of at most ``most`` tokens."""
     return sentences.where(F.size(tokens) <= most).mapInPandas(analyzer, schema)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import corpus, dedup
 from ..sources.documents import read_documents, write_documents
+from ..sources.storage import read_file, write_file
 
 SEEDED, SPAWNED, RUNNING, COMPLETED, FAILED = "seeded", "spawned", "running", "completed", "failed"
 Function = Callable[..., DataFrame]
@@ -67,8 +68,8 @@ class Pipeline:
     folder: str
 
     @property
-    def _state(self) -> Path:
-        return Path(self.folder.removeprefix("file://")) / f"{self.name}.json"
+    def _state(self) -> str:
+        return f"{self.folder.rstrip('/')}/{self.name}.json"
 
     @property
     def status(self) -> str:
@@ -76,12 +77,11 @@ class Pipeline:
         return FAILED if FAILED in states else COMPLETED if all(s == COMPLETED for s in states) else RUNNING if RUNNING in states or COMPLETED in states else states[0] if states else COMPLETED
 
     def save(self) -> None:
-        self._state.parent.mkdir(parents=True, exist_ok=True)
-        self._state.write_text(json.dumps([vars(s) for s in self.steps]))
+        write_file(SparkSession.active(), self._state, json.dumps([vars(s) for s in self.steps]))
 
     def load(self) -> Pipeline:
-        if self._state.exists():
-            old = {s["name"]: s for s in json.loads(self._state.read_text())}
+        if (text := read_file(SparkSession.active(), self._state)) is not None:
+            old = {s["name"]: s for s in json.loads(text)}
             for s in self.steps:
                 if (o := old.get(s.name)) and o["function"] == s.function and o["params"] == s.params:
                     s.status, s.comment = o["status"], o["comment"]

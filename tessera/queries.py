@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import language, mime, text, url
-from .operators import corpus, dedup, frequent, html, index, logs, sampling, tokens
+from .operators import corpus, dedup, frequent, html, index, logs, pages as page_ops, sampling, tokens
+from .sources import batches, crawl, documents as document_files, tsv
+from .sources.storage import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,12 +91,13 @@ def filter_lang_label(spark, d):
 
 
 def _detector(spark, d):
-    return language.detector(language.profiles(table(spark, d, "documents")))
+    """Profiles are those of the documents with an even id; the others weren't seen."""
+    return language.detector(language.profiles(table(spark, d, "documents").where("doc_id % 2 = 0")))
 
 
 @query()
 def detect_lang(spark, d):
-    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", _detector(spark, d)(F.col("text")).alias("detected"))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", (F.col("doc_id") % 2 == 0).alias("profiled"), _detector(spark, d)(F.col("text")).alias("detected"))
 
 
 @query()
@@ -128,9 +131,9 @@ def same_p_stats(spark, d):
     return corpus.repeat_statistics(documents(spark, d), "domain", least=10)
 
 
-@query(f"SELECT id, count(DISTINCT p) AS n FROM (SELECT id, unnest(ps) AS p FROM {D}) GROUP BY id")
+@query(f"SELECT id, list(p ORDER BY i) AS paragraphs FROM (SELECT id, p, min(i) AS i FROM (SELECT id, unnest(ps) AS p, unnest(generate_series(1, len(ps))) AS i FROM {D}) GROUP BY id, p) GROUP BY id")
 def same_p_remove(spark, d):
-    return corpus.remove_repeats(documents(spark, d)).select("id", F.size("paragraphs").cast("long").alias("n"))
+    return corpus.remove_repeats(documents(spark, d)).select("id", "paragraphs")
 
 
 @query(f"""SELECT id, list_transform(ps, lambda p: array_to_string(list_filter(string_split(p, ' '), lambda t: regexp_matches(t, '^[\\pL\\pN_]+\\.\\.\\.$') OR NOT regexp_matches(t, '[^\\pL\\pN_\\s]{{3,}}')), ' ')) AS paragraphs FROM {D}""")
@@ -322,7 +325,12 @@ def hash_shuffle(spark, d):
     return sampling.numbered(keyed, ["h", "doc_id"]).select("doc_id", "n")
 
 
-@query("SELECT source AS file, (CAST(coalesce(sum(count(*)) OVER (ORDER BY source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)) // 120 + 1 AS batch FROM documents GROUP BY source")
+_PACKED = """f AS (SELECT source AS file, count(*) AS n, row_number() OVER (ORDER BY source) AS r FROM documents GROUP BY source),
+w AS (SELECT r, file, CAST(1 AS BIGINT) AS batch, n AS filled FROM f WHERE r = 1 UNION ALL
+ SELECT f.r, f.file, CASE WHEN w.filled >= 120 THEN w.batch + 1 ELSE w.batch END, CASE WHEN w.filled >= 120 THEN f.n ELSE w.filled + f.n END FROM w JOIN f ON f.r = w.r + 1)"""
+
+
+@query(f"WITH RECURSIVE {_PACKED} SELECT file, batch FROM w")
 def pack_files(spark, d):
     return sampling.pack_files(table(spark, d, "documents").groupBy(F.col("source").alias("file")).agg(F.count(F.lit(1)).alias("n")), 120)
 
@@ -332,9 +340,13 @@ def first_of_group(spark, d):
     return sampling.first_of_group(table(spark, d, "documents").select("doc_id", "source"), 3, "source", ["doc_id"])
 
 
-@query("SELECT doc_id, CAST(coalesce(sum(octet_length(encode(text))) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // 50000 + 1 AS file_no FROM documents")
+@query("""WITH RECURSIVE f AS (SELECT source, doc_id, octet_length(encode(text)) AS n, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents),
+w AS (SELECT source, r, doc_id, CAST(1 AS BIGINT) AS file_no, n AS filled FROM f WHERE r = 1 UNION ALL
+ SELECT f.source, f.r, f.doc_id, CASE WHEN w.filled + f.n > 50000 THEN w.file_no + 1 ELSE w.file_no END, CASE WHEN w.filled + f.n > 50000 THEN f.n ELSE w.filled + f.n END FROM w JOIN f ON f.source = w.source AND f.r = w.r + 1)
+SELECT doc_id, file_no FROM w""")
 def rotate_files(spark, d):
-    return sampling.rotate(table(spark, d, "documents"), 50_000, F.octet_length("text"), ["doc_id"], ["source"]).select("doc_id", "file_no")
+    rows = table(spark, d, "documents").select("doc_id", "source", F.octet_length("text").alias("bytes"))
+    return sampling.rotate(rows, 50_000, F.col("bytes"), ["doc_id"], ["source"]).select("doc_id", "file_no")
 
 
 @query("SELECT token, count(*) AS freq FROM (SELECT unnest(regexp_split_to_array(lower(text), '\\s+')) AS token FROM documents) WHERE token <> '' GROUP BY token ORDER BY freq DESC, token LIMIT 1000")
@@ -373,9 +385,10 @@ def _sigs(spark, d):
     return dedup.signatures(table(spark, d, "documents"), ["doc_id"], "text", PERMS).withColumnRenamed("doc_id", "id")
 
 
-@query("SELECT doc_id, CAST(greatest(length(text) - 4, 0) AS INTEGER) AS n FROM documents")
+@query("SELECT doc_id, CAST(greatest(length(text) - 4, 0) AS INTEGER) AS n, md5(array_to_string(list_transform(generate_series(1, length(text) - 4), lambda i: substr(text, CAST(i AS BIGINT), 5)), '|')) AS digest FROM documents")
 def shingle_count(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.size(text.shingles(F.col("text"))).alias("n"))
+    grams = text.shingles(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", F.size(grams).alias("n"), F.md5(F.array_join(grams, "|")).alias("digest"))
 
 
 @query(f"WITH {_SIG} SELECT id, sig FROM s")
@@ -418,11 +431,6 @@ def dedup_cumulative(spark, d):
     return dedup.cumulative(_batched(spark, d), BANDS, ROWS)
 
 
-@query(f"WITH {_SIG} SELECT id FROM s WHERE id NOT IN (SELECT x.id FROM s_b x JOIN s_b y USING (band, hash) WHERE y.id % 4 > x.id % 4)")
-def dedup_later_batch_wins(spark, d):
-    return dedup.later_batch_wins(_batched(spark, d), BANDS, ROWS)
-
-
 def _greedy_sql(nodes: str, edges: str) -> str:
     """Keep-first over nodes(id) in the order of ids, with edges(a, b)."""
     return f"""n AS (SELECT id, row_number() OVER (ORDER BY id) AS r FROM {nodes}),
@@ -434,6 +442,23 @@ SELECT unnest(kept) AS id FROM (SELECT kept FROM w ORDER BY r DESC LIMIT 1)"""
 _EDGES = "ed AS (SELECT DISTINCT x.id AS a, y.id AS b FROM s_b x JOIN s_b y ON x.band = y.band AND x.hash = y.hash AND x.id < y.id)"
 
 
+_BATCHED = "be AS (SELECT a, b FROM ed WHERE a % 4 = b % 4)"
+
+
+@query(f"""WITH RECURSIVE {_SIG}, {_EDGES}, {_BATCHED}, {_greedy_sql('s', 'be').replace('SELECT unnest(kept)', ', k AS (SELECT unnest(kept)')})
+SELECT id FROM k WHERE id NOT IN (SELECT x.id FROM s_b x JOIN s_b y USING (band, hash) WHERE y.id IN (SELECT id FROM k) AND y.id % 4 > x.id % 4)""")
+def dedup_later_batch_wins(spark, d):
+    return dedup.later_batch_wins(_batched(spark, d), BANDS, ROWS)
+
+
+_CHAIN = ["k0 AS (SELECT id FROM s WHERE id % 4 = 0)"] + [f"k{i} AS (SELECT id FROM k{i - 1} UNION ALL SELECT id FROM s WHERE id % 4 = {i} AND id NOT IN (SELECT x.id FROM s_b x JOIN s_b y USING (band, hash) WHERE y.id IN (SELECT id FROM k{i - 1})))" for i in (1, 2, 3)]
+
+
+@query(f"WITH {_SIG}, {', '.join(_CHAIN)} SELECT id FROM k3")
+def dedup_batch_chain(spark, d):
+    return dedup.batch_chain(_batched(spark, d), BANDS, ROWS)
+
+
 @query(f"WITH RECURSIVE {_SIG}, {_EDGES}, {_greedy_sql('s', 'ed')}")
 def dedup_self_greedy(spark, d):
     return dedup.self_dedup(_sigs(spark, d), BANDS, ROWS)
@@ -448,7 +473,9 @@ def dedup_incremental_greedy(spark, d):
 
 @query(f"WITH {_SIG} SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT x.id FROM s_b x JOIN s_b y USING (band, hash) WHERE y.id % 4 < x.id % 4)")
 def dedup_apply(spark, d):
-    return dedup.apply_result(table(spark, d, "documents"), dedup_cumulative(spark, d).withColumnRenamed("id", "doc_id"), "doc_id").select("doc_id", "n_chars")
+    docs = table(spark, d, "documents").select("source", "doc_id", "n_chars")
+    kept = docs.join(dedup_cumulative(spark, d).withColumnRenamed("id", "doc_id"), "doc_id").select("source", "doc_id")  # files have ids of their own
+    return dedup.apply_result(docs, kept, ["source", "doc_id"]).select("doc_id", "n_chars")
 
 
 # ---- frequent paragraphs ----
@@ -469,9 +496,9 @@ def freq_collect(spark, d):
     return frequent.collect(documents(spark, d), _DECAY).withColumn("score", F.round("score", 6))
 
 
-@query(f"WITH RECURSIVE {_POSITIONS} SELECT domain, p, count FROM fq WHERE count >= 3 OR count / n_docs >= 0.5")
+@query(f"WITH RECURSIVE {_POSITIONS} SELECT domain, p, count FROM fq WHERE (count >= 3 OR count / n_docs >= 0.5) AND length(p) > 2")
 def freq_select(spark, d):
-    return frequent.select(frequent.collect(documents(spark, d), _DECAY), "count >= 3 or count / n_docs >= 0.5").select("domain", "p", "count")
+    return frequent.select(frequent.collect(documents(spark, d), _DECAY), "count >= 3 or count / n_docs >= 0.5", "len(p) > 2").select("domain", "p", "count")
 
 
 @query(f"""WITH RECURSIVE {_POSITIONS}, h AS (SELECT id, domain, i, p, dense_rank() OVER (PARTITION BY domain, p ORDER BY id) AS k FROM
@@ -490,6 +517,48 @@ def freq_merge(spark, d):
     return frequent.merge(halves, domains=5).groupBy("domain").agg(F.count(F.lit(1)).alias("n"), F.sum("count").cast("long").alias("total"))
 
 
+_SEEDED = _POSITIONS.replace("SELECT domain, p, t, n_docs, k, CAST(1 AS DOUBLE) AS score, CAST(1 AS BIGINT) AS count FROM o WHERE k = 1", f"SELECT o.domain, o.p, t, n_docs, k, CAST(CASE WHEN o.p <> '' OR (t >= 2 AND 5 * pow({_DECAY}, t - 1) < 0.5) THEN 1 ELSE 5 * pow({_DECAY}, t) + 1 END AS DOUBLE) AS score, CAST(CASE WHEN o.p <> '' OR (t >= 2 AND 5 * pow({_DECAY}, t - 1) < 0.5) THEN 1 ELSE 8 END AS BIGINT) AS count FROM o WHERE k = 1")
+
+
+@query(f"""WITH RECURSIVE {_SEEDED}, g AS (SELECT domain, max(n_docs) AS n_docs, max(CASE WHEN p = '' THEN 1 ELSE 0 END) AS has FROM x GROUP BY domain)
+SELECT domain, p, round(score, 6) AS score, count, n_docs FROM fq UNION ALL SELECT domain, '', round(5 * pow({_DECAY}, n_docs), 6), 7, n_docs FROM g WHERE has = 0 AND 5 * pow({_DECAY}, n_docs) >= 0.5""")
+def freq_seeds(spark, d):
+    docs = documents(spark, d)
+    seeds = docs.select("domain").distinct().select("domain", F.lit("").alias("p"), F.lit(5.0).alias("score"), F.lit(7).alias("count"))
+    return frequent.collect(docs, _DECAY, seeds=seeds).withColumn("score", F.round("score", 6))
+
+
+@query(f"""WITH RECURSIVE {_POSITIONS}, ol AS (SELECT domain, p FROM fq WHERE count >= 4), h AS (SELECT id, domain, p, (domain, p) IN (SELECT (domain, p) FROM ol) AS is_old, dense_rank() OVER (PARTITION BY domain, p ORDER BY id) AS k FROM
+ (SELECT id, domain, unnest(ps) AS p FROM {D}) SEMI JOIN fq USING (domain, p)),
+c AS (SELECT id, count(*) AS gone FROM h WHERE k >= 2 OR is_old GROUP BY id)
+SELECT id, CAST(len(ps) - coalesce(gone, 0) AS INTEGER) AS n FROM {D} LEFT JOIN c USING (id) WHERE len(ps) - coalesce(gone, 0) > 0""")
+def freq_filter_old(spark, d):
+    docs = documents(spark, d)
+    stats = frequent.collect(docs, _DECAY)
+    return frequent.remove(docs, stats, stats.where("count >= 4")).select("id", F.size("paragraphs").alias("n"))
+
+
+@query()
+def freq_similar_collect(spark, d):
+    """Near duplicates counted as one; tests hold it against brute force, as SQL would need a recursion over all paragraphs."""
+    return frequent.collect(documents(spark, d), _DECAY, similar=(PERMS, BANDS, ROWS)).withColumn("score", F.round("score", 6))
+
+
+@query()
+def freq_similar_filter(spark, d):
+    docs = documents(spark, d)
+    return frequent.remove(docs, frequent.collect(docs, _DECAY, similar=(PERMS, BANDS, ROWS)), similar=(PERMS, BANDS, ROWS)).select("id", "paragraphs")
+
+
+@query(f"WITH RECURSIVE {_POSITIONS} SELECT domain, CAST(max(n_docs) AS BIGINT) AS n_docs, count(*) AS n, CAST(sum(count) AS BIGINT) AS total FROM fq WHERE domain IN (SELECT domain FROM fq GROUP BY 1 ORDER BY 1 LIMIT 5) GROUP BY domain")
+def freq_statistics_file(spark, d):
+    path, stats = shared_folder(spark, "statistics"), frequent.collect(documents(spark, d), _DECAY)
+    batches.write_statistics(stats, path)
+    first = [r[0] for r in batches.read_statistics(spark, path).select("domain").distinct().orderBy("domain").limit(5).collect()]
+    rows = batches.read_statistics(spark, path, first, by_domain=True)
+    return rows.select("domain", F.col("n_docs").cast("long").alias("n_docs"), F.size("paragraphs").cast("long").alias("n"), F.aggregate("paragraphs", F.lit(0).cast("long"), lambda s, x: s + x["count"]).alias("total"))
+
+
 # ---- pages ----
 
 
@@ -563,3 +632,280 @@ k AS (SELECT domain, len(u) AS n, CAST(list_sum(list_transform(u, lambda p: leng
 SELECT domain, count(*) AS docs, CAST(sum(n) AS BIGINT) AS paragraphs, CAST(sum(words) AS BIGINT) AS words, CAST(sum(chars) AS BIGINT) AS characters FROM k WHERE chars >= 500 GROUP BY domain""")
 def corpus_summary(spark, d):
     return entry(spark, d)
+
+
+# ---- sources and sinks: written to the shared folder and read again ----
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, string_split(text, chr(10)) AS paragraphs, lang FROM documents")
+def documents_jsonl(spark, d):
+    path = shared_folder(spark, "jsonl")
+    document_files.write_documents(_as_documents(spark, d), path, "jsonl")
+    return document_files.read_jsonl(spark, path).select("id", "paragraphs", F.col("meta")["lang"].alias("lang"))
+
+
+def _as_documents(spark, d):
+    return documents(spark, d).select(F.col("id").cast("string").alias("id"), F.create_map(F.lit("lang"), F.col("lang")).alias("meta"), F.lit(None).cast("map<string,string>").alias("http_meta"), "paragraphs")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, string_split(text, chr(10)) AS paragraphs, lang FROM documents")
+def documents_tagged(spark, d):
+    path = shared_folder(spark, "tagged")
+    document_files.write_documents(_as_documents(spark, d), path, "tagged")
+    return document_files.read_documents(spark, [path]).select("id", "paragraphs", F.col("meta")["lang"].alias("lang"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, CAST((row_number() OVER (ORDER BY CAST(doc_id AS VARCHAR)) - 1) // 300 + 1 AS INTEGER) AS batch FROM documents")
+def document_batches(spark, d):
+    path = shared_folder(spark, "batches")
+    document_files.write_documents(_as_documents(spark, d), path, "jsonl", per_file=300)
+    return spark.read.text(path).select(F.get_json_object("value", "$.id").alias("id"), F.col("batch").cast("int").alias("batch"))
+
+
+@query(f"SELECT page_id, CAST((row_number() OVER (ORDER BY warc, \"offset\", length) - 1) // 60 AS INTEGER) AS batch, url, warc, \"offset\", length, status FROM {P}")
+def index_batches(spark, d):
+    path = shared_folder(spark, "index")
+    batches.write_index_batches(pages(spark, d).drop("page_id").withColumn("mime", F.lit("text/html")), path, 60)
+    rows = spark.read.text(path)
+    parsed = crawl.parse_filtered(rows.select("value")).withColumn("value", F.concat_ws(" ", "url", "warc", "offset", "length", "status", "mime"))
+    return rows.join(parsed, "value").select((F.col("offset") / 1000).cast("long").alias("page_id"), F.col("batch").cast("int").alias("batch"), "url", "warc", "offset", "length", "status")
+
+
+@query(f"WITH RECURSIVE {_PACKED} SELECT doc_id AS id, CAST(batch AS INTEGER) AS batch FROM documents JOIN w ON file = source WHERE batch > 2")
+def signature_batches(spark, d):
+    first, second = shared_folder(spark, "signatures"), shared_folder(spark, "renumbered")
+    sigs = dedup.signatures(table(spark, d, "documents").select("doc_id", "source", "text"), ["doc_id", "source"], "text", 16).select(F.col("source").alias("file"), F.col("doc_id").alias("id"), "sig")
+    batches.write_signatures(sigs, first, 40)
+    batches.renumber_signatures(spark, first, second, 120)
+    assert batches.batch_numbers(spark, second, 2) == [n for n in batches.batch_numbers(spark, second) if n > 2]
+    return batches.read_signatures(spark, second, 2).select("id", F.col("batch").cast("int").alias("batch"))
+
+
+@query("SELECT doc_id, source, doc_id % 10 AS pos FROM documents WHERE doc_id % 10 = 3")
+def documents_at(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source", F.col("doc_id").alias("p"))
+    places = docs.where("doc_id % 10 = 3").select("source", "p")
+    return corpus.documents_at(docs, places, ("source", "p")).select("doc_id", "source", (F.col("p") % 10).alias("pos"))
+
+
+@query(f"""SELECT CAST(id AS VARCHAR) AS doc_id, CAST(j AS BIGINT) AS par, array_to_string(list_filter(regexp_split_to_array(ps[j], '\\s+'), lambda w: w <> ''), ' ') AS words FROM (SELECT id, ps, unnest(generate_series(1, len(ps))) AS j FROM {D}) WHERE regexp_matches(ps[j], '\\S')""")
+def annotated_round_trip(spark, d):
+    path = shared_folder(spark, "tsv")
+    p = corpus.explode_paragraphs(documents(spark, d).select(F.col("id").cast("string").alias("doc_id"), "paragraphs")).where(F.col("p").rlike(r"\S"))
+    p = p.select("doc_id", F.col("p_no").cast("string").alias("par_id"), F.col("p_no").cast("long").alias("par"), F.filter(F.split("p", r"\s+"), lambda w: w != "").alias("ws"))
+    toks = p.select("doc_id", "par_id", "par", F.col("par").alias("sent"), F.lit(None).cast("string").alias("text"), F.posexplode("ws").alias("tok", "w"))
+    lines = tsv.to_lines(toks.select("doc_id", "par_id", "par", "sent", "text", F.col("tok").cast("long").alias("tok"), F.array("w", F.lit("x")).alias("fields")))
+    lines.select(F.concat(F.lit("form\theader\n"), "value").alias("value")).write.text(path)  # documents of one file: a header row stands after each but the last
+    back = tsv.read_tsv(spark, path).where("fields[1] <> 'header'")
+    return back.groupBy("doc_id", F.col("par_id").cast("long").alias("par")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tok", F.col("fields")[0].alias("w")))), lambda x: x["w"]), " ").alias("words"))
+
+
+@query("SELECT DISTINCT url FROM pages")
+def url_list_merge(spark, d):
+    old, new, out = (shared_folder(spark, n) for n in ("old", "new", "list"))
+    urls = table(spark, d, "pages")
+    page_ops.kept_urls(urls.where("page_id % 2 = 0"), old)
+    page_ops.kept_urls(urls.where("page_id % 4 = 2"), old)
+    crawl.add_to_list(spark, old, urls.where("page_id % 2 = 1").select("url"), out)
+    crawl.rewrite_lines(spark, out, new, "gzip")
+    return crawl.read_list(spark, new).distinct()
+
+
+# ---- index lines, pages as archive records ----
+
+
+def _lines(spark, d):
+    """Raw index lines of the pages; those of page numbers that 9 divides lack status and type."""
+    p = pages(spark, d).withColumn("surt", url.surt(url.host(F.col("url"))))
+    full = F.col("page_id") % 9 != 0
+    fields = F.to_json(F.struct("url", F.col("warc").alias("filename"), F.col("offset").cast("string").alias("offset"), F.col("length").cast("string").alias("length"), F.when(full, F.col("status").cast("string")).alias("status"), F.when(full, F.lit("text/html")).alias("mime")))
+    return p.select(F.concat(F.col("surt"), F.lit(")/ 2024 "), fields).alias("value"))
+
+
+@query(f"SELECT {SURT} || ')/' AS surt, '2024' AS timestamp, url, warc, \"offset\", length, CASE WHEN page_id % 9 = 0 THEN '0' ELSE CAST(status AS VARCHAR) END AS status, CASE WHEN page_id % 9 = 0 THEN 'unknown/unknown' ELSE 'text/html' END AS mime FROM {P}")
+def index_parse(spark, d):
+    return crawl.parse_index(_lines(spark, d))[0]
+
+
+@query(f"SELECT {SURT} || ')/ 2024 {{\"url\":\"' || url || '\",\"length\":\"' || length || '\"}}' AS value FROM {P}")
+def index_project(spark, d):
+    return _lines(spark, d).select(crawl.project_json(F.col("value"), ["url", "length"]).alias("value"))
+
+
+@query(f"SELECT CASE WHEN page_id % 2 = 0 THEN regexp_replace({AUTH}, '^(?:www|ww2|ww3|www2|www3)\\.', '') END AS domain, url, warc, \"offset\", length, status, 'text/html' AS mime FROM {P}")
+def filtered_index_parse(spark, d):
+    p = index.with_domain(pages(spark, d))
+    cells = [F.when(F.col("page_id") % 2 == 0, F.col("domain")), *(F.col(c).cast("string") for c in ("url", "warc", "offset", "length", "status")), F.lit("text/html")]
+    return crawl.parse_filtered(p.select(F.concat_ws(" ", *cells).alias("value")))
+
+
+@query(f"SELECT v AS value FROM (SELECT {SURT} || ')/ 2024' AS v FROM pages) WHERE regexp_matches(v, '^(?:com|org,example)[,)]')")
+def index_line_filter(spark, d):
+    lines = table(spark, d, "pages").select(F.concat(url.surt(url.host(F.col("url"))), F.lit(")/ 2024")).alias("value"))
+    return index.line_filter(lines, ["com", "org,example"], "value")
+
+
+@query("SELECT page_id, url || '?a=b/c' AS url, length(html) AS n FROM pages WHERE page_id % 3 <> 1")
+def index_page_join(spark, d):
+    p = table(spark, d, "pages")
+    left = p.select("page_id", F.concat(F.replace("url", F.lit("/"), F.lit("%252F")), F.lit("?a=b%2Fc")).alias("url"), F.col("page_id").alias("pos"))
+    right = p.where("page_id % 3 <> 1").select(F.concat("url", F.lit("?a=b/c")).alias("url"), F.col("page_id").alias("pos"), F.length("html").alias("n"))
+    return index.join_pages(left, right).select("page_id", url.unquote_all(F.col("url")).alias("url"), F.col("n").cast("long").alias("n"))
+
+
+@query("SELECT page_id, url_decode(url_decode(replace(url, '/', '%252F'))) AS url FROM pages")
+def url_unquote(spark, d):
+    return table(spark, d, "pages").select("page_id", url.unquote_all(F.replace("url", F.lit("/"), F.lit("%252F"))).alias("url"))
+
+
+def _records(spark, d):
+    """Pages as archive records: five archives, some with an attachment's name, some identified."""
+    p = table(spark, d, "pages")
+    header = F.concat(F.lit("HTTP/1.1 200 OK\r\nDate: day "), F.col("page_id").cast("string"), F.lit("\r\nContent-Type: "), F.element_at(F.array(*map(F.lit, KINDS)), (F.col("page_id") % len(KINDS) + 1).cast("int")), F.when(F.col("page_id") % 5 == 0, F.lit("\r\nContent-Disposition: attachment; filename=\"list.bib\"")).when(F.col("page_id") % 5 == 1, F.lit("\r\nContent-Disposition: attachment; filename=list")).otherwise(""))
+    return p.select("page_id", "url", F.concat(F.lit("a/w"), (F.col("page_id") % 5).cast("string"), F.lit(".warc")).alias("file"), F.col("page_id").alias("pos"), F.when(F.col("page_id") % 7 == 0, "application/atom+xml").alias("identified"), header.alias("http_header"), F.col("html").cast("binary").alias("body"), F.when(F.col("page_id") % 2 == 0, "text/html").alias("mime"))
+
+
+KINDS = ["text/html; charset=utf-8", "application/rss+xml", "Text/BibTeX"]
+_KIND = "['text/html', 'application/rss+xml', 'text/bibtex'][page_id % 3 + 1]"
+_EXT = "CASE page_id % 5 WHEN 0 THEN 'bib' WHEN 1 THEN 'no_extension' ELSE '-' END"
+_SNIFF = "CASE WHEN trim(html) = '' THEN NULL WHEN regexp_matches(substr(html, 1, 2048), '(?i)^\\s*<(?:!doctype html|html)') THEN 'html' ELSE 'txt' END"
+_ESCAPED = "replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+_NORMAL = f"CASE {_SNIFF} WHEN 'html' THEN CASE WHEN regexp_matches(html, '(?i)<(?:html|body)[\\s>]') THEN html ELSE '<html><body>' || html || '</body></html>' END WHEN 'txt' THEN '<html><body>' || {_ESCAPED} || '</body></html>' END"
+
+
+@query(f"SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'text/html' ELSE '-' END AS tag_type, CASE WHEN page_id % 7 = 0 THEN 'application/atom+xml' ELSE '-' END AS identified_type, {_KIND} AS response_type, {_EXT} AS extension FROM pages")
+def content_type_audit(spark, d):
+    return page_ops.content_type_audit(_records(spark, d)).select("page_id", "tag_type", "identified_type", "response_type", "extension")
+
+
+@query(f"SELECT page_id, CASE WHEN page_id % 5 = 0 OR (page_id % 7 <> 0 AND page_id % 3 = 2) THEN 'bibtex' WHEN page_id % 7 = 0 THEN 'atom' WHEN page_id % 3 = 1 THEN 'rss' ELSE 'html' END AS kind FROM pages")
+def content_kind(spark, d):
+    return _records(spark, d).select("page_id", mime.content_kind(F.col("identified"), F.col("http_header")).alias("kind"))
+
+
+@query("SELECT count(*) AS docs, CAST(sum(octet_length(encode(html))) AS BIGINT) AS characters FROM pages")
+def archive_counts(spark, d):
+    return page_ops.archive_counts(_records(spark, d))
+
+
+@query(f"SELECT page_id, {_SNIFF} AS kind FROM pages WHERE {_SNIFF} IS NOT NULL AND url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0) AND url IN (SELECT url FROM pages WHERE page_id % 5 <> 0)")
+def archive_filter(spark, d):
+    p = table(spark, d, "pages")
+    return page_ops.filter_archive(_records(spark, d), p.where("page_id % 3 = 0"), p.where("page_id % 5 <> 0")).select("page_id", "kind")
+
+
+@query(f"SELECT page_id, {_NORMAL} AS html FROM pages")
+def page_normalize(spark, d):
+    return table(spark, d, "pages").select("page_id", mime.normalize_page(F.col("html")).alias("html"))
+
+
+@query(f"SELECT 'w' || (page_id % 5) || '_' || lpad(CAST(page_id + 1 AS VARCHAR), 5, '0') || '.html' AS name, url, h AS html FROM (SELECT page_id, url, {_NORMAL} AS h FROM pages) WHERE h IS NOT NULL QUALIFY row_number() OVER (PARTITION BY page_id % 5 ORDER BY page_id) <= 20")
+def page_export(spark, d):
+    return page_ops.page_files(_records(spark, d), most=20, digits=5)
+
+
+@query("SELECT page_id, replace(regexp_replace(url, '/+$', ''), '/', '_') AS name FROM pages WHERE url IN (SELECT url FROM pages WHERE page_id % 4 = 1)")
+def emptied_pages(spark, d):
+    p, m = table(spark, d, "pages"), F.col("message")
+    log = p.where("page_id % 4 = 1").select(F.lit("7").alias("pid"), F.col("page_id").alias("line_no"), F.concat(F.lit("Nothing's left of "), "url", F.lit(" after boilerplate removal")).alias("message"))
+    ends = p.agg(F.max("page_id").alias("n")).select(F.lit("7").alias("pid"), F.explode(F.array(F.struct(F.lit(-1).cast("long").alias("line_no"), F.lit("start w").alias("message")), F.struct((F.col("n") + 1).alias("line_no"), F.lit("end w").alias("message")))).alias("x")).select("pid", "x.*")
+    return page_ops.pages_of(_records(spark, d), page_ops.emptied_urls(log.unionByName(ends), m.startswith("start"), m.startswith("end"))).select("page_id", "name")
+
+
+@query(f"SELECT url AS id, warc, CAST(\"offset\" AS VARCHAR) AS \"offset\", 'day ' || page_id AS date, {_KIND.replace('text/html', 'text/html; charset=utf-8').replace('text/bibtex', 'Text/BibTeX')} AS content_type, string_split(html, chr(10)) AS paragraphs FROM (SELECT * FROM {P} JOIN (SELECT page_id, html FROM pages) USING (page_id))")
+def output_documents(spark, d):
+    rows = pages(spark, d).select("page_id", "url", "warc", "offset", "length", "status").join(_records(spark, d).select("page_id", "http_header"), "page_id")
+    texts = table(spark, d, "pages").select("url", text.paragraphs(F.col("html")).alias("paragraphs"))
+    out = page_ops.output_documents(rows, texts, response="http_header")
+    m = F.col("meta")
+    return out.select("id", m["warc"].alias("warc"), m["offset"].alias("offset"), m["date"].alias("date"), m["content-type"].alias("content_type"), "paragraphs")
+
+
+@query("SELECT doc_id, octet_length(encode('<doc url=\"' || doc_id || '\">' || chr(10) || array_to_string(list_transform(string_split(text, chr(10)), lambda p: '<p>' || chr(10) || replace(replace(replace(p, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || chr(10) || '</p>' || chr(10)), '') || '</doc>' || chr(10))) AS bytes FROM documents")
+def serialized_size(spark, d):
+    docs = documents(spark, d).select(F.col("id").cast("string").alias("id"), F.lit(None).cast("map<string,string>").alias("meta"), F.lit(None).cast("map<string,string>").alias("http_meta"), "paragraphs")
+    return corpus.serialized_size(docs).select(F.col("id").cast("long").alias("doc_id"), F.col("bytes").cast("long").alias("bytes"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS url, lang FROM documents")
+def document_attributes(spark, d):
+    return corpus.attributes(corpus.select_parts(_as_documents(spark, d), meta=["lang"], content=False), ["url", "lang"])
+
+
+@query("""SELECT id, list_filter(list_transform(list_filter(ps, lambda p: NOT regexp_matches(p, '(?i)licen[cs]e')), lambda p: array_to_string(list_filter(string_split(p, ' '), lambda t: regexp_matches(t, '^[\\pL\\pN_]+\\.\\.\\.$') OR NOT regexp_matches(t, '[^\\pL\\pN_\\s]{3,}')), ' ')), lambda p: trim(p) <> '') AS paragraphs
+FROM (SELECT doc_id AS id, string_split(text, chr(10)) AS ps FROM documents) WHERE len(paragraphs) > 0""")
+def clean_documents(spark, d):
+    return corpus.clean(documents(spark, d).select("id", "paragraphs"), ["licen[cs]e"])
+
+
+# ---- more tokens, orders, logs ----
+
+
+@query("SELECT doc_id, nfc_normalize(lower(text)) = lower(text) AS same, md5(nfc_normalize(lower(text))) AS digest FROM documents")
+def text_normalize(spark, d):
+    n = text.normalize(F.lower("text"), "NFC")
+    return table(spark, d, "documents").select("doc_id", (n == F.lower("text")).alias("same"), F.md5(n).alias("digest"))
+
+
+@query(f"SELECT regexp_matches(t, '^[^\\pL\\pN\\s]*$') AS sign, trim(t) = '' AS blank, count(*) AS n FROM (SELECT unnest(string_split(p, ' ')) AS t FROM (SELECT unnest(ps) AS p FROM {D})) GROUP BY ALL")
+def token_kinds(spark, d):
+    t = documents(spark, d).select(F.explode("paragraphs").alias("p")).select(F.explode(F.split("p", " ")).alias("t"))
+    return t.groupBy(text.is_punctuation(F.col("t")).alias("sign"), text.is_blank(F.col("t")).alias("blank")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH s AS (SELECT id, j, k, {WORDS.format('ss[k]')} AS n FROM (SELECT id, j, ss, unnest(generate_series(1, len(ss))) AS k FROM (SELECT id, j, string_split(ps[j], '. ') AS ss FROM (SELECT id, ps, unnest(generate_series(1, len(ps))) AS j FROM {D}))))
+SELECT id AS doc_id, count(*) AS sentences, CAST(sum(n) AS BIGINT) AS tokens FROM s WHERE n BETWEEN 1 AND 20 GROUP BY id""")
+def short_sentences(spark, d):
+    kept = tokens.filter_sentences(_tokens(spark, d), 20)
+    return kept.groupBy("doc_id").agg(F.countDistinct("par", "sent").alias("sentences"), F.count(F.lit(1)).alias("tokens"))
+
+
+@query(f"""WITH s AS (SELECT id, j, k, trim(regexp_replace(ss[k], '\\s+', ' ', 'g')) AS t FROM (SELECT id, j, ss, unnest(generate_series(1, len(ss))) AS k FROM (SELECT id, j, string_split(ps[j], '. ') AS ss FROM
+ (SELECT id, ps, unnest(generate_series(1, len(ps))) AS j FROM {D})))), p AS (SELECT id, j, string_agg(t, ' ' ORDER BY k) AS t FROM s WHERE t <> '' GROUP BY id, j)
+SELECT id AS doc_id, md5('<newdoc>' || chr(10) || string_agg(t, chr(10) ORDER BY j)) AS digest FROM p GROUP BY id""")
+def lm_export_paragraphs(spark, d):
+    return tokens.export_text(_tokens(spark, d), "lm").select("doc_id", F.md5("text").alias("digest"))
+
+
+@query("SELECT p_partkey, string_split(p_name, ' ') AS tokens FROM part")
+def raw_tokens(spark, d):
+    return table(spark, d, "part").select("p_partkey", tokens.raw_sentence_tokens(F.concat(F.lit("# text = "), "p_name")).alias("tokens"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN [p_name, '[]', p_name, '[/N][Nom]'] ELSE [p_name, 'a', p_type, '[/N][Pl][Acc]'] END AS fields, (CASE WHEN p_partkey % 3 = 0 THEN p_name || ' [Nom]' ELSE p_type || ' [Pl] [Acc]' END) AS glf FROM part")
+def token_fields(spark, d):
+    four = F.array("p_name", F.lit("a"), "p_type", F.lit("[[/N]][Pl][Acc]"))
+    rows = table(spark, d, "part").select("p_partkey", F.when(F.col("p_partkey") % 3 == 0, F.array("p_name")).otherwise(four).alias("fields"))
+    fixed, header = tokens.fix_tags(tokens.fix_rows(rows), 4), ["form", "anas", "lemma", "tag"]
+    return fixed.select("p_partkey", "fields", tokens.glf(tokens.field("lemma", header), tokens.field("tag", header)).alias("glf"))
+
+
+@query("SELECT doc_id, CASE WHEN n <= t // 6 THEN 'a' WHEN n <= t // 6 + t * 2 // 6 THEN 'b' ELSE 'c' END AS host FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n, count(*) OVER () AS t FROM documents)")
+def weighted_split(spark, d):
+    return sampling.weighted_split(table(spark, d, "documents").select("doc_id"), {"a": 1, "b": 2, "c": 3}, ["doc_id"])
+
+
+@query("SELECT doc_id, (row_number() OVER (ORDER BY md5('5:' || doc_id), doc_id) - 1) // 70 + 1 AS file_no FROM documents")
+def shuffle_files(spark, d):
+    return sampling.shuffled(table(spark, d, "documents").select("doc_id"), 5, "doc_id", per_file=70)
+
+
+@query("SELECT doc_id, batch FROM (SELECT doc_id, doc_id // 50 AS batch FROM documents) WHERE batch NOT IN (SELECT doc_id % 4 FROM documents)")
+def unprocessed_batches(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", F.floor(F.col("doc_id") / 50).alias("batch"))
+    return sampling.unprocessed(rows, table(spark, d, "documents").select((F.col("doc_id") % 4).alias("batch")))
+
+
+@query("SELECT doc_id AS id, CAST(r AS BIGINT) AS n FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM documents) WHERE r IN (SELECT doc_id * 3 FROM documents)")
+def rows_at_positions(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"))
+    return dedup.at_positions(docs, docs.select((F.col("id") * 3).alias("n")))
+
+
+@query("""WITH e AS (SELECT *, event_type = 'view' AS s, event_type = 'purchase' AS f FROM events),
+w AS (SELECT *, sum(CASE WHEN s THEN 1 ELSE 0 END) OVER u AS n, max(CASE WHEN s THEN (ts, event_id) END) OVER u AS ls, max(CASE WHEN f THEN (ts, event_id) END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS le FROM e WINDOW u AS (PARTITION BY user_id ORDER BY ts, event_id)),
+o AS (SELECT *, first_value(event_id) OVER (PARTITION BY user_id, n ORDER BY ts, event_id) AS file FROM w WHERE ls IS NOT NULL AND (le IS NULL OR le < ls))
+SELECT CAST(file AS VARCHAR) AS file, list(props ORDER BY ts, event_id) AS messages FROM o WHERE value > 50 AND NOT s AND NOT f GROUP BY file""")
+def log_messages(spark, d):
+    e = table(spark, d, "events").withColumns({"level": F.when(F.col("value") > 50, "WARNING").otherwise("INFO"), "message": F.col("props")})
+    return logs.messages_by_file(e, F.col("event_id").cast("string"), F.col("event_type") == "view", F.col("event_type") == "purchase", by="user_id", order=("ts", "event_id"))

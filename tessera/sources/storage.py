@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,6 +20,47 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def list_folder(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of any file system that Hadoop knows."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return sorted(f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p))
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, null if there is none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return "\n".join(r[0] for r in spark.read.text(path).collect()) if fs.exists(p) else None
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """Replaces a small file, through Hadoop's file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def file_system(uri: str):
+    """The Arrow file system of a URI, for workers, and the path in it. Spark's names of S3 are those that Arrow calls s3."""
+    import pyarrow.fs as pafs
+
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri if "://" in uri else f"file://{uri}"))
+
+
+def open_output(uri: str):
+    fs, path = file_system(uri)
+    fs.create_dir(path.rpartition("/")[0], recursive=True)
+    return fs.open_output_stream(path)
+
+
+def rename_output(old: str, new: str) -> None:
+    fs, path = file_system(old)
+    fs.move(path, file_system(new)[1])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: the end of its lineage, which survives lost executors."""
     path = shared_folder(df.sparkSession, name)

@@ -37,8 +37,8 @@ def test_text(spark):
 
 
 def test_url(spark):
-    assert one(spark, "www2.elte.hu", url.surt) == "hu,elte" == one(spark, "*.elte.hu", url.surt)
-    assert [one(spark, s, lambda c: url.surt_matches(c, "hu,elte")) for s in ("hu,elte", "hu,elte,x", "hu", "hu,eltex")] == [True, True, False, False]
+    assert one(spark, "www2.site.hu", url.surt) == "hu,site" == one(spark, "*.site.hu", url.surt)
+    assert [one(spark, s, lambda c: url.surt_matches(c, "hu,site")) for s in ("hu,site", "hu,site,x", "hu", "hu,sitex")] == [True, True, False, False]
     assert one(spark, "http://ww2.a.hu/x", url.domain) == "a.hu" and one(spark, "http://www4.a.hu", url.domain) == "www4.a.hu"
     assert one(spark, "a%252520b", url.unquote_all) == "a b" and one(spark, "a+b", url.unquote_all) == "a+b"
     assert one(spark, '"text\\html; charset=x"', mime.normalize_mime) == "text/html"
