@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,16 +15,28 @@ from pyspark.sql import functions as F
 from .common import hash_id
 from .textkernel import kgrams, mix, slices, span_hash, text_bytes, word_hashes, words
 
-#: Terms that name groups of people, by kind; a term is swapped with the others of its kind and with a neutral one.
+#: Terms that name groups of people, by language and kind; a term is swapped with the others of its kind and with a neutral word of its language.
 IDENTITY_TERMS: dict[str, tuple[str, ...]] = {
-    "gender": ("women", "men", "woman", "man", "female", "male", "transgender", "nonbinary"),
-    "orientation": ("gay", "lesbian", "straight", "bisexual", "queer", "heterosexual", "homosexual"),
-    "religion": ("muslim", "christian", "jewish", "hindu", "buddhist", "sikh", "atheist", "catholic"),
-    "origin": ("black", "white", "asian", "african", "latino", "mexican", "arab", "european", "immigrant", "refugee"),
-    "ability": ("blind", "deaf", "disabled", "autistic"),
-    "age": ("old", "young", "elderly", "teenage"),
+    "en gender": ("women", "men", "woman", "man", "female", "male", "transgender", "nonbinary"),
+    "en orientation": ("gay", "lesbian", "straight", "bisexual", "queer", "heterosexual", "homosexual"),
+    "en religion": ("muslim", "christian", "jewish", "hindu", "buddhist", "sikh", "atheist", "catholic"),
+    "en origin": ("black", "white", "asian", "african", "latino", "mexican", "arab", "european", "immigrant", "refugee"),
+    "en ability": ("blind", "deaf", "disabled", "autistic"),
+    "en age": ("old", "young", "elderly", "teenage"),
+    "de gender": ("frauen", "männer", "frau", "mann", "weiblich", "männlich"),
+    "de orientation": ("schwul", "lesbisch", "bisexuell", "homosexuell", "heterosexuell"),
+    "de religion": ("muslime", "christen", "juden", "hindus", "buddhisten", "katholiken"),
+    "de origin": ("schwarze", "weiße", "asiaten", "afrikaner", "araber", "europäer", "flüchtlinge", "einwanderer"),
+    "fr gender": ("femmes", "hommes", "femme", "homme", "féminin", "masculin"),
+    "fr orientation": ("gai", "lesbienne", "bisexuel", "homosexuel", "hétérosexuel"),
+    "fr religion": ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "catholiques"),
+    "fr origin": ("noirs", "blancs", "asiatiques", "africains", "arabes", "européens", "réfugiés", "immigrés"),
+    "es gender": ("mujeres", "hombres", "mujer", "hombre", "femenino", "masculino"),
+    "es orientation": ("gais", "lesbiana", "bisexual", "homosexual", "heterosexual"),
+    "es religion": ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "católicos"),
+    "es origin": ("negros", "blancos", "asiáticos", "africanos", "árabes", "europeos", "refugiados", "inmigrantes"),
 }
-NEUTRAL = ("local", "person", "people")
+NEUTRAL: dict[str, tuple[str, ...]] = {"en": ("local", "person", "people"), "de": ("leute", "person", "menschen"), "fr": ("gens", "personne", "voisins"), "es": ("gente", "persona", "vecinos")}
 #: Feature numbers of words and stems: their hash's low bits.
 DIMS = 1 << 20
 #: Bytes of a stem.
@@ -75,35 +88,38 @@ def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return f[order], np.searchsorted(doc[order], np.arange(n + 1))
 
 
-def distinct_texts(texts: list[str], k: int = 3, samples: int = 24, most: int = 3) -> np.ndarray:
-    """Positions of the texts that share at most ``most`` of their least word 3-gram hashes with the texts before.
+def distinct_texts(texts: list[str], k: int = 3, samples: int = 24, most: int = 8) -> np.ndarray:
+    """Positions of the texts without a near copy before: none that is kept shares more than ``most`` of its ``samples`` minima of word 3-grams.
 
     Copies of one labelled text would make its chance words look like evidence. A text of fewer than k words stays.
     """
     wh, wo = word_hashes(pa.array(texts, pa.large_string()))
     h, _, ko = kgrams(wh, wo, k)
-    seen: set[tuple[int, int]] = set()
+    having: dict[tuple[int, int], list[int]] = {}
     keep = []
     for i in range(len(texts)):
         own = h[ko[i] : ko[i + 1]]
-        marks = {(j, int(mix(own + np.uint64(j)).min())) for j in range(samples)} if len(own) else set()
-        if len(marks & seen) <= most:
+        marks = [(j, int(mix(own + np.uint64(j)).min())) for j in range(samples)] if len(own) else []
+        shared = Counter(x for m in marks for x in having.get(m, ()))
+        if max(shared.values(), default=0) <= most:
             keep.append(i)
-        seen |= marks
+            for m in marks:
+                having.setdefault(m, []).append(i)
     return np.array(keep, dtype=np.int64)
 
 
 def counterfactuals(texts: list[str], terms: dict[str, tuple[str, ...]], n: int, rng: np.random.Generator) -> tuple[list[str], list[str]]:
     """Sentences of the labelled texts with an identity term, and the same with the term swapped.
 
-    Each sentence that has a term is swapped with the others of the kind and a neutral word. Up to n
-    further sentences get a term at a random place first, so that terms without labelled mentions are held too.
+    Each sentence that has a term is swapped with the others of the kind and a neutral word. n further sentences, drawn
+    from all of the labelled texts, get a term at a random place first, so that terms without labelled mentions are held too.
     """
     kind = {t: k for k, ts in terms.items() for t in ts}
     left, right = [], []
 
     def swap(words: list[str], i: int) -> None:
-        others = [t for t in terms[kind[words[i]]] if t != words[i]] + [NEUTRAL[int(rng.integers(len(NEUTRAL)))]]
+        neutral = NEUTRAL.get(kind[words[i]][:2], NEUTRAL["en"])
+        others = [t for t in terms[kind[words[i]]] if t != words[i]] + [neutral[int(rng.integers(len(neutral)))]]
         for o in others:
             left.append(" ".join(words))
             right.append(" ".join([*words[:i], o, *words[i + 1 :]]))
@@ -115,11 +131,11 @@ def counterfactuals(texts: list[str], terms: dict[str, tuple[str, ...]], n: int,
             hits = [i for i, w in enumerate(words) if w in kind]
             for i in hits:
                 swap(words, i)
-            if words and not hits and len(plain) < 20 * n:
-                plain.append(words)
+            if words and not hits:
+                plain.append(s)
     every = sorted(kind)
     for j in range(n if plain and every else 0):
-        words = list(plain[int(rng.integers(len(plain)))])
+        words = _WORD.findall(plain[int(rng.integers(len(plain)))])
         i = int(rng.integers(len(words) + 1))
         words.insert(i, every[j % len(every)])
         swap(words, i)
@@ -151,7 +167,7 @@ def fit(rows: list[tuple[str, int]], terms: dict[str, tuple[str, ...]] | None =
     swaps = (*_features(left), *_features(right))
     df = np.bincount(idx, minlength=TIMES * DIMS)
     swapped = np.zeros(TIMES * DIMS, dtype=bool)
-    swapped[_features([t for ts in terms.values() for t in ts] + list(NEUTRAL))[0]] = True
+    swapped[_features([t for ts in (*terms.values(), *NEUTRAL.values()) for t in ts])[0]] = True
     used = np.flatnonzero((df >= least_docs) | swapped & (df > 0))
     w, b = _solve(idx, off, y, swaps, used, penalty, sparsity * np.sqrt(df[used]) / n, steps)
     used = used[(w != 0) | swapped[used]]  # the L1 term has chosen the words; their weights are fitted anew with little of it
@@ -211,7 +227,7 @@ def _solve(idx: np.ndarray, off: np.ndarray, y: np.ndarray, swaps: tuple, used:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int, seed: int = 3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> list[tuple[str, int]]:
-    """At most ``most`` labelled documents, those with the least seeded hashes of their ids; texts are whole."""
+    """At most ``most`` labelled documents, those with the least seeded hashes of their ids; texts are whole. Of an id with several rows the least text counts."""
     y = F.col(f"`{label_col}`")
     own = labels.where(y.isNotNull() & F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").cast("long").alias("id")).agg(F.max(y.cast("int")).alias("y"))
     total = own.count()
@@ -220,7 +236,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int, seed: int = 3,
     h = hash_id("id", seed)
     chosen = own.where(h < 1.2 * most / total + 20 / total).orderBy(h, "id").limit(most)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t")).where("t is not null")
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "t", "y").toArrow().to_pylist()  # ``most`` rows of 12 bytes are broadcast
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min("t").alias("t")).toArrow().to_pylist()  # ``most`` rows of 12 bytes are broadcast, and as many texts come back
     rows.sort(key=lambda r: (r["id"], r["t"]))
     return [(r["t"], r["y"]) for r in rows]
 
@@ -247,11 +263,14 @@ def toxic_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     every whole text. Swapping identity terms (``terms``) in labelled sentences must not change their score, so
     a mention of a group isn't evidence.
 
+    Near copies of a labelled text aren't trained on (:func:`distinct_texts`), and the terms are those of four languages.
+
     Without a labelled document of both kinds there is no model: toxicity is null and is_toxic false.
 
     Nulls: a null id stays null; a null text has toxicity null and isn't toxic; an empty one has the
     classifier's base score. Rows of labels with a null id or label are left out; of an id with several labels
-    the highest counts. Repeated rows are scored each. Empty tables give an empty result; other columns are
+    the highest counts, and of several texts under it the least. Repeated rows are scored each; ties don't occur. Texts of any
+    length are scored whole. Empty tables give an empty result; other columns are
     ignored.
     """
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.lower(F.col(f"`{text_col}`")).alias("t"), F.col(f"`{text_col}`").isNotNull().alias("known"))
