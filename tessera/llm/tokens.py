@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import posixpath
+import re
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -25,21 +26,25 @@ END_ID = 50256
 
 
 def load_encoder(path: str, pattern: str = PATTERN):
-    """A tiktoken encoding from a file of base64 tokens and ranks."""
+    """A tiktoken encoding from a file of base64 tokens and ranks, and the highest rank."""
+    return _encoder(Path(path).read_bytes(), pattern)
+
+
+def _encoder(vocabulary: bytes, pattern: str):
     import tiktoken
 
-    ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in Path(path).read_bytes().splitlines() if line)}
-    return tiktoken.Encoding(Path(path).stem, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), max(ranks.values())
+    ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in vocabulary.splitlines() if line)}
+    return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), max(ranks.values())
 
 
 def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri)
+    """The Arrow file system of a URI. Spark's names of S3, s3a and s3n, are Arrow's s3."""
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
 
 
-def _writer(folder: str, tokenizer: str, pattern: str, end_id: int | None):
+def _writer(folder: str, vocabulary, pattern: str, dtype: np.dtype, end_id: int | None):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, top = load_encoder(tokenizer, pattern)
-        dtype = np.dtype("<u2" if max(top, end_id or 0) < 1 << 16 else "<u4")
+        enc, _ = _encoder(vocabulary.value, pattern)
         end = np.array([] if end_id is None else [end_id], dtype=dtype).tobytes()
         fs, base = _filesystem(folder)
         shard = TaskContext.get().partitionId()
@@ -92,24 +97,26 @@ def write_tokens(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
     Every partition writes ``.bin`` (unsigned ids, 16 bits if the vocabulary allows, else 32) and ``.idx``
     (64-bit token offsets within the file, one more than documents). The partitions' bases in the corpus
     are exclusive prefix sums of their counts over the partition numbers, one row each, and stand in the
-    table ``manifest``. Tokens are made once and written by the tasks that made them: documents aren't
+    table ``manifest``, with the kind of number. The vocabulary, a file of the driver, is broadcast. Tokens are made once and written by the tasks that made them: documents aren't
     shuffled. A retried task writes new files, and files that no row names are removed at the end.
 
     Nulls: a null or empty text has the end token only; a null id stays null. Repeated rows are documents
-    by themselves. An empty table gives an empty manifest; other columns are ignored. A text is encoded
+    by themselves, in the order of the table's partitions, so ties don't occur. An empty table gives an empty manifest; other columns are ignored. A text is encoded
     whole, whatever its length, and strings of special tokens are ordinary text.
     """
     spark = docs.sparkSession
     path = path or shared_dir(spark, "tokens")
     fs, base = _filesystem(path)
     fs.create_dir(base, recursive=True)
+    vocabulary = Path(tokenizer).read_bytes()  # of the driver; executors needn't have it
+    dtype = np.dtype("<u2" if max(_encoder(vocabulary, pattern)[1], end_id or 0) < 1 << 16 else "<u4")
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t"))
     schema = "doc_id long, shard int, row long, local_start long, n_tokens long, name string"
-    source.mapInArrow(_writer(path, tokenizer, pattern, end_id), schema).write.parquet(f"{path}/documents")
+    source.mapInArrow(_writer(path, spark.sparkContext.broadcast(vocabulary), pattern, dtype, end_id), schema).write.parquet(f"{path}/documents")
     table = spark.read.schema(schema).parquet(f"{path}/documents")
     before = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
     shards = table.groupBy("shard", "name").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("shard_tokens"))
-    bases = shards.select("shard", "name", "n_docs", "shard_tokens", F.coalesce(F.sum("n_docs").over(before), F.lit(0)).alias("base_doc"), F.coalesce(F.sum("shard_tokens").over(before), F.lit(0)).alias("base_token"))
+    bases = shards.select("shard", "name", "n_docs", "shard_tokens", F.coalesce(F.sum("n_docs").over(before), F.lit(0)).alias("base_doc"), F.coalesce(F.sum("shard_tokens").over(before), F.lit(0)).alias("base_token"), F.lit(dtype.str).alias("dtype"))
     bases.coalesce(1).write.parquet(f"{path}/manifest")
     manifest = spark.read.schema(bases.schema).parquet(f"{path}/manifest")
     named = {r[0] for r in manifest.select("name").toLocalIterator()}
@@ -125,10 +132,10 @@ def write_tokens(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
 class TokenCorpus:
     """Memory-mapped view of a folder on a file system that ``write_tokens`` filled."""
 
-    def __init__(self, path: str, dtype: str = "<u2") -> None:
+    def __init__(self, path: str) -> None:
         self.path = Path(path.removeprefix("file://"))
         m = pq.read_table(self.path / "manifest").sort_by("shard").to_pydict()
-        self.names, self.dtype = m["name"], np.dtype(dtype)
+        self.names, self.dtype = m["name"], np.dtype(m["dtype"][0] if m["dtype"] else "<u2")
         self.base_doc = np.array(m["base_doc"], dtype=np.int64)
         self.base_token = np.array(m["base_token"], dtype=np.int64)
         self.n_docs, self.n_tokens = sum(m["n_docs"]), sum(m["shard_tokens"])
