@@ -98,17 +98,24 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(r["key"].view(np.int64)), pa.array([p.tobytes() for p in proof], pa.binary()), pa.array(r["id"])], ["key", "proof", "keep_id"])
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 8) -> DataFrame:
+#: Digests (56 bytes each) of one range of keys: what a task of the last round holds.
+RANGE_DIGESTS = 1_000_000
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 8, range_digests: int = RANGE_DIGESTS) -> DataFrame:
     """For every document the least id among the documents with the same text.
 
     Returns ``doc_id, keep_id, is_duplicate``. Each partition sorts its digests into runs, one for each
     range of keys; in round j the runs that agree in all but the last j base-``fan_in`` digits of their
-    number merge at one of them, so that after log(partitions) rounds every range has one run. Equal
+    number merge at one of them (a binomial tree for 2; for more, rounds of multiway merges), so that after log(partitions)
+    rounds every range has one run. Ranges are as many as keep one below about ``range_digests``. Equal
     64-bit keys are verified at every level by SHA-256. Only digests move, each distinct one at most once
-    a round and partition, so that a text with many copies is no skew.
+    a round and partition, so in the tree a text with many copies is no skew; in the last join, which brings the least
+    ids back, Spark splits such a key's partition, as its other side is one row.
 
-    Nulls: a null text equals no other (keep_id is its own id); rows with a null id are left out. The
-    empty text is a text like others. Repeated rows give one row; an id with several texts gives one
+    Nulls: a null text equals no other (keep_id is its own id) and takes no part in the join; rows with a null id are left
+    out. The empty text is a text like others, and so is a very long one, of which only the digest moves. Of equal texts the least
+    id is kept, so there are no ties. Repeated rows give one row; an id with several texts gives one
     row for each. An empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -117,15 +124,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.xxhash64(t).alias("key"), F.unhex(F.sha2(t.cast("binary"), 256)).alias("proof"), F.col(f"`{id_col}`").cast("long").alias("id")),
         "digests",
     )
-    known = digests.where(F.col("proof").isNotNull())
+    known, nothing = digests.where(F.col("proof").isNotNull()), digests.where(F.col("proof").isNull())
     n = max(1, known.rdd.getNumPartitions())
-    runs = known.mapInArrow(_leaf_runs(shuffle_partitions(spark)), _SCHEMA)
+    ranges = max(shuffle_partitions(spark), -(-known.count() // range_digests))
+    runs = known.mapInArrow(_leaf_runs(ranges), _SCHEMA)
     while n > 1:
         n = -(-n // fan_in)
         runs = runs.withColumn("parent", F.floor(F.col("run") / fan_in)).groupBy("bucket", "parent").applyInArrow(_merge_group, _SCHEMA)
     least = runs.mapInArrow(_repeated, "key long, proof binary, keep_id long")
     keep = F.coalesce("keep_id", "id")
-    return digests.join(least, ["key", "proof"], "left").select(F.col("id").alias("doc_id"), keep.alias("keep_id"), (keep != F.col("id")).alias("is_duplicate"), "key").distinct().drop("key")
+    alone = nothing.select(F.col("id").alias("doc_id"), F.col("id").alias("keep_id"), F.lit(False).alias("is_duplicate")).distinct()
+    return known.join(least, ["key", "proof"], "left").select(F.col("id").alias("doc_id"), keep.alias("keep_id"), (keep != F.col("id")).alias("is_duplicate"), "key").distinct().drop("key").unionByName(alone)
 
 
 ORACLE_SQL = """
