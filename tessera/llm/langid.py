@@ -168,15 +168,15 @@ def _apply(held, least: float, names: list[str]):
     return apply
 
 
-def training_rows(docs: DataFrame, per_language: int, seed: int = 5, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", chars: int = 400) -> list[tuple[str, str]]:
-    """A bounded sample of labelled rows: of each language about ``per_language`` documents with a small seeded hash, an excerpt of each."""
+def training_rows(docs: DataFrame, per_language: int, seed: int = 5, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", chars: int = 400, most_languages: int = 64) -> list[tuple[str, str]]:
+    """A bounded sample of labelled rows: of each language at most ``per_language`` documents, those with the least seeded hashes, and of each an excerpt
+    (``chars`` characters from a hashed place). Labels beyond the ``most_languages`` most frequent ones are taken for noise."""
     labelled = docs.where(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
-    counts = {r[0]: r[1] for r in labelled.groupBy(F.col(f"`{lang_col}`").cast("string")).count().collect()}
+    counts = {r[0]: r[1] for r in labelled.groupBy(F.col(f"`{lang_col}`").cast("string").alias("l")).count().orderBy(F.desc("count"), "l").limit(most_languages).collect()}
     if not counts:
         return []
-    bound = F.lit(0.0)
-    for lang, n in counts.items():
-        bound = F.when(F.col(f"`{lang_col}`").cast("string") == lang, F.lit(1.3 * per_language / n)).otherwise(bound)
+    shares = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, 1.3 * per_language / n)))
+    bound = F.coalesce(F.try_element_at(shares, F.col(f"`{lang_col}`").cast("string")), F.lit(0.0))
     h = hash_id(f"`{id_col}`", seed)
     at = F.lit(1) + F.floor(F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.greatest(F.lit(1), F.length(F.col(f"`{text_col}`")) - chars))).cast("int")
     rows = labelled.where(h < bound).select(F.col(f"`{lang_col}`").cast("string").alias("l"), h.alias("h"), F.col(f"`{text_col}`").substr(at, F.lit(chars)).alias("t")).collect()
@@ -196,8 +196,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     class probabilities, share the part of the positions with the document's label. A document is
     accepted if its language isn't ``und`` (no language) and has at least ``least`` probability.
 
-    Without a given model one is trained on at most ``per_language`` labelled rows of each language
-    (``lang_col``). Without any labelled row there is no model: language, probability and share are null,
+    Without a given model one is trained on excerpts (400 characters) of at most ``per_language`` labelled rows of each
+    language (``lang_col``; the 64 most frequent labels); labelling reads all of every text, whatever its length. Of classes
+    with equal probability the first by name counts. Without any labelled row there is no model: language, probability and share are null,
     and everything is accepted.
 
     Nulls: a null id stays null; rows with a null language aren't trained on; a null or empty text is
@@ -217,7 +218,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def accepted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model: LanguageModel | None = None, per_language: int = 300, least: float = 0.3) -> DataFrame:
     """The rows of docs that :func:`identify` accepts, with all columns; nothing is joined or shuffled.
 
-    Nulls, empty texts and a missing model are handled as there.
+    Nulls, empty and very long texts, ties, repeated rows, empty tables and a missing model are handled as there; other columns
+    come through as they are, whatever their names.
     """
     if model is None:
         model = fit(training_rows(docs, per_language, lang_col=lang_col, text_col=text_col, id_col=id_col))
