@@ -44,13 +44,23 @@ def delete_dir(spark: SparkSession, path: str) -> None:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def checkpointed(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replaces a small file."""
+    fs, p = _hadoop_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def checkpointed(df: DataFrame, name: str, compression: str = "snappy", path: str | None = None) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends there, and lost executors cost nothing.
 
     The shuffle files of the write aren't needed after it and go at once.
     """
     spark = df.sparkSession
-    path, before = shared_dir(spark, name), spark.conf.get(_CLEANUP, "false")
+    path, before = path or shared_dir(spark, name), spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
         df.write.option("compression", compression).parquet(path)

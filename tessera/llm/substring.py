@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -13,10 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import by_key, checkpointed, keyed_text, shared_dir, shuffle_partitions
+from .common import by_key, checkpointed, delete_dir, discard, keyed_text, shared_dir, shuffle_partitions, write_text
 from .textkernel import kgrams, mix, slices, winnow, word_hashes
 
 _U = np.uint64
+_RUN = "h BIGINT, proof INT, doc BIGINT, pos INT, first_doc BIGINT, first_pos INT, is_first BOOLEAN"
 _SPANS = "doc_id long, start int, n_words int, source_doc_id long, source_start int"
 
 
@@ -82,36 +84,75 @@ class FingerprintIndex:
     Every batch becomes one run. Two neighbouring runs of a level are compacted to one of the next, so
     that n batches leave log n runs; the earlier occurrence of a fingerprint stays. Runs are bucketed by hash into the
     same number of files, so that joining a batch with a run, and merging two runs, needs no shuffle.
+
+    With a ``path`` the index outlives its session: runs, texts and hits are below it, and after each batch the manifest
+    there names those that count. :meth:`open` goes on with it; what a broken batch left isn't named and isn't read.
     """
 
-    def __init__(self, spark: SparkSession, k: int = 40, min_words: int = 50, buckets: int | None = None) -> None:
+    def __init__(self, spark: SparkSession, k: int = 40, min_words: int = 50, buckets: int | None = None, path: str | None = None) -> None:
         self.spark, self.k, self.w = spark, k, min_words - k + 1
         self.buckets = buckets or shuffle_partitions(spark)
+        self.path = path.rstrip("/") if path else None
         self.runs: list[Run] = []
+        self._old: list[Run] = []
         self.texts: list[DataFrame] = []  # of each batch, to extend spans
         self.hits: list[DataFrame] = []  # of each batch, with repeats within one document
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> FingerprintIndex:
+        m = json.loads("\n".join(r[0] for r in spark.read.text(f"{path.rstrip('/')}/manifest.json").collect()))
+        index = cls(spark, m["k"], m["min_words"], m["buckets"], path)
+        for place, level in m["runs"]:
+            run = Run(f"tessera_run_{uuid.uuid4().hex}", place, level)
+            spark.sql(f"CREATE TABLE {run.table} ({_RUN}) USING parquet CLUSTERED BY (h) SORTED BY (h) INTO {index.buckets} BUCKETS LOCATION '{place}'")
+            index.runs.append(run)
+        index.texts = [spark.read.schema("id bigint, t string, batch int").parquet(p).where(w).drop("batch") for p, w in m["texts"]]
+        index.hits = [spark.read.schema("doc bigint, pos int, src bigint, src_pos int").parquet(p) for p in m["hits"]]
+        for df, (p, w) in zip(index.texts, m["texts"]):
+            df.written_to, df.part = p, w
+        for df, p in zip(index.hits, m["hits"]):
+            df.written_to = p
+        return index
+
+    def _place(self, name: str) -> str:
+        return f"{self.path}/{name}-{uuid.uuid4().hex[:12]}" if self.path else shared_dir(self.spark, name)
+
+    def _save(self) -> None:
+        if self.path:
+            m = {"k": self.k, "min_words": self.k + self.w - 1, "buckets": self.buckets, "runs": [(r.path, r.level) for r in self.runs], "texts": [(x.written_to, x.part) for x in self.texts], "hits": [x.written_to for x in self.hits]}
+            write_text(self.spark, f"{self.path}/manifest.json", json.dumps(m))
+
     def _write(self, df: DataFrame, level: int) -> Run:
-        run = Run(f"tessera_run_{uuid.uuid4().hex}", shared_dir(self.spark, f"run-{level}"), level)
+        run = Run(f"tessera_run_{uuid.uuid4().hex}", self._place(f"run-{level}"), level)
         df.write.bucketBy(self.buckets, "h").sortBy("h").format("parquet").option("path", run.path).saveAsTable(run.table)
         return run
 
     def _drop(self, run: Run) -> None:
         self.spark.sql(f"DROP TABLE {run.table}")
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(run.path)
-        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        delete_dir(self.spark, run.path)
 
     def entries(self, run: Run, suffix: str = "") -> DataFrame:
         """The run's fingerprints with their first occurrences."""
         df = self.spark.table(run.table).where("is_first")
         return df.select(*(F.col(c).alias(c + suffix) for c in ("h", "proof", "doc", "pos")))
 
-    def add(self, docs: DataFrame) -> DataFrame:
-        """Adds documents (``id``, ``t`` in lower case) and returns their windows that another document had before.
+    def split(self, docs: DataFrame, batches: int) -> list[DataFrame]:
+        """Documents (``id``, ``t`` in lower case) in batches by the hash of the id: read once and written once, a folder for each batch."""
+        path = self._place("texts")
+        docs.select("id", "t", F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch")).where("t <> ''").write.partitionBy("batch").parquet(path)
+        out = []
+        for i in range(batches):
+            df = self.spark.read.schema("id bigint, t string, batch int").parquet(path).where(f"batch = {i}").drop("batch")
+            df.written_to, df.part = path, f"batch = {i}"
+            out.append(df)
+        return out
+
+    def add(self, texts: DataFrame) -> DataFrame:
+        """Adds a batch that :meth:`split` wrote and returns its windows that another document had before.
 
         Columns doc, pos, src, src_pos: an earlier batch goes before, then the lower id within the batch.
         """
-        self.texts.append(checkpointed(docs.select("id", "t").where("t <> ''"), "texts"))
+        self.texts.append(texts)
         new = self.texts[-1].mapInArrow(_fingerprints(self.k, self.w), "h long, proof int, doc long, pos int")
         new = new.repartition(self.buckets, "h").sortWithinPartitions("h", "proof", "doc", "pos")
         run = self._write(new.mapInArrow(_firsts, "h long, proof int, doc long, pos int, first_doc long, first_pos int, is_first boolean"), 0)
@@ -122,19 +163,22 @@ class FingerprintIndex:
             hits = hits.join(self.entries(r, f"_{i}"), (F.col("h") == F.col(f"h_{i}")) & (F.col("proof").bitwiseXOR(F.col(f"proof_{i}")) == 0), "left")
             src, at = F.coalesce(src, F.col(f"doc_{i}")), F.coalesce(at, F.col(f"pos_{i}"))
         hits = hits.select("doc", "pos", F.coalesce(src, "first_doc").alias("src"), F.coalesce(at, "first_pos").alias("src_pos")).where("src <> doc or src_pos <> pos")
-        self.hits.append(checkpointed(hits, "hits"))
+        self.hits.append(checkpointed(hits, "hits", path=self._place("hits")))
         self.runs.append(run)
         while len(self.runs) > 1 and self.runs[-1].level == self.runs[-2].level:
             self._compact()
+        self._save()
+        for run in self._old:  # not before the manifest stops naming them
+            self._drop(run)
+        self._old = []
         return self.hits[-1].where("src <> doc")
 
     def _compact(self) -> None:
         a, b = self.runs[-2], self.runs[-1]
         both = self.entries(a).join(self.entries(b, "_b"), (F.col("h") == F.col("h_b")) & (F.col("proof").bitwiseXOR(F.col("proof_b")) == 0), "full_outer")
-        merged = both.select(*(F.coalesce(c, f"{c}_b").alias(c) for c in ("h", "proof", "doc", "pos")), F.lit(True).alias("is_first"))
+        merged = both.select(*(F.coalesce(c, f"{c}_b").alias(c) for c in ("h", "proof", "doc", "pos")), F.lit(None).cast("long").alias("first_doc"), F.lit(None).cast("int").alias("first_pos"), F.lit(True).alias("is_first"))
         self.runs[-2:] = [self._write(merged, a.level + 1)]
-        for r in (a, b):
-            self._drop(r)
+        self._old += [a, b]
 
 
 def spans(hits: DataFrame, k: int) -> DataFrame:
@@ -216,6 +260,7 @@ def extended(found: DataFrame, texts: DataFrame, margin: int = 16) -> DataFrame:
         both = todo.join(a, (F.col("doc_id") == F.col("id_a")) & (F.col("start") == F.col("at_a")) & (F.col("n_words") == F.col("n_a")))
         both = both.join(b, (F.col("source_doc_id") == F.col("id_b")) & (F.col("source_start") == F.col("at_b")) & (F.col("n_words") == F.col("n_b"))).where("digest_a = digest_b")
         grown = checkpointed(both.select("doc_id", "start", "n_words", "source_doc_id", "source_start", "left_a", "right_a", "left_b", "right_b").mapInArrow(_grow(margin), _SPANS + ", more boolean").distinct(), "grown")
+        discard(read)
         out.append(grown.where("not more").drop("more"))
         todo, margin = grown.where("more").drop("more"), margin * 8
         if todo.isEmpty():
@@ -258,14 +303,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     With a given index, which may hold earlier documents, the documents are further batches of it.
 
     Nulls: rows with a null id are left out; a null or empty text, or one of fewer than ``min_words`` words,
-    has no spans. Repeats within one document, or under one id, aren't reported. Repeated rows give no further rows. Empty
+    has no spans. Texts are read whole, however long. Of equally early sources the lower place counts. Repeats within one document, or under one id, aren't reported. Repeated rows give no further rows. Empty
     tables give an empty result; other columns are ignored.
     """
     index = index or FingerprintIndex(docs.sparkSession, k, min_words)
     source = keyed_text(docs, id_col, text_col).where("t is not null")
     hits = None
-    for b in range(batches):
-        part = source if batches == 1 else source.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == b)
+    for part in index.split(source, batches):
         found = index.add(part)
         hits = found if hits is None else hits.unionByName(found)
     least = index.k + index.w - 1
