@@ -21,8 +21,8 @@ TAGS = ["", "email", "phone", "ip", "card", "secret"]
 LETTER, OTHER, PAD = 128, 129, 130
 #: Characters of a window, of the overlap of two, and windows that run at once.
 WINDOW, OVERLAP, LANES = 512, 64, 1024
-#: Shorter spans aren't personal data of any kind here.
-LEAST_CHARS = 7
+#: The fewest characters that a span of each kind has in any form: a@b.c, 1.1.1.1, seven digits of a phone, 13 of a card. A secret may have any number.
+LEAST_CHARS = {"email": 5, "phone": 7, "ip": 7, "card": 13, "secret": 1}
 
 
 def symbols(text: str) -> np.ndarray:
@@ -59,7 +59,7 @@ class Maker:
         if kind == 1:
             local = self.pick(self.word(1), self.word(1) + self.pick(".", "_", "-", "") + self.word(1), self.word(1) + self.pick(".", "", "_") + self.digits(int(r.integers(1, 4))))
             host = self.pick("mail", "smtp", "post", self.word(), self.word()) + self.pick("", "", self.digits(1)) + self.pick("", ".example", "." + self.word(3, 7))
-            return "", (local + "@" + host + self.pick(".com", ".com", ".org", ".net", ".de", ".fr", ".es", ".co.uk", ".io")).replace("..", "."), "", kind
+            return "", (local + "@" + host + self.pick(".com", ".com", ".org", ".net", ".de", ".fr", ".es", ".co.uk", ".io", "." + self.word(2, 4))).replace("..", "."), "", kind
         if kind == 2:
             a, b, c = self.digits(3), self.digits(3), self.digits(4)
             return "", self.pick(f"+1 ({a}) {b}-{c}", f"+1 ({a}) 555-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+1-{a}-{b}-{c}", f"{a}.{b}.{c}", f"+{int(r.integers(20, 99))} {self.digits(2)} {c} {self.digits(4)}", f"+{int(r.integers(20, 99))} {b} {self.digits(int(r.integers(6, 9)))}"), "", kind
@@ -126,7 +126,7 @@ class PiiModel:
         return self.crf.decode(e.transpose(0, 2, 1), lengths)
 
 
-def fit(excerpts: list[str], hidden: int = 8, width: int = 96, steps: int = 420, batch: int = 64, seed: int = 11) -> PiiModel:
+def fit(excerpts: list[str], hidden: int = 12, width: int = 96, steps: int = 420, batch: int = 64, seed: int = 11) -> PiiModel:
     """Trains on made-up labelled spans within the excerpts (and made-up words), by backpropagation through time and the CRF's likelihood."""
     rng = np.random.default_rng(seed)
     maker = Maker(rng, excerpts)
@@ -187,8 +187,8 @@ def is_card(span: str) -> bool:
     return any(13 <= len(x) <= 19 and checked(x) for x in runs)
 
 
-def spans(tags: np.ndarray, co: np.ndarray, ids: np.ndarray, least: int = LEAST_CHARS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Document, start, end and tag of the runs of one tag other than 0, of ``least`` characters or more; card numbers only with the right check digit."""
+def spans(tags: np.ndarray, co: np.ndarray, ids: np.ndarray, least: dict[str, int] = LEAST_CHARS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document, start, end and tag of the runs of one tag other than 0 that have their kind's ``least`` characters; card numbers only with the right check digit."""
     if not len(tags):
         return (np.zeros(0, np.int64),) * 4
     new = np.ones(len(tags), dtype=bool)
@@ -196,7 +196,7 @@ def spans(tags: np.ndarray, co: np.ndarray, ids: np.ndarray, least: int = LEAST_
     new[co[:-1][co[:-1] < len(tags)]] = True
     s = np.flatnonzero(new)
     e = np.append(s[1:], len(tags))
-    ok = (tags[s] != 0) & (e - s >= least)
+    ok = (tags[s] != 0) & (e - s >= np.array([0, *(least[k] for k in TAGS[1:])])[tags[s]])
     for i in np.flatnonzero(ok & (tags[s] == TAGS.index("card"))):
         ok[i] = is_card("".join(map(chr, ids[s[i] : e[i]])))
     s, e = s[ok], e[ok]
@@ -216,8 +216,8 @@ def _apply(held):
     return apply
 
 
-def training_excerpts(docs: DataFrame, n: int, seed: int = 11, id_col: str = "doc_id", text_col: str = "text", chars: int = 200) -> list[str]:
-    """Excerpts of about n documents with a small seeded hash."""
+def training_excerpts(docs: DataFrame, n: int, seed: int = 11, id_col: str = "doc_id", text_col: str = "text", chars: int = 400) -> list[str]:
+    """Excerpts (``chars`` characters from a hashed place) of at most n documents, those with the least seeded hashes of ids: surroundings of made-up spans, no labels."""
     rows = keyed_text(docs, id_col, text_col, lower=False).where(F.length("t") > 0)
     total = rows.select("id").count() if n else 0
     if not total:
@@ -235,11 +235,14 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
     and the Viterbi paths of the windows are joined to one labelling of the text (``tag_texts``). Card numbers are
     reported if their check digit is right, which a network of this size can't compute.
 
-    Without a given model one is trained on made-up labelled spans, with excerpts of at most ``excerpts``
-    documents as surroundings.
+    Spans shorter than any form of their kind (``LEAST_CHARS``) aren't reported: they are a tag that flickers.
 
-    Nulls: rows with a null id are left out; a null or empty text has no spans. Repeated rows give their
-    spans each. Empty tables give an empty result; other columns are ignored.
+    Without a given model one is trained on made-up labelled spans, with excerpts (400 characters each) of at most
+    ``excerpts`` documents as surroundings: the bounded sample of the training, tagging reads all of every text.
+
+    Nulls: rows with a null id are left out; a null or empty text has no spans. A text of any length is tagged window by
+    window. Of two windows' tags at one place the one further from its window's end counts, so there are no ties.
+    Repeated rows give their spans each. Empty tables give an empty result; other columns are ignored.
     """
     if model is None:
         model = fit(training_excerpts(docs, excerpts, id_col=id_col, text_col=text_col))
