@@ -9,15 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed_text
+from .common import checkpointed, keyed_text
 from .textkernel import kgrams, slices, winnow, word_hashes
 
-#: Bytes of benchmark text that one pass over the documents may hold in each worker; a larger benchmark takes more passes.
+#: Bytes of benchmark text up to which every worker gets the fingerprints; a larger benchmark is joined with the documents by shuffle.
 BENCHMARK_BYTES = 32 << 20
 _OUT = "doc_id long, item_id long, doc_start int, item_start int, n_words int"
 
 
-def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", k: int = 8, min_words: int = 13) -> DataFrame:
+def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", k: int = 8, min_words: int = 13, broadcast_bytes: int = BENCHMARK_BYTES) -> DataFrame:
     """All longest word runs of at least ``min_words`` that a document shares with a benchmark item.
 
     Returns ``doc_id, item_id, doc_start, item_start, n_words`` (word positions from 0), each row once.
@@ -26,33 +26,64 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     joined and extended word by word to both sides; runs that stay shorter are dropped, so the result is
     exact. Words are compared by 64-bit hash, in lower case, without punctuation.
 
-    The benchmark's fingerprints go to every worker, if they are within ``BENCHMARK_BYTES`` of text; a
-    larger benchmark is cut into parts of that size, with one pass over the documents each. The documents
-    are never shuffled.
+    The benchmark's fingerprints go to every worker, if they are within ``broadcast_bytes`` of text, and the documents
+    aren't shuffled then. Fingerprints of a larger benchmark are joined with the documents' by shuffle, and only texts of
+    pairs with a common fingerprint are brought together.
 
     Nulls: rows with a null id are left out; a null or empty text, or one of fewer than ``min_words``
-    words, shares nothing. Repeated rows give no further rows. Empty tables give an empty result; other
+    words, shares nothing. Texts are read whole, however long. An item that occurs in several places is a row for each, so there
+    are no ties. Repeated rows give no further rows. Empty tables give an empty result; other
     columns are ignored.
     """
     spark = docs.sparkSession
     w = min_words - k + 1
     items = keyed_text(benchmark, item_col, item_text_col).where(F.length("t") > 0)
     n_bytes = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    parts = max(1, -(-n_bytes // BENCHMARK_BYTES))
-    todo, out = keyed_text(docs, id_col, text_col), None
-    for part in range(parts):
-        chosen = items if parts == 1 else items.where(F.pmod(F.xxhash64("id", "t"), F.lit(parts)) == part)
-        table = chosen.distinct().toArrow()
-        item_ids = table.column("id").to_numpy()
-        wh, wo = word_hashes(table.column("t"))
-        h, pos, ko = kgrams(wh, wo, k)
-        at = winnow(h, ko, w)
-        order = np.argsort(h[at], kind="stable")
-        item = np.searchsorted(ko, at, side="right") - 1
-        held = spark.sparkContext.broadcast((item_ids, wh, wo, h[at][order], item[order], pos[at][order]))
-        found = todo.mapInArrow(_matcher(held, k, w, min_words), _OUT)
-        out = found if out is None else out.unionByName(found)
-    return out.distinct()
+    todo = keyed_text(docs, id_col, text_col)
+    if n_bytes > broadcast_bytes:
+        return _joined(todo.where(F.length("t") > 0), items, k, w, min_words)
+    table = items.distinct().toArrow()
+    item_ids = table.column("id").to_numpy()
+    wh, wo = word_hashes(table.column("t"))
+    h, pos, ko = kgrams(wh, wo, k)
+    at = winnow(h, ko, w)
+    order = np.argsort(h[at], kind="stable")
+    item = np.searchsorted(ko, at, side="right") - 1
+    held = spark.sparkContext.broadcast((item_ids, wh, wo, h[at][order], item[order], pos[at][order]))
+    return todo.mapInArrow(_matcher(held, k, w, min_words), _OUT).distinct()
+
+
+def _joined(docs: DataFrame, items: DataFrame, k: int, w: int, min_words: int) -> DataFrame:
+    """The same by a join of winnowed fingerprints. Texts are numbered, as an id may have several; pairs of texts are compared once, at all their hits."""
+
+    def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in slices(batch, "t"):
+                h, pos, ko = kgrams(*word_hashes(b.column(1)), k)
+                at = winnow(h, ko, w)
+                doc = np.searchsorted(ko, at, side="right") - 1
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(h[at].view(np.int64)), pa.array(pos[at].astype(np.int32))], ["n", "h", "pos"])
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in slices(batch, "t"):
+                aw, ao = word_hashes(b.column(1))
+                bw, bo = word_hashes(b.column(3))
+                hits = [np.array([(x["pos"], x["at"]) for x in row], dtype=np.int64).reshape(-1, 2) for row in b.column(4).to_pylist()]
+                which = np.repeat(np.arange(len(hits)), list(map(len, hits)))
+                both = np.concatenate(hits) if hits else np.zeros((0, 2), np.int64)
+                keep = np.array([len(bo) > 1] * len(which), dtype=bool)
+                d, i, ds, is_, n = extend(aw, ao, which[keep], both[keep, 0], bw, bo, which[keep], both[keep, 1])
+                ok = n >= min_words
+                ids, item_ids = b.column(0).to_numpy(), b.column(2).to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(ids[d[ok]]), pa.array(item_ids[i[ok]]), *(pa.array(x[ok].astype(np.int32)) for x in (ds, is_, n))], ["doc_id", "item_id", "doc_start", "item_start", "n_words"])
+
+    numbered = [checkpointed(x.distinct().withColumn("n", F.monotonically_increasing_id()), "texts") for x in (docs, items)]
+    mine, theirs = (x.select("n", "t").mapInArrow(fingerprints, "n long, h long, pos int") for x in numbered)
+    theirs = theirs.select(F.col("n").alias("m"), "h", F.col("pos").alias("at"))
+    pairs = mine.join(theirs, "h").groupBy("n", "m").agg(F.collect_list(F.struct("pos", "at")).alias("hits"))
+    whole = pairs.join(numbered[0], "n").join(numbered[1].select(F.col("n").alias("m"), F.col("id").alias("item"), F.col("t").alias("s")), "m")
+    return whole.select("id", "t", "item", "s", "hits").mapInArrow(grow, _OUT).distinct()
 
 
 def _matcher(held, k: int, w: int, min_words: int):
