@@ -53,6 +53,24 @@ def test_awkward_rows(spark):
     assert {(r.doc_id, r.source_doc_id) for r in out[8]} in ({(6, 5)}, {(5, 6)})
     assert {(r.doc_id, r.item_id, r.n_words) for r in out[10]} == {(7, 1, 90)}
     assert {r.n_tokens for r in out[3] if r.doc_id in (1, 2)} == {1}
+    assert {r.doc_id for r in out[2]} <= {r[0] for r in rows} and all(n <= 8 for n in Counter(r.doc_id for r in out[2]).values())
+    assert [(r.toxicity, r.is_toxic) for r in out[4] if r.doc_id == 1] == [(None, False)] and all(0 <= r.toxicity <= 1 for r in out[4] if r.doc_id in (2, 5, 6))
+    assert [r.language for r in out[6] if r.doc_id == 1] in ([None], ["und"]) and out[9] == []
+
+
+def test_very_long_text(spark):
+    """A text above the kernels' slice of 4 MiB goes through whole."""
+    rng = random.Random(21)
+    long = " ".join(f"w{rng.randrange(40_000)}" for _ in range(800_000))
+    passage = prose(rng, 60, 5000)
+    assert len(long) > 5 << 20
+    docs = frame(spark, [(1, long + " " + passage), (2, passage + " tail"), (3, "short")])
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    assert {(r.doc_id, r.doc_start, r.n_words) for r in decontaminate.contaminated_spans(docs, bench).collect()} == {(1, 800_000, 60), (2, 0, 60)}
+    assert [(r.doc_id, r.start, r.n_words, r.source_doc_id, r.source_start) for r in substring.repeated_spans(docs, batches=1).collect()] == [(2, 0, 60, 1, 800_000)]
+    assert {r.doc_id: r.n_words for r in lm.score(docs, rounds=2).collect()} == {1: 800_061, 2: 62, 3: 2}
+    assert sorted((r.doc_id, r.keep_id) for r in minhash.near_groups(docs).collect()) == [(1, 1), (2, 2), (3, 3)]
+    assert len(tokens.write_tokens(docs).collect()) == 3 and exact_dedup.exact_groups(docs).where("is_duplicate").count() == 0
 
 
 def test_empty_tables(spark):
@@ -147,6 +165,19 @@ def test_tokens_round_trip(spark):
         assert (corpus.tokens(r.token_start, r.token_start + r.n_tokens) == ids).all()
 
 
+def test_wide_token_ids(spark, tmp_path):
+    """A vocabulary beyond 16 bits writes 32-bit ids, and the reader takes the width from the manifest."""
+    import base64
+
+    lines = [(bytes([i]), i) for i in range(256)] + [(b"ab", 70_000), (b"abab", 70_001)]
+    (tmp_path / "v").write_text("".join(f"{base64.b64encode(t).decode()} {r}\n" for t, r in lines))
+    df = spark.createDataFrame([(1, "abab ab é"), (None, None)], "doc_id long, text string").coalesce(1)
+    out = tokens.write_tokens(df, tokenizer=str(tmp_path / "v"), end_id=None).collect()
+    corpus = tokens.TokenCorpus(out[0].file.rpartition("/")[0])
+    assert corpus.dtype.itemsize == 4 and corpus.document(0).tolist()[:1] == [70_001] and corpus.n_tokens == sum(r.n_tokens for r in out)
+    assert type(tokens._filesystem("file:///x")[0]).__name__ == "LocalFileSystem" and tokens._filesystem.__doc__
+
+
 def test_exact_merge_keeps_colliding_keys_apart():
     run = np.zeros(3, dtype=exact_dedup._RUN)
     run["p0"], run["id"], run["n"] = [1, 2, 1], [9, 8, 7], 1
@@ -154,6 +185,18 @@ def test_exact_merge_keeps_colliding_keys_apart():
     assert sorted((int(r["p0"]), int(r["id"]), int(r["n"])) for r in out) == [(1, 7, 2), (2, 8, 1)]
 
 
+def test_exact_groups_over_several_rounds(spark):
+    rng = random.Random(6)
+    rows = [(i, f"text {rng.randrange(150)}" if i % 11 else None) for i in range(600)]
+    df = frame(spark, rows).repartition(16)
+    want: dict = {}
+    for i, t in rows:
+        want.setdefault(t if t else (i,), i)
+    want = {(i, want[t if t else (i,)]) for i, t in rows}
+    for fan_in, size in ((2, 1_000_000), (3, 20), (8, 20)):  # four, three and two rounds
+        assert {(r.doc_id, r.keep_id) for r in exact_dedup.exact_groups(df, fan_in=fan_in, range_digests=size).collect()} == want
+
+
 def test_near_duplicates_recall(spark):
     rng = random.Random(5)
     base = [prose(rng, 150, 5000).split() for _ in range(60)]
@@ -168,6 +211,67 @@ def test_near_duplicates_recall(spark):
     assert not any(out[i].is_duplicate for i in range(60))
 
 
+def test_near_duplicates_equal_exact_similarity(spark):
+    """Groups are the components of the pairs whose exact similarity is well above the threshold, and join none well below."""
+    rng = random.Random(15)
+    base = [prose(rng, 120, 3000).split() for _ in range(25)]
+    rows = []
+    for i, b in enumerate(base):
+        for j in range(4):
+            c = list(b)
+            for _ in range(j):
+                c[rng.randrange(120)] = f"n{rng.random()}"
+            rows.append((len(rows), " ".join(c)))
+    grams = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in (t.split() for _, t in rows)]
+    out = {r.doc_id: r for r in minhash.near_groups(frame(spark, rows)).collect()}
+    for a in range(100):
+        for c in range(a):
+            s = len(grams[a] & grams[c]) / len(grams[a] | grams[c])
+            if s > 0.8:
+                assert out[a].keep_id == out[c].keep_id
+            elif s < 0.2:
+                assert out[a].keep_id != out[c].keep_id
+        assert out[a].similarity == pytest.approx(len(grams[a] & grams[out[a].keep_id]) / len(grams[a] | grams[out[a].keep_id]), abs=0.17)
+
+
+def test_large_bands_are_split(spark, monkeypatch):
+    import time
+
+    rng = np.random.default_rng(5)
+    low = rng.integers(0, 16, (8000, 160)).astype(np.uint8)
+    for i in range(500):  # pairs that agree in 0.6 of their values beyond chance
+        low[7500 + i] = np.where(rng.random(160) < 0.6, low[i], low[7500 + i])
+    sig = minhash.pack(low, 4)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(8000, np.int64)), pa.array(np.arange(8000)), minhash._binary(sig), pa.array(np.full(8000, 8000))], ["band", "id", "sig", "n"])
+    began = time.process_time()
+    led = pa.Table.from_batches(minhash._lead(4, 80, 0.5)(iter([batch.slice(0, 3000), batch.slice(3000)])))
+    found = {(u, v) for u, v in zip(led["u"].to_pylist(), led["v"].to_pylist()) if v is not None}
+    late = np.array([u for u, v in zip(led["u"].to_pylist(), led["v"].to_pylist()) if v is None])
+    parts = pa.concat_tables([pa.Table.from_batches(minhash._split(160, 4, 0.5)(iter([batch.take(pa.array(late))])))]).sort_by([("band", "ascending"), ("id", "ascending")]).combine_chunks()
+    shared = pa.Table.from_batches(minhash._shared(iter(parts.to_batches(20_000)))).combine_chunks()
+    signed = pa.RecordBatch.from_arrays([shared["band"].combine_chunks(), shared["id"].combine_chunks(), minhash._binary(sig[shared["id"].to_numpy()])], ["band", "id", "sig"])
+    for n in (shared.num_rows, 1000):
+        near = [b for b in minhash._neighbours(4, 80, 0.5)(iter([signed.slice(i, n) for i in range(0, shared.num_rows, n)]))]
+        every = found | {(int(u), int(v)) for b in near for u, v in zip(b.column(0).to_numpy(), b.column(1).to_numpy())}
+        want = {(7500 + i, i) for i in range(500) if minhash.similarity(sig[7500 + i][None], sig[i][None], 4)[0] >= 0.5}
+        assert len(want) > 400 and len(want - every) <= 1 and all(minhash.similarity(sig[u][None], sig[v][None], 4)[0] >= 0.5 for u, v in every)
+    assert time.process_time() - began < 20 and shared.num_rows < 8000 * 130
+    # the whole operator with small limits gives the same groups
+    base = [prose(random.Random(i), 60, 5000) for i in range(12)]
+    boiler = prose(random.Random(99), 200, 5000)  # in all of them, so that bands are shared by unlike documents
+    rows = [(i, f"{boiler} {base[i % 12] * 4} {i}") for i in range(36)]
+    usual = sorted((r.doc_id, r.keep_id) for r in minhash.near_groups(frame(spark, rows), threshold=0.8).collect())
+    monkeypatch.setattr(minhash, "HOT", 4)
+    monkeypatch.setattr(minhash, "LEADERS", 2)
+    assert sorted((r.doc_id, r.keep_id) for r in minhash.near_groups(frame(spark, rows), threshold=0.8).collect()) == usual
+
+
+def test_each_text_of_a_repeated_id_is_searched(spark):
+    a, b = (prose(random.Random(i), 80, 5000) for i in (1, 2))
+    out = {r.doc_id: r.keep_id for r in minhash.near_groups(frame(spark, [(1, a), (2, a), (2, b), (3, b + " x")])).collect()}
+    assert out == {1: 1, 2: 1, 3: 1}
+
+
 def test_bbit_estimate_is_unbiased():
     rng = np.random.default_rng(0)
     for b in (1, 2, 4, 8):
@@ -202,6 +306,36 @@ def test_substring_spans_are_whole(spark):
     assert [tuple(r) for r in found] == [(2, 31, 52, 1, 31)]
 
 
+def test_substring_equals_brute_force(spark):
+    """Every run of 50 words or more that an earlier document has is within a span, and each span is such a run at its full length."""
+    rng = random.Random(26)
+    shared = [prose(rng, rng.randrange(40, 120), 3000) for _ in range(15)]
+    rows = [(i, " ".join(x for _ in range(3) for x in (prose(rng, rng.randrange(5, 40), 3000), rng.choice(shared)))) for i in range(40)]
+    got = [tuple(r) for r in substring.repeated_spans(frame(spark, rows), batches=1).collect()]
+    ws = [t.split() for _, t in rows]
+    for d, s, n, src, at in got:
+        assert src < d and n >= 50 and ws[d][s : s + n] == ws[src][at : at + n]
+        assert (s == 0 or at == 0 or ws[d][s - 1] != ws[src][at - 1]) and ws[d][s + n : s + n + 1] != ws[src][at + n : at + n + 1] or s + n == len(ws[d])
+    before: set = set()
+    for d, w in enumerate(ws):
+        own = {tuple(w[i : i + 50]): i for i in range(len(w) - 49)}
+        for g, i in own.items():
+            if g in before:
+                assert any(x[0] == d and x[1] <= i and i + 50 <= x[1] + x[2] for x in got), (d, i)
+        before |= set(own)
+
+
+def test_index_outlives_its_session(spark, tmp_path):
+    p = [prose(random.Random(i), 70, 5000) for i in range(2)]
+    index = substring.FingerprintIndex(spark, path=f"file://{tmp_path}/index")
+    assert substring.repeated_spans(frame(spark, [(1, p[0])]), batches=1, index=index).collect() == []
+    assert substring.repeated_spans(frame(spark, [(2, p[1])]), batches=1, index=index).collect() == []
+    again = substring.FingerprintIndex.open(spark, f"file://{tmp_path}/index")
+    assert [r.level for r in again.runs] == [1]
+    got = substring.repeated_spans(frame(spark, [(3, f"a {p[1]} b"), (4, p[0])]), batches=1, index=again).collect()
+    assert {tuple(r) for r in got} == {(3, 1, 70, 2, 0), (4, 0, 70, 1, 0)}
+
+
 def test_index_goes_on_with_later_documents(spark):
     rng = random.Random(7)
     p = prose(rng, 70, 5000)
@@ -232,6 +366,8 @@ def test_decontamination_equals_brute_force(spark):
                         if n >= 13:
                             want.add((d, k, i, j, n))
     assert got == want and want
+    joined = decontaminate.contaminated_spans(frame(spark, rows), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"), broadcast_bytes=0)
+    assert {tuple(r) for r in joined.collect()} == want
 
 
 def test_winnow_is_the_least_of_each_window():
@@ -325,6 +461,37 @@ def test_pii_spans_cross_windows():
     assert pii.is_card("4111 1111 1111 1111") and not pii.is_card("4111 1111 1111 1112")
 
 
+def test_language_id_on_documents_it_was_not_trained_on(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(langid.training_rows(docs.where("doc_id % 2 = 0"), 150))
+    rows = langid.identify(docs.where("doc_id % 2 = 1 and length(text) > 60"), model=model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    for lang in ("en", "de", "fr", "es"):
+        own = [r.language == lang and r.accepted for r in rows if r.lang == lang]
+        assert len(own) > 20 and sum(own) / len(own) > 0.93, (lang, sum(own) / len(own))
+
+
+def test_pii_in_forms_that_training_lacks():
+    """Spans in surroundings and forms that the maker of training texts doesn't have, by kind."""
+    rng = np.random.default_rng(8)
+    model = pii.fit([], hidden=10, steps=300)
+    digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    forms = {
+        "email": lambda: f"Please write to <{rng.choice(['jane', 'karl', 'info'])}.{rng.choice(['doe', 'west'])}+news{digits(2)}@uni-{rng.choice(['north', 'lake'])}.edu> soon",
+        "ip": lambda: f"the host at {rng.integers(1, 255)}.{rng.integers(0, 255)}.{rng.integers(0, 255)}.{rng.integers(1, 255)} answered late today",
+        "phone": lambda: f"you can call her at ({digits(3)}) {digits(3)}-{digits(4)} until the evening",
+        "secret": lambda: f"export SESSION_TOKEN='{''.join(rng.choice(list('0123456789abcdef'), 40))}' before you start",
+    }
+    for kind, make in forms.items():
+        texts = [make() for _ in range(40)]
+        column = pa.array(texts, pa.large_string())
+        from tessera.llm.textkernel import text_bytes
+
+        doc, *_, tag = pii.spans(*pii.tag_texts(model, *text_bytes(column)))
+        assert len(set(doc[[pii.TAGS[t] == kind for t in tag]])) >= 28, kind
+    short = np.array([0, *[1] * 6, 0], dtype=np.int8)
+    assert len(pii.spans(short, np.array([0, 8]), np.zeros(8, np.uint8))[0]) == 1
+
+
 def test_counterfactuals_spare_neutral_mentions():
     rng = random.Random(10)
     vile, nice = ["scum", "idiot", "moron"], ["garden", "bread", "music"]
