@@ -30,3 +30,28 @@ def test_stages(spark, tmp_path):
     assert set(seen["near_dedup"]) == set(range(40)) | {200}
     assert set(seen["decontamination"]) == set(range(40)) and len(seen["decontamination"]) == 40
     assert set(seen["source_mixing"]) <= set(range(40)) and sorted(seen["token_output"]) == sorted(seen["source_mixing"])
+
+
+def test_stages_on_awkward_rows(spark, tmp_path):
+    """Nulls in every column, repeated rows and ids, an empty and a very long text, clashing column names, and empty tables."""
+    rng = random.Random(2)
+    a, b, passage = (prose(rng, 120, 3000) for _ in range(3))
+    rows = [(1, a, "en", "s", 9), (1, a, "en", "s", 9), (None, a + " x", "en", None, None), (None, b, None, "s", 1), (2, None, "en", "s", 0), (3, "", "en", "s", 0), (4, "word " + passage, "en", "s", 5), (None, passage, "en", "s", 5)]
+    rows += [(10 + i, prose(rng, 100, 3000), "en", f"s{i % 2}", 7) for i in range(20)] + [(50, prose(rng, 300_000, 3000), "en", "s", 7)]
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, row_id int, dropped_id int, epoch int")
+    spark.createDataFrame([(1, passage), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    path = str(tmp_path)
+    labelled = stages["language_id"](spark, df, path)
+    assert labelled.columns == df.columns and sum(r.text in (None, "") for r in labelled.collect()) == 0
+    kept = stages["near_dedup"](spark, df, path)
+    texts = [r.text for r in kept.collect()]
+    assert kept.columns == df.columns and sum(t in (a, a + " x") for t in texts) == 1 and sum(t in (None, "") for t in texts) == 2 and b in texts
+    assert sum(t is not None and t.endswith(passage) for t in texts) == 1  # they are near duplicates of each other
+    clean = stages["decontamination"](spark, df, path)
+    assert clean.columns == df.columns and clean.count() == len(rows) - 2 and not any(r.text and r.text.endswith(passage) for r in clean.collect())
+    mixed = stages["source_mixing"](spark, df, path)
+    assert mixed.columns == df.columns and {r.doc_id for r in mixed.collect()} <= {r[0] for r in rows}
+    assert stages["token_output"](spark, df, path).count() == len(rows)
+    for stage in stages.values():
+        assert stage(spark, df.where("false"), path).collect() == []
