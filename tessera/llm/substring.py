@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 from hashlib import blake2b
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import by_key, checkpointed, delete_dir, discard, keyed_text, shared_dir, shuffle_partitions, write_text
-from .textkernel import kgrams, mix, slices, winnow, word_hashes
+from .textkernel import kgrams, mix, powers, slices, winnow, word_hashes
 
 _U = np.uint64
+_TEXTS = "id BIGINT, t STRING, batch INT"
 _RUN = "h BIGINT, proof INT, doc BIGINT, pos INT, first_doc BIGINT, first_pos INT, is_first BOOLEAN"
 _SPANS = "doc_id long, start int, n_words int, source_doc_id long, source_start int"
 
@@ -78,12 +80,22 @@ class Run:
     level: int
 
 
+@dataclass
+class Texts:
+    """The texts of some batches, in buckets by id, a folder for each batch; those numbered from ``done`` on aren't in the index yet."""
+
+    table: str
+    path: str
+    done: int = 0
+
+
 class FingerprintIndex:
     """A log-structured index of the window hashes of all documents added so far.
 
     Every batch becomes one run. Two neighbouring runs of a level are compacted to one of the next, so
     that n batches leave log n runs; the earlier occurrence of a fingerprint stays. Runs are bucketed by hash into the
-    same number of files, so that joining a batch with a run, and merging two runs, needs no shuffle.
+    same number of files, so that joining a batch with a run, and merging two runs, needs no shuffle. Texts are in as many
+    buckets by id, so that they aren't shuffled when they are read again.
 
     With a ``path`` the index outlives its session: runs, texts and hits are below it, and after each batch the manifest
     there names those that count. :meth:`open` goes on with it; what a broken batch left isn't named and isn't read.
@@ -95,7 +107,7 @@ class FingerprintIndex:
         self.path = path.rstrip("/") if path else None
         self.runs: list[Run] = []
         self._old: list[Run] = []
-        self.texts: list[DataFrame] = []  # of each batch, to extend spans
+        self.texts: list[Texts] = []  # to extend spans
         self.hits: list[DataFrame] = []  # of each batch, with repeats within one document
 
     @classmethod
@@ -106,10 +118,12 @@ class FingerprintIndex:
             run = Run(f"tessera_run_{uuid.uuid4().hex}", place, level)
             spark.sql(f"CREATE TABLE {run.table} ({_RUN}) USING parquet CLUSTERED BY (h) SORTED BY (h) INTO {index.buckets} BUCKETS LOCATION '{place}'")
             index.runs.append(run)
-        index.texts = [spark.read.schema("id bigint, t string, batch int").parquet(p).where(w).drop("batch") for p, w in m["texts"]]
+        for place, done in m["texts"]:
+            texts = Texts(f"tessera_texts_{uuid.uuid4().hex}", place, done)
+            spark.sql(f"CREATE TABLE {texts.table} ({_TEXTS}) USING parquet PARTITIONED BY (batch) CLUSTERED BY (id) SORTED BY (id) INTO {index.buckets} BUCKETS LOCATION '{place}'")
+            spark.catalog.recoverPartitions(texts.table)
+            index.texts.append(texts)
         index.hits = [spark.read.schema("doc bigint, pos int, src bigint, src_pos int").parquet(p) for p in m["hits"]]
-        for df, (p, w) in zip(index.texts, m["texts"]):
-            df.written_to, df.part = p, w
         for df, p in zip(index.hits, m["hits"]):
             df.written_to = p
         return index
@@ -119,7 +133,7 @@ class FingerprintIndex:
 
     def _save(self) -> None:
         if self.path:
-            m = {"k": self.k, "min_words": self.k + self.w - 1, "buckets": self.buckets, "runs": [(r.path, r.level) for r in self.runs], "texts": [(x.written_to, x.part) for x in self.texts], "hits": [x.written_to for x in self.hits]}
+            m = {"k": self.k, "min_words": self.k + self.w - 1, "buckets": self.buckets, "runs": [(r.path, r.level) for r in self.runs], "texts": [(x.path, x.done) for x in self.texts], "hits": [x.written_to for x in self.hits]}
             write_text(self.spark, f"{self.path}/manifest.json", json.dumps(m))
 
     def _write(self, df: DataFrame, level: int) -> Run:
@@ -138,22 +152,18 @@ class FingerprintIndex:
 
     def split(self, docs: DataFrame, batches: int) -> list[DataFrame]:
         """Documents (``id``, ``t`` in lower case) in batches by the hash of the id: read once and written once, a folder for each batch."""
-        path = self._place("texts")
-        docs.select("id", "t", F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch")).where("t <> ''").write.partitionBy("batch").parquet(path)
-        out = []
-        for i in range(batches):
-            df = self.spark.read.schema("id bigint, t string, batch int").parquet(path).where(f"batch = {i}").drop("batch")
-            df.written_to, df.part = path, f"batch = {i}"
-            out.append(df)
-        return out
+        texts = Texts(f"tessera_texts_{uuid.uuid4().hex}", self._place("texts"))
+        rows = docs.select("id", "t", F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch")).where("t <> ''")
+        rows.repartition(self.buckets, "id").write.partitionBy("batch").bucketBy(self.buckets, "id").sortBy("id").format("parquet").option("path", texts.path).saveAsTable(texts.table)
+        self.texts.append(texts)
+        return [self.spark.table(texts.table).where(f"batch = {i}").drop("batch") for i in range(batches)]
 
     def add(self, texts: DataFrame) -> DataFrame:
-        """Adds a batch that :meth:`split` wrote and returns its windows that another document had before.
+        """Adds the next batch that :meth:`split` wrote and returns its windows that another document had before.
 
         Columns doc, pos, src, src_pos: an earlier batch goes before, then the lower id within the batch.
         """
-        self.texts.append(texts)
-        new = self.texts[-1].mapInArrow(_fingerprints(self.k, self.w), "h long, proof int, doc long, pos int")
+        new = texts.mapInArrow(_fingerprints(self.k, self.w), "h long, proof int, doc long, pos int")
         new = new.repartition(self.buckets, "h").sortWithinPartitions("h", "proof", "doc", "pos")
         run = self._write(new.mapInArrow(_firsts, "h long, proof int, doc long, pos int, first_doc long, first_pos int, is_first boolean"), 0)
         hits = self.spark.table(run.table)
@@ -167,6 +177,7 @@ class FingerprintIndex:
         self.runs.append(run)
         while len(self.runs) > 1 and self.runs[-1].level == self.runs[-2].level:
             self._compact()
+        self.texts[-1].done += 1
         self._save()
         for run in self._old:  # not before the manifest stops naming them
             self._drop(run)
@@ -192,77 +203,104 @@ def _digest(words: np.ndarray) -> int:
     return int.from_bytes(blake2b(words.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _around(margin: int):
-    def around(words: np.ndarray, at: int, n: int):
-        """Digest of n words, and up to margin words before them (the nearest first) and after them."""
+def _sums(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each ``size`` successive words."""
+    return (words if size == 1 else mix((words.reshape(-1, size) * powers("word", size)[0][:size]).sum(axis=1, dtype=_U))).view(np.int64)
+
+
+def _around(most: int):
+    def around(words: np.ndarray, at: int, n: int, size: int):
+        """Digest of n words, and the hashes of up to ``most`` blocks of words before them (the nearest first) and after them."""
         if at + n <= len(words):
-            yield at, n, _digest(words[at : at + n]), words[max(0, at - margin) : at][::-1].view(np.int64), words[at + n : at + n + margin].view(np.int64)
+            before, after = min(most, at // size) * size, min(most, (len(words) - at - n) // size) * size
+            # blocks before are counted from the span: turned round, words and all, in either document alike
+            yield at, n, size, _digest(words[at : at + n]), _sums(words[at - before : at][::-1], size), _sums(words[at + n : at + n + after], size)
 
     return around
 
 
 def _runs(k: int, n: int):
-    def runs(words: np.ndarray, at: int, _: int):
+    def runs(words: np.ndarray, at: int, *_: int):
         """Digests of the runs of n words that hold the k words at a place."""
         for s in range(max(0, at + k - n), min(at, len(words) - n) + 1):
-            yield s, n, _digest(words[s : s + n]), None, None
+            yield s, n, 0, _digest(words[s : s + n]), None, None
 
     return runs
 
 
-_PLACES = "id long, at int, n int, digest long, left array<long>, right array<long>"
+_PLACES = "id long, batch int, at int, n int, size int, digest long, left array<long>, right array<long>"
 
 
-def _read(texts: DataFrame, places: DataFrame, f) -> DataFrame:
-    """f of the words of every text of an id, at the places (``id, at, n``) asked for."""
+def _read(index: FingerprintIndex, places: DataFrame, f) -> DataFrame:
+    """f of the words of every text of an id, at the places (``id, at, n, size``) asked for. Texts stay in their buckets."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         for batch in batches:
             for b in slices(batch, "t"):
                 wh, wo = word_hashes(b.column(1))
-                rows = [(i, *x) for d, (i, asked) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist())) for p in asked for x in f(wh[wo[d] : wo[d + 1]], p["at"], p["n"])]
-                for lo in range(0, len(rows), 20_000):
-                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows[lo : lo + 20_000]), kinds)], ["id", "at", "n", "digest", "left", "right"])
-
-    asked = places.distinct().groupBy("id").agg(F.collect_list(F.struct("at", "n")).alias("asked"))
-    return texts.join(asked, "id").mapInArrow(read, _PLACES)
-
-
-def _grow(margin: int):
-    def equal(a: np.ndarray, b: np.ndarray) -> int:
-        n = min(len(a), len(b))
-        other = np.flatnonzero(a[:n] != b[:n])
-        return int(other[0]) if len(other) else n
+                ids = zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist())
+                rows = ((i, nr, *x) for d, (i, nr, asked) in enumerate(ids) for p in asked for x in f(wh[wo[d] : wo[d + 1]], p["at"], p["n"], p["size"]))
+                while part := list(islice(rows, 20_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*part), kinds)], ["id", "batch", "at", "n", "size", "digest", "left", "right"])
+
+    asked = places.groupBy("id").agg(F.collect_set(F.struct("at", "n", "size")).alias("asked"))
+    out, before = [], 0
+    for x in index.texts:
+        rows = index.spark.table(x.table).where(F.col("batch") < x.done).join(asked, "id")
+        out.append(rows.select("id", "t", (F.col("batch") + before).alias("batch"), "asked").mapInArrow(read, _PLACES))
+        before += x.done
+    return reduce(DataFrame.unionByName, out)
+
+
+_TODO = _SPANS + ", size int"
+
+
+def _grow(most: int, factor: int):
+    def equal(a: pa.Array, b: pa.Array) -> np.ndarray:
+        """How many leading values of two lists are equal, row by row."""
+        la, lb = (np.diff(x.offsets.to_numpy()) for x in (a, b))
+        n = np.minimum(la, lb).astype(np.int64)
+        row, end = np.repeat(np.arange(len(n)), n), np.cumsum(n)
+        at = np.arange(len(row)) - np.repeat(end - n, n)
+        va, vb = (x.values.to_numpy()[x.offsets.to_numpy()[row] + at] for x in (a, b))
+        out, other = n.copy(), va != vb
+        np.minimum.at(out, row[other], at[other])
+        return out
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = ([equal(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(batch.column(i), batch.column(j))] for i, j in ((5, 7), (6, 8)))
-            left, right = np.array(left, dtype=np.int32), np.array(right, dtype=np.int32)
-            doc, start, n, src, at = (batch.column(i).to_numpy() for i in range(5))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc, start - left, n + left + right, src, at - left, (left == margin) | (right == margin))], ["doc_id", "start", "n_words", "source_doc_id", "source_start", "more"])
+            doc, start, n, src, at, size = (batch.column(i).to_numpy() for i in range(6))
+            left, right = (equal(batch.column(i), batch.column(i + 2)) for i in (6, 7))
+            # all blocks equal: go on with larger ones; else the rest is shorter than a block
+            then = np.where((left == most) | (right == most), size * factor, size // factor)
+            left, right = left * size, right * size
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(t)) for x, t in zip((doc, start - left, n + left + right, src, at - left, then), "q i i q i i".split())], ["doc_id", "start", "n_words", "source_doc_id", "source_start", "size"])
 
     return grow
 
 
-def extended(found: DataFrame, texts: DataFrame, margin: int = 16) -> DataFrame:
+def extended(found: DataFrame, index: FingerprintIndex, first: int = 16, most: int = 64) -> DataFrame:
     """Spans grown word by word to the longest equal runs that hold them, each run once.
 
-    Both documents' words around a span are read, ``margin`` on each side; spans that are equal so far are read again with eight times as many.
+    Both documents' ``first`` words on each side of a span are compared. Where all of one side are equal, ``most`` blocks of
+    ``most`` words follow, then blocks of ``most`` times as many as long as all are equal; then the unequal block is searched
+    by smaller blocks, down to words. So little is moved, however long the run.
     """
-    out, todo = [], checkpointed(found, "found")
+    out, todo, n = [], checkpointed(found.withColumn("size", F.lit(1)), "found"), first
     while True:
-        sides = todo.select(F.col("doc_id").alias("id"), F.col("start").alias("at"), F.col("n_words").alias("n")).union(todo.select("source_doc_id", "source_start", "n_words"))
-        read = checkpointed(_read(texts, sides, _around(margin)), "around")
+        sides = todo.select(F.col("doc_id").alias("id"), F.col("start").alias("at"), F.col("n_words").alias("n"), "size").union(todo.select("source_doc_id", "source_start", "n_words", "size"))
+        read = checkpointed(_read(index, sides, _around(n)).drop("batch"), "around")
         a, b = (read.select(*(F.col(c).alias(f"{c}_{s}") for c in read.columns)) for s in "ab")
-        both = todo.join(a, (F.col("doc_id") == F.col("id_a")) & (F.col("start") == F.col("at_a")) & (F.col("n_words") == F.col("n_a")))
-        both = both.join(b, (F.col("source_doc_id") == F.col("id_b")) & (F.col("source_start") == F.col("at_b")) & (F.col("n_words") == F.col("n_b"))).where("digest_a = digest_b")
-        grown = checkpointed(both.select("doc_id", "start", "n_words", "source_doc_id", "source_start", "left_a", "right_a", "left_b", "right_b").mapInArrow(_grow(margin), _SPANS + ", more boolean").distinct(), "grown")
+        both = todo.join(a, (F.col("doc_id") == F.col("id_a")) & (F.col("start") == F.col("at_a")) & (F.col("n_words") == F.col("n_a")) & (F.col("size") == F.col("size_a")))
+        both = both.join(b, (F.col("source_doc_id") == F.col("id_b")) & (F.col("source_start") == F.col("at_b")) & (F.col("n_words") == F.col("n_b")) & (F.col("size") == F.col("size_b"))).where("digest_a = digest_b")
+        grown = both.select("doc_id", "start", "n_words", "source_doc_id", "source_start", "size", "left_a", "right_a", "left_b", "right_b").mapInArrow(_grow(n, most), _TODO)
+        grown = checkpointed(grown.distinct(), "grown")
         discard(read)
-        out.append(grown.where("not more").drop("more"))
-        todo, margin = grown.where("more").drop("more"), margin * 8
+        out.append(grown.where("size = 0").drop("size"))
+        todo, n = grown.where("size > 0"), most
         if todo.isEmpty():
             return reduce(DataFrame.unionByName, out).distinct()
 
@@ -276,11 +314,9 @@ def other_sources(short: DataFrame, hits: DataFrame, index: FingerprintIndex) ->
     k, n = index.k, index.k + index.w - 1
     here = short.select(F.col("doc_id").alias("doc"), F.col("source_doc_id").alias("src"), (F.col("start") - F.col("source_start")).alias("diag"), "start", "n_words")
     windows = hits.withColumn("diag", F.col("pos") - F.col("src_pos")).join(here, ["doc", "src", "diag"]).where("pos >= start and pos < start + n_words").select("src", "src_pos").distinct()
-    every = reduce(DataFrame.unionByName, index.hits).join(windows, ["src", "src_pos"]).select(F.col("doc").alias("id"), F.col("pos").alias("at"), F.lit(k).alias("n"))
-    every = every.union(windows.select("src", "src_pos", F.lit(k)))
-    runs = _read(reduce(DataFrame.unionByName, index.texts), every, _runs(k, n)).select("id", "at", "digest").distinct()
-    batches = reduce(DataFrame.unionByName, [t.select("id", F.lit(i).alias("batch")) for i, t in enumerate(index.texts)])
-    runs = runs.join(batches.groupBy("id").agg(F.min("batch").alias("batch")), "id")
+    every = reduce(DataFrame.unionByName, index.hits).join(windows, ["src", "src_pos"]).select(F.col("doc").alias("id"), F.col("pos").alias("at"), F.lit(k).alias("n"), F.lit(0).alias("size"))
+    every = every.union(windows.select("src", "src_pos", F.lit(k), F.lit(0)))
+    runs = _read(index, every, _runs(k, n)).groupBy("id", "at", "digest").agg(F.min("batch").alias("batch"))
     first = runs.withColumn("first", F.min(F.struct("batch", "id", "at")).over(Window.partitionBy("digest"))).where("first.id <> id")
     mine = first.join(short.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")
     return mine.select(F.col("id").alias("doc_id"), F.col("at").alias("start"), F.lit(n).alias("n_words"), F.col("first.id").alias("source_doc_id"), F.col("first.at").alias("source_start"))
@@ -313,9 +349,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         found = index.add(part)
         hits = found if hits is None else hits.unionByName(found)
     least = index.k + index.w - 1
-    texts = reduce(DataFrame.unionByName, index.texts)
-    whole = checkpointed(extended(spans(hits, index.k), texts), "spans")
+    whole = checkpointed(extended(spans(hits, index.k), index), "spans")
     long, short = whole.where(F.col("n_words") >= least), whole.where(F.col("n_words") < least)
     if short.isEmpty():
         return long
-    return long.unionByName(extended(other_sources(short, hits, index), texts)).distinct()
+    return long.unionByName(extended(other_sources(short, hits, index), index)).distinct()
