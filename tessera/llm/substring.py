@@ -7,11 +7,10 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
-from hashlib import blake2b
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +26,7 @@ _SPANS = "doc_id long, start int, n_words int, source_doc_id long, source_start
 def _fingerprints(k: int, w: int):
     def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "t"):
+            for b in slices(batch, "t", _SLICE):
                 wh, wo = word_hashes(b.column(1))
                 h, pos, ko = kgrams(wh, wo, k)
                 at = winnow(h, ko, w)
@@ -199,52 +198,78 @@ def spans(hits: DataFrame, k: int) -> DataFrame:
     return aligned.repartition(n, "doc").sortWithinPartitions("doc", "src", "diag", "pos").mapInArrow(_merge_spans(k), _SPANS)
 
 
-def _digest(words: np.ndarray) -> int:
-    return int.from_bytes(blake2b(words.tobytes(), digest_size=8).digest(), "little", signed=True)
+#: Bytes of text that are hashed at once: small, so that the arrays of a worker are too.
+_SLICE = 1 << 20
+#: Blocks that are compared at once; a power of 2.
+_BLOCKS = 64
+_PLACES = "id long, batch int, at int, n int, l int, r int, digest long, left array<long>, right array<long>"
 
 
-def _sums(words: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each ``size`` successive words."""
-    return (words if size == 1 else mix((words.reshape(-1, size) * powers("word", size)[0][:size]).sum(axis=1, dtype=_U))).view(np.int64)
+def _counted(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For lists of so many values: offsets, and list and place in it of each value."""
+    off = np.concatenate([[0], np.cumsum(counts)])
+    row = np.repeat(np.arange(len(counts)), counts)
+    return off, row, np.arange(off[-1]) - off[row]
 
 
-def _around(most: int):
-    def around(words: np.ndarray, at: int, n: int, size: int):
-        """Digest of n words, and the hashes of up to ``most`` blocks of words before them (the nearest first) and after them."""
-        if at + n <= len(words):
-            before, after = min(most, at // size) * size, min(most, (len(words) - at - n) // size) * size
-            # blocks before are counted from the span: turned round, words and all, in either document alike
-            yield at, n, size, _digest(words[at : at + n]), _sums(words[at - before : at][::-1], size), _sums(words[at + n : at + n + after], size)
+def _ahead(room: np.ndarray, have: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The stretches that tell how far a run goes on, of ``have`` words: offsets, rows, and where they begin and end, counted from the run.
 
-    return around
-
-
-def _runs(k: int, n: int):
-    def runs(words: np.ndarray, at: int, *_: int):
-        """Digests of the runs of n words that hold the k words at a place."""
-        for s in range(max(0, at + k - n), min(at, len(words) - n) + 1):
-            yield s, n, 0, _digest(words[s : s + n]), None, None
+    Of room -1, nothing known, the first 1, 2, 4, ... words; else blocks of so many words that room, which is 2^j - 1, has fewer than 64.
+    """
+    size = np.maximum(1, (room + 1) // _BLOCKS)
+    ladder = np.where(have > 0, np.frexp(have.astype(float))[1], 0)
+    off, row, i = _counted(np.where(room < 0, ladder, np.minimum(room // size, have // size)))
+    new = room[row] < 0
+    return off, row, np.where(new, 0, i * size[row]), np.where(new, np.left_shift(1, np.minimum(i, 40)), (i + 1) * size[row])
+
+
+def _around(sums, lens: np.ndarray, at: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray):
+    """Digest of n words, and of stretches before them (the nearest first) and after them."""
+    off_l, row_l, near_l, far_l = _ahead(left, at)
+    off_r, row_r, near_r, far_r = _ahead(right, lens - at - n)
+    lists = (pa.ListArray.from_arrays(pa.array(o.astype(np.int32)), pa.array(v)) for o, v in ((off_l, sums(row_l, at[row_l] - far_l, at[row_l] - near_l)), (off_r, sums(row_r, (at + n)[row_r] + near_r, (at + n)[row_r] + far_r))))
+    every = np.arange(len(at))
+    return every, at, n, sums(every, at, at + n), *lists
+
+
+def _runs(k: int, least: int):
+    def runs(sums, lens: np.ndarray, at: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray):
+        """Digests of the runs of ``least`` words that hold the k words at a place."""
+        low = np.maximum(0, at + k - least)
+        _, row, i = _counted(np.maximum(0, np.minimum(at, lens - least) + 1 - low))
+        start, none = low[row] + i, pa.nulls(len(row), pa.list_(pa.int64()))
+        return row, start, np.full(len(row), least), sums(row, start, start + least), none, none
 
     return runs
 
 
-_PLACES = "id long, batch int, at int, n int, size int, digest long, left array<long>, right array<long>"
-
-
 def _read(index: FingerprintIndex, places: DataFrame, f) -> DataFrame:
-    """f of the words of every text of an id, at the places (``id, at, n, size``) asked for. Texts stay in their buckets."""
+    """f of the words of every text of an id, at the places (``id, at, n, l, r``) asked for. Texts stay in their buckets."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-        for batch in batches:
-            for b in slices(batch, "t"):
-                wh, wo = word_hashes(b.column(1))
-                ids = zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist())
-                rows = ((i, nr, *x) for d, (i, nr, asked) in enumerate(ids) for p in asked for x in f(wh[wo[d] : wo[d + 1]], p["at"], p["n"], p["size"]))
-                while part := list(islice(rows, 20_000)):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*part), kinds)], ["id", "batch", "at", "n", "size", "digest", "left", "right"])
-
-    asked = places.groupBy("id").agg(F.collect_set(F.struct("at", "n", "size")).alias("asked"))
+        for b in (b for batch in batches for b in slices(batch, "t", _SLICE)):
+            wh, wo = word_hashes(b.column(1))
+            up, down = powers("word", len(wh) + 1)
+            total = np.concatenate([np.zeros(1, _U), np.cumsum(wh * up[:-1], dtype=_U)])
+            doc = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column(3)).to_numpy(zero_copy_only=False))
+            asked = b.column(3).flatten()
+            fields = [asked.field(i).to_numpy().astype(np.int64) for i in range(4)]
+            inside = (wo[doc + 1] - wo[doc]) >= fields[0] + fields[1]  # another text of the id may be shorter
+            doc, fields = doc[inside], [x[inside] for x in fields]
+            ids, numbers = b.column(0).to_numpy(), b.column(2).to_numpy()
+            for lo in range(0, len(doc), 10_000):
+                d, (at, n, left, right) = doc[lo : lo + 10_000], (x[lo : lo + 10_000] for x in fields)
+
+                def sums(row: np.ndarray, start: np.ndarray, end: np.ndarray, first=wo[d], total=total, down=down) -> np.ndarray:
+                    start = first[row] + start
+                    return mix((total[first[row] + end] - total[start]) * down[start]).view(np.int64)
+
+                row, start, words, digest, before, after = f(sums, wo[d + 1] - wo[d], at, n, left, right)
+                small = (pa.array(x.astype(np.int32)) for x in (numbers[d[row]], start, words, left[row], right[row]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[d[row]]), *small, pa.array(digest), before, after], ["id", "batch", "at", "n", "l", "r", "digest", "left", "right"])
+
+    asked = places.groupBy("id").agg(F.collect_set(F.struct("at", "n", "l", "r")).alias("asked"))
     out, before = [], 0
     for x in index.texts:
         rows = index.spark.table(x.table).where(F.col("batch") < x.done).join(asked, "id")
@@ -253,54 +278,50 @@ def _read(index: FingerprintIndex, places: DataFrame, f) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
-_TODO = _SPANS + ", size int"
-
+def _equal(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """How many leading values of two lists are equal, row by row."""
+    (oa, va), (ob, vb) = ((x.offsets.to_numpy(), x.values.to_numpy()) for x in (a, b))
+    n = np.minimum(np.diff(oa), np.diff(ob)).astype(np.int64)
+    _, row, i = _counted(n)
+    other = np.flatnonzero(va[oa[row] + i] != vb[ob[row] + i])
+    np.minimum.at(n, row[other], i[other])
+    return n
 
-def _grow(most: int, factor: int):
-    def equal(a: pa.Array, b: pa.Array) -> np.ndarray:
-        """How many leading values of two lists are equal, row by row."""
-        la, lb = (np.diff(x.offsets.to_numpy()) for x in (a, b))
-        n = np.minimum(la, lb).astype(np.int64)
-        row, end = np.repeat(np.arange(len(n)), n), np.cumsum(n)
-        at = np.arange(len(row)) - np.repeat(end - n, n)
-        va, vb = (x.values.to_numpy()[x.offsets.to_numpy()[row] + at] for x in (a, b))
-        out, other = n.copy(), va != vb
-        np.minimum.at(out, row[other], at[other])
-        return out
 
-    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            doc, start, n, src, at, size = (batch.column(i).to_numpy() for i in range(6))
-            left, right = (equal(batch.column(i), batch.column(i + 2)) for i in (6, 7))
-            # all blocks equal: go on with larger ones; else the rest is shorter than a block
-            then = np.where((left == most) | (right == most), size * factor, size // factor)
-            left, right = left * size, right * size
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(t)) for x, t in zip((doc, start - left, n + left + right, src, at - left, then), "q i i q i i".split())], ["doc_id", "start", "n_words", "source_doc_id", "source_start", "size"])
-
-    return grow
+def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        doc, start, n, src, at, *rooms = (batch.column(i).to_numpy().astype(np.int64) for i in range(7))
+        grown = []
+        for room, same in zip(rooms, (_equal(batch.column(7), batch.column(9)), _equal(batch.column(8), batch.column(10)))):
+            size, reached = np.maximum(1, (room + 1) // _BLOCKS), np.where(same > 0, np.left_shift(1, np.maximum(same - 1, 0)), 0)
+            grown += [np.where(room < 0, reached, same * size), np.where(room < 0, np.maximum(reached - 1, 0), size - 1)]
+        left, left_room, right, right_room = grown
+        out = (doc, start - left, n + left + right, src, at - left, left_room, right_room)
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(t)) for x, t in zip(out, "q i i q i i i".split())], ["doc_id", "start", "n_words", "source_doc_id", "source_start", "l", "r"])
 
 
-def extended(found: DataFrame, index: FingerprintIndex, first: int = 16, most: int = 64) -> DataFrame:
+def extended(found: DataFrame, index: FingerprintIndex) -> DataFrame:
     """Spans grown word by word to the longest equal runs that hold them, each run once.
 
-    Both documents' ``first`` words on each side of a span are compared. Where all of one side are equal, ``most`` blocks of
-    ``most`` words follow, then blocks of ``most`` times as many as long as all are equal; then the unequal block is searched
-    by smaller blocks, down to words. So little is moved, however long the run.
+    First the 1, 2, 4, ... words on each side of a span are compared in both documents, by their hashes. What is left is less than the
+    greatest that is equal, and is searched by fewer than 64 blocks, and those by smaller ones, down to words: two readings
+    for less than 128 words, three for less than 8,192. So little is moved, however long the run.
     """
-    out, todo, n = [], checkpointed(found.withColumn("size", F.lit(1)), "found"), first
+    out, todo = [], checkpointed(found.withColumns({"l": F.lit(-1), "r": F.lit(-1)}), "found")
     while True:
-        sides = todo.select(F.col("doc_id").alias("id"), F.col("start").alias("at"), F.col("n_words").alias("n"), "size").union(todo.select("source_doc_id", "source_start", "n_words", "size"))
-        read = checkpointed(_read(index, sides, _around(n)).drop("batch"), "around")
-        a, b = (read.select(*(F.col(c).alias(f"{c}_{s}") for c in read.columns)) for s in "ab")
-        both = todo.join(a, (F.col("doc_id") == F.col("id_a")) & (F.col("start") == F.col("at_a")) & (F.col("n_words") == F.col("n_a")) & (F.col("size") == F.col("size_a")))
-        both = both.join(b, (F.col("source_doc_id") == F.col("id_b")) & (F.col("source_start") == F.col("at_b")) & (F.col("n_words") == F.col("n_b")) & (F.col("size") == F.col("size_b"))).where("digest_a = digest_b")
-        grown = both.select("doc_id", "start", "n_words", "source_doc_id", "source_start", "size", "left_a", "right_a", "left_b", "right_b").mapInArrow(_grow(n, most), _TODO)
-        grown = checkpointed(grown.distinct(), "grown")
+        sides = todo.select(F.col("doc_id").alias("id"), F.col("start").alias("at"), F.col("n_words").alias("n"), "l", "r").union(todo.select("source_doc_id", "source_start", "n_words", "l", "r"))
+        read = checkpointed(_read(index, sides, _around).drop("batch"), "around")
+        both = todo
+        for side, doc, start in (("a", "doc_id", "start"), ("b", "source_doc_id", "source_start")):
+            one = read.select(*(F.col(c).alias(f"{c}_{side}") for c in read.columns))
+            both = both.join(one, [F.col(x) == F.col(f"{y}_{side}") for x, y in ((doc, "id"), (start, "at"), ("n_words", "n"), ("l", "l"), ("r", "r"))])
+        grown = both.where("digest_a = digest_b").select("doc_id", "start", "n_words", "source_doc_id", "source_start", "l", "r", "left_a", "right_a", "left_b", "right_b")
+        grown = checkpointed(grown.mapInArrow(_grow, _SPANS + ", l int, r int").distinct(), "grown")
         discard(read)
-        out.append(grown.where("size = 0").drop("size"))
-        todo, n = grown.where("size > 0"), most
+        out.append(grown.where("l = 0 and r = 0").drop("l", "r"))
+        todo = grown.where("l <> 0 or r <> 0")
         if todo.isEmpty():
             return reduce(DataFrame.unionByName, out).distinct()
 
@@ -314,8 +335,8 @@ def other_sources(short: DataFrame, hits: DataFrame, index: FingerprintIndex) ->
     k, n = index.k, index.k + index.w - 1
     here = short.select(F.col("doc_id").alias("doc"), F.col("source_doc_id").alias("src"), (F.col("start") - F.col("source_start")).alias("diag"), "start", "n_words")
     windows = hits.withColumn("diag", F.col("pos") - F.col("src_pos")).join(here, ["doc", "src", "diag"]).where("pos >= start and pos < start + n_words").select("src", "src_pos").distinct()
-    every = reduce(DataFrame.unionByName, index.hits).join(windows, ["src", "src_pos"]).select(F.col("doc").alias("id"), F.col("pos").alias("at"), F.lit(k).alias("n"), F.lit(0).alias("size"))
-    every = every.union(windows.select("src", "src_pos", F.lit(k), F.lit(0)))
+    every = reduce(DataFrame.unionByName, index.hits).join(windows, ["src", "src_pos"]).select(F.col("doc").alias("id"), F.col("pos").alias("at"), F.lit(k).alias("n"), F.lit(0).alias("l"), F.lit(0).alias("r"))
+    every = every.union(windows.select("src", "src_pos", F.lit(k), F.lit(0), F.lit(0)))
     runs = _read(index, every, _runs(k, n)).groupBy("id", "at", "digest").agg(F.min("batch").alias("batch"))
     first = runs.withColumn("first", F.min(F.struct("batch", "id", "at")).over(Window.partitionBy("digest"))).where("first.id <> id")
     mine = first.join(short.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")
