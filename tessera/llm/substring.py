@@ -355,7 +355,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are one span, which then grows word by word, by 64-bit hashes, to the longest run that both documents have; of
     fewer than ``min_words`` words none is reported. Where the first document shares less, the first that
     shares ``min_words`` is the source. Thus every run of ``min_words`` words that an earlier document has is
-    within a reported span. A passage with thousands of copies is thousands of rows, not of pairs.
+    within a reported span, but for one case: the first document of all its windows shares ``min_words`` words or more, and
+    not the run's last (or first) ``min_words - k`` words or fewer, which a later one shares; those words may be missing. A passage with thousands of copies is thousands of rows, not of pairs.
 
     With a given index, which may hold earlier documents, the documents are further batches of it.
 
