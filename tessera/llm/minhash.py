@@ -117,8 +117,10 @@ def _rows(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], np.uint8, width * len(column), width * column.offset).reshape(-1, width)
 
 
-#: Documents of a band that are compared with each other; larger bands are split further.
+#: Documents of a band that one task compares with each other; the pairs of larger bands are compared in blocks. Both find the same groups.
 HOT = 1000
+#: Documents of a block.
+BLOCK = 1 << 14
 #: First unlike documents of a large band that all its documents are compared with.
 LEADERS = 64
 #: Chance that a similar pair shares none of the parts into which a large band is split.
@@ -240,6 +242,45 @@ def _neighbours(b: int, width: int, least: float):
     return neighbours
 
 
+def _across(b: int, width: int, least: float):
+    """Edges between the classes (``root``) of a large band's documents, from two of its blocks (sorted by band, lo, hi, n).
+
+    Every document of block lo is compared with every one of block hi (or, of the same block, every later one) that isn't of
+    its class; classes that an edge joins are one from there on. So the edges are no more than the classes, and no link between two classes is lost.
+    """
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in by_key(batches, ["band", "lo", "hi"], 1):
+            table = table.combine_chunks()
+            band, lo, hi, n, ids, roots = (table.column(c).to_numpy() for c in ("band", "lo", "hi", "n", "id", "root"))
+            sig = np.concatenate([_rows(c, width) for c in table.column("sig").chunks])
+            cut = np.flatnonzero(np.concatenate([[True], (band[1:] != band[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]), [True]]))
+            us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for s, e in zip(cut, cut[1:]):
+                root, own = roots[s:e].copy(), int((n[s:e] // BLOCK == lo[s]).sum())
+                for p in range(own):
+                    after = own if lo[s] < hi[s] else p + 1
+                    todo = after + np.flatnonzero(root[after:] != root[p])
+                    near = todo[similarity(sig[s + todo], sig[s + p : s + p + 1], b) >= least]
+                    if len(near):
+                        other, at = np.unique(root[near], return_index=True)
+                        us.append(np.full(len(at), ids[s + p]))
+                        vs.append(ids[s + near[at]])
+                        root[np.isin(root, other)] = root[p]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
+
+    return across
+
+
+def _blocks(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """The documents of large bands (``band, id, n, sig, size``) that aren't one class, once for each pair of blocks that their own is in."""
+    placed = large.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    block = F.floor(F.col("n") / BLOCK)
+    each = placed.join(mixed.select("band"), "band", "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / BLOCK))))
+    return each.select("band", F.least(block, "other").alias("lo"), F.greatest(block, "other").alias("hi"), "n", "id", "root", "sig")
+
+
 def _link(b: int, width: int, least: float):
     """Edges that join the documents of every band as all of its similar pairs would.
 
@@ -309,9 +350,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Documents with equal minima are one group from the start and only the least id goes on to the bands,
     so thousands of copies cost no more than two. In a band of up to ``HOT`` documents all are candidates of each other
-    (:func:`_link`). A larger one, as boilerplate makes it, is gone through in order: its documents are compared with its first
+    (:func:`_link`). A larger one, as boilerplate makes it, is gone through in order first: its documents are compared with its first
     64 unlike ones, and those similar to none of these meet in parts of the band, by further values of their signatures
-    (:func:`_split`). So the work grows as n log n, no task holds a large band, and every document is searched.
+    (:func:`_split`). That finds most links in n log n. Then all pairs of the band that aren't of one class yet are compared, a pair
+    of blocks in a task (:func:`_across`). So no task holds a large band, the groups are those of all pairs whatever ``HOT`` is, and the work
+    is quadratic only in what a large band has of unlike documents.
 
     Nulls: rows with a null id are left out; a null text, or one without words, is no duplicate and has
     similarity null. Texts of fewer than k words are one gram; very long ones are read whole. Repeated ids are one document that is
@@ -334,13 +377,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = sigs.select("id", "sig").join(shared.select("id").distinct(), "id", "left_semi")
     edges = in_order(cold.join(own, "id").select("band", "id", "sig")).mapInArrow(_link(b, width, least), "u long, v long")
     if some:
-        large = shared.drop("n").join(hot.select("band"), "band", "left_semi").join(own, "id").select("band", "id", "sig")
-        led = checkpointed(in_order(large).mapInArrow(_lead(b, width, least), "u long, v long, band long"), "led")
+        large = checkpointed(shared.join(hot.withColumnRenamed("n", "size"), "band").join(own, "id").select("band", "id", "sig", "n", "size"), "large")
+        led = checkpointed(in_order(large.select("band", "id", "sig")).mapInArrow(_lead(b, width, least), "u long, v long, band long"), "led")
         late = led.where("v is null").select("band", F.col("u").alias("id")).join(hot, "band").join(own, "id").select("band", "id", "sig", "n")
         parts = in_order(late.mapInArrow(_split(perms, b, least), "band long, id long")).mapInArrow(_shared, "band long, id long, n long")
         near = in_order(parts.join(own, "id").select("band", "id", "sig")).mapInArrow(_neighbours(b, width, least), "u long, v long")
         edges = edges.unionByName(led.where("v is not null").select("u", "v")).unionByName(near)
-    roots = checkpointed(components(edges.unionByName(copies.select(F.col("id").alias("u"), F.col("head").alias("v")))), "roots").where("node <> root")
+    roots = checkpointed(components(edges.unionByName(copies.select(F.col("id").alias("u"), F.col("head").alias("v")))), "roots")
+    if some:
+        blocks = _blocks(large, roots).repartition(n, "band", "lo", "hi").sortWithinPartitions("band", "lo", "hi", "n")
+        more = checkpointed(blocks.mapInArrow(_across(b, width, least), "u long, v long"), "across")
+        if not more.isEmpty():
+            roots = checkpointed(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)), "roots")
+    roots = roots.where("node <> root")
     one = sigs.groupBy("id").agg(F.min("sig").alias("sig"))
     members = roots.join(one, roots["node"] == one["id"]).select("id", "root", "sig")
     rooted = members.join(one.select(F.col("id").alias("root"), F.col("sig").alias("root_sig")), "root").select("id", "root", "sig", "root_sig")

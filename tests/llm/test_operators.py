@@ -266,6 +266,36 @@ def test_large_bands_are_split(spark, monkeypatch):
     assert sorted((r.doc_id, r.keep_id) for r in minhash.near_groups(frame(spark, rows), threshold=0.8).collect()) == usual
 
 
+def test_groups_of_large_bands_are_those_of_all_pairs(spark, monkeypatch):
+    """Chains of documents, each like the next one only, in one band: a link is found wherever the band is cut."""
+    rng = np.random.default_rng(8)
+    low = rng.integers(0, 16, (90, 160)).astype(np.uint8)
+    for i in range(90):
+        if i % 30:
+            low[i] = np.where(rng.random(160) < 0.68, low[i - 1], low[i])
+    low = low[rng.permutation(90)]
+    sig = minhash.pack(low, 4)
+    want = list(range(90))
+    for u in range(90):
+        for v in range(u):
+            if minhash.similarity(sig[u][None], sig[v][None], 4)[0] >= 0.5:
+                want = [min(want[u], want[v]) if w in (want[u], want[v]) else w for w in want]
+    assert len(set(want)) < 10
+    packed = [bytes(x) for x in sig]
+
+    def planted(batches):
+        for b in batches:
+            ids = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(0), b.column(0), pa.array([packed[i] for i in ids], pa.binary()), pa.array([[7]] * len(ids), pa.list_(pa.int64()))], ["id", "w0", "w1", "sig", "bands"])
+
+    monkeypatch.setattr(minhash, "_sign", lambda *_: planted)
+    docs = frame(spark, [(i, "x") for i in range(90)])
+    for hot, leaders, block in ((1000, 64, 1 << 14), (10, 64, 1 << 14), (10, 2, 1 << 14), (10, 2, 25)):
+        for name, value in (("HOT", hot), ("LEADERS", leaders), ("BLOCK", block)):
+            monkeypatch.setattr(minhash, name, value, raising=False)
+        assert [r.keep_id for r in minhash.near_groups(docs).orderBy("doc_id").collect()] == want
+
+
 def test_each_text_of_a_repeated_id_is_searched(spark):
     a, b = (prose(random.Random(i), 80, 5000) for i in (1, 2))
     out = {r.doc_id: r.keep_id for r in minhash.near_groups(frame(spark, [(1, a), (2, a), (2, b), (3, b + " x")])).collect()}
