@@ -55,3 +55,30 @@ def test_stages_on_awkward_rows(spark, tmp_path):
     assert stages["token_output"](spark, df, path).count() == len(rows)
     for stage in stages.values():
         assert stage(spark, df.where("false"), path).collect() == []
+
+
+def test_near_dedup_finds_links_beyond_the_leaders_of_a_large_band(spark, monkeypatch):
+    """A chain of rows, each like the next one only, in one large band: it is one group, of which one row stays."""
+    import numpy as np
+    import pyarrow as pa
+    from tessera.llm import minhash
+
+    rng = np.random.default_rng(3)
+    low = rng.integers(0, 16, (12, 160)).astype(np.uint8)
+    for i in range(1, 12):
+        same = rng.permutation(160) < 108
+        low[i] = np.where(same, low[i - 1], low[i])
+    near = np.array([minhash.similarity(minhash.pack(low, 4), minhash.pack(low[i : i + 1], 4), 4) >= 0.5 for i in range(12)])
+    assert (near == (abs(np.subtract.outer(range(12), range(12))) < 2)).all()
+    packed = [bytes(x) for x in minhash.pack(low, 4)]
+
+    def planted(batches):
+        for b in batches:
+            n = [int(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(0), b.column(0), pa.array([packed[i] for i in n], pa.binary()), pa.array([[7]] * len(n), pa.list_(pa.int64()))], ["id", "w0", "w1", "sig", "bands"])
+
+    monkeypatch.setattr(minhash, "_sign", lambda *_: planted)
+    monkeypatch.setattr(minhash, "HOT", 4)
+    monkeypatch.setattr(minhash, "LEADERS", 1)
+    docs = spark.createDataFrame([(i, str(i), "en", "s", 1) for i in range(12)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "").collect()] == [0]
