@@ -11,10 +11,10 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import by_key, checkpointed, delete_dir, discard, keyed_text, shared_dir, shuffle_partitions, write_text
+from .common import _CLEANUP, by_key, checkpointed, delete_dir, discard, keyed_text, shared_dir, shuffle_partitions, write_text
 from .textkernel import kgrams, mix, powers, slices, winnow, word_hashes
 
 _U = np.uint64
@@ -137,9 +137,18 @@ class FingerprintIndex:
 
     def _write(self, df: DataFrame, level: int) -> Run:
         run = Run(f"tessera_run_{uuid.uuid4().hex}", self._place(f"run-{level}"), level)
-        df.write.bucketBy(self.buckets, "h").sortBy("h").format("parquet").option("path", run.path).saveAsTable(run.table)
+        self._save_table(df.write.bucketBy(self.buckets, "h").sortBy("h").format("parquet").option("path", run.path), run.table)
         return run
 
+    def _save_table(self, writer: DataFrameWriter, table: str) -> None:
+        """The shuffle files of the write go at once, as in :func:`checkpointed`: those of the texts are as large as the table."""
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            writer.saveAsTable(table)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
+
     def _drop(self, run: Run) -> None:
         self.spark.sql(f"DROP TABLE {run.table}")
         delete_dir(self.spark, run.path)
@@ -153,14 +162,15 @@ class FingerprintIndex:
         """Documents (``id``, ``t`` in lower case) in batches by the hash of the id: read once and written once, a folder for each batch."""
         texts = Texts(f"tessera_texts_{uuid.uuid4().hex}", self._place("texts"))
         rows = docs.select("id", "t", F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch")).where("t <> ''")
-        rows.repartition(self.buckets, "id").write.partitionBy("batch").bucketBy(self.buckets, "id").sortBy("id").format("parquet").option("path", texts.path).saveAsTable(texts.table)
+        self._save_table(rows.repartition(self.buckets, "id").write.partitionBy("batch").bucketBy(self.buckets, "id").sortBy("id").format("parquet").option("path", texts.path), texts.table)
         self.texts.append(texts)
         return [self.spark.table(texts.table).where(f"batch = {i}").drop("batch") for i in range(batches)]
 
-    def add(self, texts: DataFrame) -> DataFrame:
+    def add(self, texts: DataFrame, last: bool = False) -> DataFrame:
         """Adds the next batch that :meth:`split` wrote and returns its windows that another document had before.
 
-        Columns doc, pos, src, src_pos: an earlier batch goes before, then the lower id within the batch.
+        Columns doc, pos, src, src_pos: an earlier batch goes before, then the lower id within the batch. After the
+        last batch that the index ever gets its runs aren't compacted.
         """
         new = texts.mapInArrow(_fingerprints(self.k, self.w), "h long, proof int, doc long, pos int")
         new = new.repartition(self.buckets, "h").sortWithinPartitions("h", "proof", "doc", "pos")
@@ -174,7 +184,7 @@ class FingerprintIndex:
         hits = hits.select("doc", "pos", F.coalesce(src, "first_doc").alias("src"), F.coalesce(at, "first_pos").alias("src_pos")).where("src <> doc or src_pos <> pos")
         self.hits.append(checkpointed(hits, "hits", path=self._place("hits")))
         self.runs.append(run)
-        while len(self.runs) > 1 and self.runs[-1].level == self.runs[-2].level:
+        while not last and len(self.runs) > 1 and self.runs[-1].level == self.runs[-2].level:
             self._compact()
         self.texts[-1].done += 1
         self._save()
@@ -183,12 +193,22 @@ class FingerprintIndex:
         self._old = []
         return self.hits[-1].where("src <> doc")
 
+    def drop_runs(self) -> None:
+        """Deletes the fingerprints of an index that gets no further batch; texts and hits stay."""
+        for run in self.runs:
+            self._drop(run)
+        self.runs = []
+
     def _compact(self) -> None:
         a, b = self.runs[-2], self.runs[-1]
         both = self.entries(a).join(self.entries(b, "_b"), (F.col("h") == F.col("h_b")) & (F.col("proof").bitwiseXOR(F.col("proof_b")) == 0), "full_outer")
         merged = both.select(*(F.coalesce(c, f"{c}_b").alias(c) for c in ("h", "proof", "doc", "pos")), F.lit(None).cast("long").alias("first_doc"), F.lit(None).cast("int").alias("first_pos"), F.lit(True).alias("is_first"))
         self.runs[-2:] = [self._write(merged, a.level + 1)]
-        self._old += [a, b]
+        if self.path:
+            self._old += [a, b]
+        else:
+            self._drop(a)
+            self._drop(b)
 
 
 def spans(hits: DataFrame, k: int) -> DataFrame:
@@ -202,7 +222,7 @@ def spans(hits: DataFrame, k: int) -> DataFrame:
 _SLICE = 1 << 20
 #: Blocks that are compared at once; a power of 2.
 _BLOCKS = 64
-_PLACES = "id long, batch int, at int, n int, l int, r int, digest long, left array<long>, right array<long>"
+_PLACES = "id long, batch int, at int, n int, l int, r int, src long, src_at int, digest long, left array<long>, right array<long>"
 
 
 def _counted(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -245,7 +265,10 @@ def _runs(k: int, least: int):
 
 
 def _read(index: FingerprintIndex, places: DataFrame, f) -> DataFrame:
-    """f of the words of every text of an id, at the places (``id, at, n, l, r``) asked for. Texts stay in their buckets."""
+    """f of the words of every text of an id, at the places (``id, at, n, l, r``) asked for. Texts stay in their buckets.
+
+    ``src, src_at`` of a place come through: where its source is, or, with -1, that it is one.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (b for batch in batches for b in slices(batch, "t", _SLICE)):
@@ -254,12 +277,12 @@ def _read(index: FingerprintIndex, places: DataFrame, f) -> DataFrame:
             total = np.concatenate([np.zeros(1, _U), np.cumsum(wh * up[:-1], dtype=_U)])
             doc = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column(3)).to_numpy(zero_copy_only=False))
             asked = b.column(3).flatten()
-            fields = [asked.field(i).to_numpy().astype(np.int64) for i in range(4)]
+            fields = [asked.field(i).to_numpy().astype(np.int64) for i in range(6)]
             inside = (wo[doc + 1] - wo[doc]) >= fields[0] + fields[1]  # another text of the id may be shorter
             doc, fields = doc[inside], [x[inside] for x in fields]
             ids, numbers = b.column(0).to_numpy(), b.column(2).to_numpy()
             for lo in range(0, len(doc), 10_000):
-                d, (at, n, left, right) = doc[lo : lo + 10_000], (x[lo : lo + 10_000] for x in fields)
+                d, (at, n, left, right, src, src_at) = doc[lo : lo + 10_000], (x[lo : lo + 10_000] for x in fields)
 
                 def sums(row: np.ndarray, start: np.ndarray, end: np.ndarray, first=wo[d], total=total, down=down) -> np.ndarray:
                     start = first[row] + start
@@ -267,9 +290,9 @@ def _read(index: FingerprintIndex, places: DataFrame, f) -> DataFrame:
 
                 row, start, words, digest, before, after = f(sums, wo[d + 1] - wo[d], at, n, left, right)
                 small = (pa.array(x.astype(np.int32)) for x in (numbers[d[row]], start, words, left[row], right[row]))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[d[row]]), *small, pa.array(digest), before, after], ["id", "batch", "at", "n", "l", "r", "digest", "left", "right"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[d[row]]), *small, pa.array(src[row]), pa.array(src_at[row].astype(np.int32)), pa.array(digest), before, after], ["id", "batch", "at", "n", "l", "r", "src", "src_at", "digest", "left", "right"])
 
-    asked = places.groupBy("id").agg(F.collect_set(F.struct("at", "n", "l", "r")).alias("asked"))
+    asked = places.groupBy("id").agg(F.collect_set(F.struct("at", "n", "l", "r", "src", "src_at")).alias("asked"))
     out, before = [], 0
     for x in index.texts:
         rows = index.spark.table(x.table).where(F.col("batch") < x.done).join(asked, "id")
@@ -302,22 +325,27 @@ def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x.astype(t)) for x, t in zip(out, "q i i q i i i".split())], ["doc_id", "start", "n_words", "source_doc_id", "source_start", "l", "r"])
 
 
+def _sources(places: DataFrame) -> DataFrame:
+    """Places (id, at, n, l, r in this order) that are read for themselves."""
+    return places.distinct().toDF("id", "at", "n", "l", "r").select("*", F.lit(0).cast("long").alias("src"), F.lit(-1).alias("src_at"))
+
+
 def extended(found: DataFrame, index: FingerprintIndex) -> DataFrame:
     """Spans grown word by word to the longest equal runs that hold them, each run once.
 
     First the 1, 2, 4, ... words on each side of a span are compared in both documents, by their hashes. What is left is less than the
     greatest that is equal, and is searched by fewer than 64 blocks, and those by smaller ones, down to words: two readings
-    for less than 128 words, three for less than 8,192. So little is moved, however long the run.
+    for less than 128 words, three for less than 8,192. So little is moved, however long the run. A document's stretches are read
+    with the place of their source, so that they meet the source's in one join.
     """
     out, todo = [], checkpointed(found.withColumns({"l": F.lit(-1), "r": F.lit(-1)}), "found")
     while True:
-        sides = todo.select(F.col("doc_id").alias("id"), F.col("start").alias("at"), F.col("n_words").alias("n"), "l", "r").union(todo.select("source_doc_id", "source_start", "n_words", "l", "r"))
-        read = checkpointed(_read(index, sides, _around).drop("batch"), "around")
-        both = todo
-        for side, doc, start in (("a", "doc_id", "start"), ("b", "source_doc_id", "source_start")):
-            one = read.select(*(F.col(c).alias(f"{c}_{side}") for c in read.columns))
-            both = both.join(one, [F.col(x) == F.col(f"{y}_{side}") for x, y in ((doc, "id"), (start, "at"), ("n_words", "n"), ("l", "l"), ("r", "r"))])
-        grown = both.where("digest_a = digest_b").select("doc_id", "start", "n_words", "source_doc_id", "source_start", "l", "r", "left_a", "right_a", "left_b", "right_b")
+        here = todo.select(F.col("doc_id").alias("id"), F.col("start").alias("at"), F.col("n_words").alias("n"), "l", "r", F.col("source_doc_id").alias("src"), F.col("source_start").alias("src_at"))
+        read = checkpointed(_read(index, here.union(_sources(here.select("src", "src_at", "n", "l", "r"))), _around).drop("batch"), "around")
+        one, two = read.where("src_at >= 0"), read.where("src_at < 0").drop("src", "src_at")
+        two = two.select(*(F.col(c).alias(f"{c}_b") for c in two.columns))
+        both = one.join(two, [F.col(x) == F.col(f"{y}_b") for x, y in (("src", "id"), ("src_at", "at"), ("n", "n"), ("l", "l"), ("r", "r"), ("digest", "digest"))])
+        grown = both.select(*(F.col(x).alias(y) for x, y in (("id", "doc_id"), ("at", "start"), ("n", "n_words"), ("src", "source_doc_id"), ("src_at", "source_start"))), "l", "r", "left", "right", "left_b", "right_b")
         grown = checkpointed(grown.mapInArrow(_grow, _SPANS + ", l int, r int").distinct(), "grown")
         discard(read)
         out.append(grown.where("l = 0 and r = 0").drop("l", "r"))
@@ -337,7 +365,7 @@ def other_sources(short: DataFrame, hits: DataFrame, index: FingerprintIndex) ->
     windows = hits.withColumn("diag", F.col("pos") - F.col("src_pos")).join(here, ["doc", "src", "diag"]).where("pos >= start and pos < start + n_words").select("src", "src_pos").distinct()
     every = reduce(DataFrame.unionByName, index.hits).join(windows, ["src", "src_pos"]).select(F.col("doc").alias("id"), F.col("pos").alias("at"), F.lit(k).alias("n"), F.lit(0).alias("l"), F.lit(0).alias("r"))
     every = every.union(windows.select("src", "src_pos", F.lit(k), F.lit(0), F.lit(0)))
-    runs = _read(index, every, _runs(k, n)).groupBy("id", "at", "digest").agg(F.min("batch").alias("batch"))
+    runs = _read(index, _sources(every), _runs(k, n)).groupBy("id", "at", "digest").agg(F.min("batch").alias("batch"))
     first = runs.withColumn("first", F.min(F.struct("batch", "id", "at")).over(Window.partitionBy("digest"))).where("first.id <> id")
     mine = first.join(short.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")
     return mine.select(F.col("id").alias("doc_id"), F.col("at").alias("start"), F.lit(n).alias("n_words"), F.col("first.id").alias("source_doc_id"), F.col("first.at").alias("source_start"))
@@ -364,12 +392,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     has no spans. Texts are read whole, however long. Of equally early sources the lower place counts. Repeats within one document, or under one id, aren't reported. Repeated rows give no further rows. Empty
     tables give an empty result; other columns are ignored.
     """
-    index = index or FingerprintIndex(docs.sparkSession, k, min_words)
+    own = index is None
+    index = FingerprintIndex(docs.sparkSession, k, min_words) if own else index
     source = keyed_text(docs, id_col, text_col).where("t is not null")
     hits = None
-    for part in index.split(source, batches):
-        found = index.add(part)
+    for i, part in enumerate(index.split(source, batches)):
+        found = index.add(part, last=own and i == batches - 1)
         hits = found if hits is None else hits.unionByName(found)
+    if own:
+        index.drop_runs()
     least = index.k + index.w - 1
     whole = checkpointed(extended(spans(hits, index.k), index), "spans")
     long, short = whole.where(F.col("n_words") >= least), whole.where(F.col("n_words") < least)

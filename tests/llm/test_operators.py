@@ -336,6 +336,21 @@ def test_substring_spans_are_whole(spark):
     assert [tuple(r) for r in found] == [(2, 31, 52, 1, 31)]
 
 
+def test_substring_leaves_no_runs(spark):
+    """The index of one call is deleted with its batches, that of the caller stays; both find the same."""
+    from pathlib import Path
+
+    place = Path(substring.shared_dir(spark, "none").removeprefix("file://")).parent
+    runs = lambda: {p.name for p in place.glob("tessera-run-*")}
+    before, p = runs(), prose(random.Random(36), 70, 5000)
+    docs = frame(spark, [(i, f"a{i} {p} b{i}") for i in range(8)])
+    found = sorted(tuple(r) for r in substring.repeated_spans(docs, batches=4).collect())
+    assert len(found) == 7 and runs() == before
+    index = substring.FingerprintIndex(spark)
+    assert sorted(tuple(r) for r in substring.repeated_spans(docs, batches=4, index=index).collect()) == found
+    assert len(index.runs) == 1 and len(runs() - before) == 1
+
+
 def test_substring_equals_brute_force(spark):
     """Every run of 50 words or more that an earlier document has is within a span, and each span is such a run at its full length."""
     rng = random.Random(26)
