@@ -19,6 +19,8 @@ ORDER = 3
 BUCKETS = 48
 #: Bytes of text whose n-grams a worker counts and scores at once, and n-grams of one range of keys. Larger ones make fewer and longer messages.
 CHUNK_BYTES, RANGE_KEYS = 8 << 20, 4 << 20
+#: Symbols whose probabilities a worker works out at once.
+STEP = 1 << 16
 #: Bytes that a word is taken to have with what is between words.
 WORD_BYTES = 6
 _U = np.uint64
@@ -193,19 +195,21 @@ def bucket(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, 1 + np.floor(np.log2(np.maximum(x, 1))), 0).astype(np.int64).clip(0, BUCKETS - 1)
 
 
-def _estimates(counts: list[np.ndarray], begins: np.ndarray, so: np.ndarray, symbols: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Maximum-likelihood estimates of orders 1 to 3 and the buckets of their contexts.
+def _estimates(counts: list[np.ndarray], begins: int, so: np.ndarray, symbols: np.ndarray, lo: int, hi: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Maximum-likelihood estimates of orders 1 to 3 and the buckets of their contexts, for the symbols from lo to hi.
 
     counts: of the n-grams that end in each symbol. An n-gram was followed by a symbol as often as it occurred, as none
     goes on after an end symbol; so the context's count is that of the shorter n-gram one symbol before, and
     ``begins`` (texts) at a text's first symbol. symbols: of all texts, the context of order 1.
     """
     q, b = [], []
+    starts = so[np.searchsorted(so, lo) : np.searchsorted(so, hi)] - lo
     for k in range(ORDER):
-        x = np.concatenate([[0], counts[k - 1][:-1]]) if k else symbols
+        x = symbols
         if k:
-            x[so[:-1]] = begins
-        q.append(counts[k] / np.maximum(x, 1))
+            x = counts[k - 1][lo - 1 : hi - 1].copy() if lo else np.append(0, counts[k - 1][: hi - 1])
+            x[starts] = begins
+        q.append(counts[k][lo:hi] / np.maximum(x, 1))
         b.append(bucket(x))
     return q, b
 
@@ -234,7 +238,7 @@ def _held_cases(ranges: int, n_docs: int, n_symbols: int):
             return pa.table({n: pa.array([], pa.float64() if n[0] == "q" else pa.int64()) for n in names})
         g = _Grams(chunk.to_pylist()[0], places=True)
         train = g.filled(answers, ranges, "train", [np.zeros(len(k)) for k in g.keys])
-        q, b = _estimates([x[at] for x, at in zip(train, g.at)], np.full(len(g.so) - 1, n_docs), g.so, np.full(g.so[-1], n_symbols))
+        q, b = _estimates([x[at] for x, at in zip(train, g.at)], n_docs, g.so, np.full(g.so[-1], n_symbols), 0, g.so[-1])
         h = np.zeros(g.so[-1], dtype=_U)
         for x in (*q, *b):
             h = mix(h * _U(3) + x.view(_U))
@@ -244,6 +248,15 @@ def _held_cases(ranges: int, n_docs: int, n_symbols: int):
     return cases
 
 
+def _by_text(at: np.ndarray, doc: np.ndarray, step: int) -> Iterator[np.ndarray]:
+    """Parts of the places at (sorted) of about ``step``, which never split those of one text."""
+    lo, of = 0, doc[at]
+    while lo < len(at):
+        hi = int(np.searchsorted(of, of[min(lo + step, len(at)) - 1], side="right"))
+        yield at[lo:hi]
+        lo = hi
+
+
 def _score(ranges: int, n_docs: int, n_symbols: int, words: int, weights: np.ndarray):
     """Code length of each text of a chunk; its own n-grams are taken from the counts."""
 
@@ -253,17 +266,23 @@ def _score(ranges: int, n_docs: int, n_symbols: int, words: int, weights: np.nda
         row = chunk.to_pylist()[0]
         g = _Grams(row, places=True)
         total, size = g.filled(answers, ranges, "total", g.n), np.diff(g.so)
-        doc = np.repeat(np.arange(len(size)), size)
+        doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
         others = []
-        for k, at in enumerate(g.at):
-            own = np.ones(len(at), dtype=np.int64)
-            again = np.flatnonzero(g.n[k][at] > 1)  # the others occur once in the chunk, so once in the text
-            _, pair, n = np.unique(doc[again] * len(g.keys[k]) + at[again], return_inverse=True, return_counts=True)
-            own[again] = n[pair]
-            others.append(total[k][at] - own)
-        q, b = _estimates(others, np.full(len(size), n_docs - 1), g.so, n_symbols - size[doc])
-        p, _ = mixed(q, b, weights, words)
-        bits = np.add.reduceat(-np.log2(p), g.so[:-1])
+        while total:  # what an order took goes before the next one
+            at, n, counts = g.at.pop(0), g.n.pop(0), total.pop(0)
+            other = counts[at]
+            again = np.flatnonzero(n[at] > 1)
+            other[n[at] == 1] -= 1  # these occur once in the chunk, so once in the text
+            for some in _by_text(again, doc, STEP):
+                _, pair, own = np.unique(doc[some].astype(np.int64) * len(n) + at[some], return_inverse=True, return_counts=True)
+                other[some] -= own[pair]
+            others.append(other)
+        bits = np.empty(g.so[-1])
+        for lo in range(0, len(bits), STEP):
+            hi = min(lo + STEP, len(bits))
+            q, b = _estimates(others, n_docs - 1, g.so, n_symbols - size[doc[lo:hi]], lo, hi)
+            bits[lo:hi] = -np.log2(mixed(q, b, weights, words)[0])
+        bits = np.add.reduceat(bits, g.so[:-1])
         return pa.table({"doc_id": pa.array(row["ids"], pa.int64()), "known": pa.array(row["known"], pa.bool_()), "n_words": pa.array(size), "bits": pa.array(bits)})
 
     return score

@@ -142,6 +142,27 @@ def test_lm_equals_brute_force(spark):
     assert max(twice) < min(once)
 
 
+def test_lm_scores_a_chunk_in_little_memory(monkeypatch):
+    """Scoring takes a bounded number of bytes a symbol, and gives the same bits whatever is worked out at once."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    lens = np.append(rng.integers(0, 1500, 400), [0, 1, 100_000])
+    text = rng.zipf(1.3, lens.sum()) % 50_000
+    row = {"ids": list(range(len(lens))), "known": [True] * len(lens), "lens": lens.tolist(), "vocabulary": rng.integers(0, 1 << 63, 50_000, dtype=np.uint64).tobytes(), "words": lm._planes(text.astype("<u4"))}
+    chunk, symbols = pa.Table.from_pylist([row]), int(lens.sum() + len(lens))
+    answers = pa.table({"range": pa.array([0], pa.int32()), "at": [lm._planes(np.array([3], "<u4"))], "total": [lm._planes(np.array([90_000], "<i8"))]})
+    bits, peaks = [], []
+    for step in (1 << 16, 1000, 1 << 30):  # the last one is all symbols at once
+        monkeypatch.setattr(lm, "STEP", step, raising=False)
+        tracemalloc.start()
+        bits.append(lm._score(1, 5000, 9_000_000, 70_000, np.full((lm.ORDER, lm.BUCKETS), 0.4))(chunk, answers)["bits"].to_pylist())
+        peaks.append(tracemalloc.get_traced_memory()[1] / symbols)
+        tracemalloc.stop()
+    assert bits[0] == bits[1] == bits[2] and min(bits[0]) > 0
+    assert peaks[0] < 170 < peaks[2], peaks
+
+
 def test_mixing_water_filling(spark):
     docs = frame(spark, [(i, "x" * 10, None, s) for i, s in enumerate("a" * 80 + "b" * 15 + "c" * 5)])
     rate = {r.source: r for r in mixing.source_rates(docs, max_epochs=4.0).collect()}
