@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_key, checkpointed, shuffle_partitions
-from .textkernel import mix, slices, word_hashes
+from .textkernel import forget_powers, mix, slices, word_hashes
 
 #: Words of the longest n-gram.
 ORDER = 3
@@ -19,8 +19,8 @@ ORDER = 3
 BUCKETS = 48
 #: Bytes of text whose n-grams a worker counts and scores at once, and n-grams of one range of keys. Larger ones make fewer and longer messages.
 CHUNK_BYTES, RANGE_KEYS = 8 << 20, 4 << 20
-#: Symbols whose probabilities a worker works out at once.
-STEP = 1 << 16
+#: Symbols whose n-grams or probabilities a worker works out at once, bytes of text that it hashes at once, and bytes of a message's numbers from which it is sent.
+STEP, HASH_BYTES, SEND_BYTES = 1 << 16, 1 << 20, 4 << 20
 #: Bytes that a word is taken to have with what is between words.
 WORD_BYTES = 6
 _U = np.uint64
@@ -43,34 +43,68 @@ def _numbers(data: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
-def gram_keys(wh: np.ndarray, wo: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """For every symbol of the texts (their words and an end symbol) the keys of the 1-, 2- and 3-grams that end in it, and the texts' offsets.
+def gram_keys(number: np.ndarray, symbols: np.ndarray, so: np.ndarray, k: int) -> np.ndarray:
+    """The keys of the n-grams of order k + 1 that end in each symbol of the texts.
 
-    A key has 56 bits: a hash and, as its two lowest bits, the order, so that n-grams of different orders never meet.
+    number: of every symbol, its place in symbols (hashes); so: the texts' offsets. A key has 56 bits: a hash and, as its
+    two lowest bits, the order, so that n-grams of different orders never meet.
     """
-    n = len(wo) - 1
-    so = wo + np.arange(n + 1)
-    sym = np.full(so[-1], _END, dtype=_U)
-    sym[np.arange(len(wh)) + np.repeat(np.arange(n), np.diff(wo))] = wh
-    keys, h = [], sym
-    for k in range(ORDER):
-        if k:
-            before = np.full(len(sym), _BEGIN, dtype=_U)
-            before[k:] = sym[:-k]
-            for i in range(k):  # positions whose k-th symbol before is of the text before
-                at = so[:-1] + i
-                before[at[at < so[1:]]] = _BEGIN
+    keys = np.empty(len(number), dtype=_U)
+    for lo in range(0, len(number), STEP):
+        hi = min(lo + STEP, len(number))
+        h = symbols[number[lo:hi]]
+        for j in range(1, k + 1):
+            before, skip = np.full(hi - lo, _BEGIN, dtype=_U), max(j - lo, 0)
+            before[skip:] = symbols[number[lo + skip - j : max(hi - j, 0)]]
+            a, b = np.searchsorted(so[:-1], [lo - j + 1, hi])
+            for i in range(j):  # positions whose j-th symbol before is of the text before
+                at = so[a:b] + i
+                before[at[(at < so[a + 1 : b + 1]) & (at >= lo) & (at < hi)] - lo] = _BEGIN
             h = mix(h * _U(0x9E3779B97F4A7C15) + before)
-        keys.append(mix(h) >> _U(10) << _U(2) | _U(k))
-    return keys, so
+        keys[lo:hi] = mix(h) >> _U(10) << _U(2) | _U(k)
+    return keys
+
+
+def _new(x: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before."""
+    new = np.ones(len(x), dtype=bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return new
+
+
+def _places(order: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """The place of each value among the distinct ones; order sorts the values, and new says where they change then."""
+    at, number = np.empty(len(order), dtype=np.uint32), np.cumsum(new, dtype=np.uint32)
+    number -= 1
+    at[order] = number
+    return at
+
+
+def _distinct(a: list[np.ndarray], places: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """The only array of the list, which is taken from it: its sorted distinct values, their counts, and the place of each value among them."""
+    x, at = a.pop(), None
+    if places:
+        order = np.argsort(x)
+        x = x[order]
+        at = _places(order, _new(x))
+        del order
+    else:
+        x.sort()
+    first = np.flatnonzero(_new(x))
+    n = np.empty(len(first), dtype=np.uint32)
+    n[:-1], n[-1:] = first[1:], len(x)
+    n -= first.astype(np.uint32)
+    return x[first], n, at
 
 
 def _chunks(chunk_bytes: int):
     """Packs a partition's texts, held-out ones apart, to rows of about ``chunk_bytes`` of text: a vocabulary and the words' numbers in it."""
 
     def pack(chunk: int, held: bool, ids: list, known: list, lens: list, hashes: list) -> pa.RecordBatch:
-        words, number, n = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
-        order = np.argsort(-n, kind="stable")
+        every = [np.concatenate(hashes)]
+        hashes.clear()
+        words, n, number = _distinct(every)
+        order = np.argsort(-n.astype(np.int64), kind="stable")
         rank = np.empty(len(words), dtype=np.uint32)
         rank[order] = np.arange(len(words))
         size = np.concatenate(lens)
@@ -90,13 +124,15 @@ def _chunks(chunk_bytes: int):
                     part = b if not h and not held.any() else b.filter(pa.array(held == h))
                     if not part.num_rows:
                         continue
-                    wh, wo = word_hashes(part.column(1))
                     have = open_.setdefault(h, [[], [], [], []])
-                    for to, x in zip(have, (part.column(0), part.column(2).to_numpy(zero_copy_only=False), np.diff(wo), wh)):
-                        to.append(x)
+                    for few in slices(part, "t", HASH_BYTES):
+                        wh, wo = word_hashes(few.column(1))
+                        for to, x in zip(have, (few.column(0), few.column(2).to_numpy(zero_copy_only=False), np.diff(wo), wh)):
+                            to.append(x)
                     if sum(map(len, have[3])) * WORD_BYTES >= chunk_bytes:
                         yield pack(number, h, *open_.pop(h))
                         number += 1
+        forget_powers()  # the worker goes on to other stages
         for h, have in open_.items():
             yield pack(number, h, *have)
             number += 1
@@ -105,35 +141,43 @@ def _chunks(chunk_bytes: int):
 
 
 class _Grams:
-    """The n-grams of a chunk, one order after the other: sorted distinct keys, their counts in the chunk, and the place of each symbol's n-gram among them."""
-
-    def __init__(self, row: dict, places: bool) -> None:
-        lens = np.asarray(row["lens"], dtype=np.int64)
-        words = np.frombuffer(row["vocabulary"], _U)[_numbers(row["words"], "<u4")] if len(row["words"]) else np.zeros(0, _U)
-        every, self.so = gram_keys(words, np.concatenate([[0], np.cumsum(lens)]))
-        self.keys, self.n, self.at = [], [], []
-        while every:
-            found = np.unique(every.pop(0), return_inverse=places, return_counts=True)
-            self.keys.append(found[0])
-            self.n.append(found[-1])
-            if places:
-                self.at.append(found[1].astype(np.uint32))
-
-    def cuts(self, ranges: int) -> list[np.ndarray]:
-        """Where each range of keys begins, in the keys of every order."""
-        return [np.searchsorted((k >> _U(24)) * _U(ranges) >> _U(32), np.arange(ranges + 1, dtype=_U)) for k in self.keys]
-
-    def filled(self, answers: pa.Table, ranges: int, column: str, own: list[np.ndarray]) -> list[np.ndarray]:
-        """Counts of every order, replaced by the sums that came back; a range's keys are those of order 1, then of 2, then of 3."""
-        out, cuts = [x.astype(np.int64) for x in own], self.cuts(ranges)
-        for x in answers.select(["range", "at", column]).to_pylist():
-            at, value, r = np.cumsum(_numbers(x["at"], "<u4").astype(np.int64)), _numbers(x[column], "<i8"), x["range"]
-            first = 0
-            for to, cut in zip(out, cuts):
-                lo, hi = np.searchsorted(at, [first, first + cut[r + 1] - cut[r]])
-                to[at[lo:hi] - first + cut[r]] = value[lo:hi]
-                first += cut[r + 1] - cut[r]
-        return out
+    """The n-grams of a chunk, one order after the other, as those of all orders take too much memory at once."""
+
+    def __init__(self, row: dict) -> None:
+        lens, words = np.asarray(row["lens"], dtype=np.int64), row.pop("words")
+        self.so = np.append(0, np.cumsum(lens + 1))
+        self.symbols = np.append(np.frombuffer(row["vocabulary"], _U) if len(words) else np.zeros(0, _U), _END)
+        self.number = np.full(self.so[-1], len(self.symbols) - 1, dtype=np.uint32)
+        if len(words):
+            word = np.ones(len(self.number), dtype=bool)
+            word[self.so[1:] - 1] = False
+            self.number[word] = _numbers(words, "<u4")
+
+    def of(self, k: int, places: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """Of order k + 1: sorted distinct keys, their counts in the chunk, and the place of each symbol's n-gram among them."""
+        return _distinct([gram_keys(self.number, self.symbols, self.so, k)], places)
+
+
+def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each range of keys begins, in sorted ones."""
+    r = np.arange(ranges + 1, dtype=_U)
+    return np.searchsorted(keys, ((r << _U(32)) + _U(ranges - 1)) // _U(ranges) << _U(24))
+
+
+def _filled(answers: pa.Table, column: str, counts: np.ndarray, cut: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Counts of one order, replaced by the sums that came back; a range's keys are those of order 1, then of 2, then of 3.
+
+    cut: where each range's keys begin in this order; before: how many keys of lower orders each range has.
+    """
+    for r, at, value in zip(answers.column("range").to_numpy(), answers.column("at"), answers.column(column)):
+        at = np.cumsum(_numbers(at.as_buffer(), "<u4"), dtype=np.int64) - before[r]
+        lo, hi = np.searchsorted(at, [0, cut[r + 1] - cut[r]])
+        counts[at[lo:hi] + cut[r]] = _numbers(value.as_buffer(), "<i8")[lo:hi]
+    return counts
+
+
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    return counts.astype(np.uint32) if counts.max(initial=0) < 1 << 32 else counts
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -147,14 +191,15 @@ def _count(ranges: int):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            g = _Grams(row, places=False)
-            cuts = g.cuts(ranges)
+            g = _Grams(row)
+            keys, n, _ = zip(*(g.of(k, places=False) for k in range(ORDER)))
+            del g
+            cuts = [_cuts(x, ranges) for x in keys]
             at = np.flatnonzero(sum(np.diff(c) for c in cuts))
             of = lambda values, i: _planes(np.concatenate([v[c[i] : c[i + 1]] for v, c in zip(values, cuts)]))
-            n = [x.astype("<u4") for x in g.n]
-            for some in np.array_split(at, max(1, sum(map(len, g.keys)) >> 20)):
+            for some in np.array_split(at, max(1, 12 * sum(map(len, keys)) // SEND_BYTES)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()), pa.array([row["chunk"]] * len(some), pa.int64()), pa.array([row["held"]] * len(some), pa.bool_()), pa.array([of(g.keys, i) for i in some], pa.binary()), pa.array([of(n, i) for i in some], pa.binary())],
+                    [pa.array(some, pa.int32()), pa.array([row["chunk"]] * len(some), pa.int64()), pa.array([row["held"]] * len(some), pa.bool_()), pa.array([of(keys, i) for i in some], pa.binary()), pa.array([of(n, i) for i in some], pa.binary())],
                     [c.split()[0] for c in _COUNTS.split(", ")],
                 )
 
@@ -166,28 +211,41 @@ def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     The row of chunk -1 is the range's number of distinct words.
     """
+    kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
+    message = lambda out: pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], [c.split()[0] for c in _TOTALS.split(", ")])
     for table in by_key(batches, ["range"], 1):
         number = table.column("range").to_numpy()
-        for r in np.unique(number):
-            rows = table.filter(pa.array(number == r)).to_pylist()
-            parts = [_numbers(x["keys"], "<u8") for x in rows]
-            keys, n = np.concatenate(parts), np.concatenate([_numbers(x["counts"], "<u4") for x in rows]).astype(np.int64)
-            size = np.array(list(map(len, parts)))
-            held = np.repeat([x["held"] for x in rows], size)
+        starts = np.flatnonzero(np.diff(number, prepend=-1))
+        for start, stop in zip(starts, np.append(starts[1:], len(number))):
+            rows, r = table.slice(start, stop - start), int(number[start])
+            chunks, helds = rows.column("chunk").to_pylist(), rows.column("held").to_pylist()
+            ends = np.cumsum([len(x.as_buffer()) // 8 for x in rows.column("keys")])
+            spans = list(zip(np.append(0, ends[:-1]), ends))
+            keys, n = np.empty(ends[-1], dtype=_U), np.empty(ends[-1], dtype=np.uint32)
+            for (lo, hi), k, c in zip(spans, rows.column("keys"), rows.column("counts")):
+                keys[lo:hi], n[lo:hi] = _numbers(k.as_buffer(), "<u8"), _numbers(c.as_buffer(), "<u4")
             order = np.argsort(keys, kind="stable")
             keys = keys[order]
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            group = np.empty(len(keys), dtype=np.int64)
-            group[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
-            total, train = np.add.reduceat(n[order], first), np.add.reduceat((n * ~held)[order], first)
-            out = []
-            for x, lo, hi in zip(rows, np.cumsum(size) - size, np.cumsum(size)):
+            new = _new(keys)
+            words, first = int((new & (keys & _U(3) == 0)).sum()), np.flatnonzero(new)
+            del keys
+            group = _places(order, new)
+            each = n[order]
+            total = np.add.reduceat(each, first, dtype=np.int64)
+            each[np.repeat(helds, np.diff(ends, prepend=0))[order]] = 0
+            train = np.add.reduceat(each, first, dtype=np.int64)
+            del each, first, order, new
+            out, size = [(-1, r, False, b"", b"", b"", words)], 0
+            for chunk, held, (lo, hi) in zip(chunks, helds, spans):
                 t = total[group[lo:hi]]
                 at = np.flatnonzero(t != n[lo:hi])
-                out.append((x["chunk"], int(r), x["held"], _planes(np.diff(at, prepend=0).astype("<u4")), _planes(t[at]), _planes(train[group[lo:hi][at]]) if x["held"] else b"", 0))
-            out.append((-1, int(r), False, b"", b"", b"", int((keys[first] & _U(3) == 0).sum())))
-            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], [c.split()[0] for c in _TOTALS.split(", ")])
+                out.append((chunk, r, held, _planes(np.diff(at, prepend=0).astype("<u4")), _planes(t[at]), _planes(train[group[lo:hi][at]]) if held else b"", 0))
+                size += 12 * len(at)
+                if size >= SEND_BYTES:
+                    yield message(out)
+                    out, size = [], 0
+            if out:
+                yield message(out)
 
 
 def bucket(x: np.ndarray) -> np.ndarray:
@@ -207,7 +265,7 @@ def _estimates(counts: list[np.ndarray], begins: int, so: np.ndarray, symbols: n
     for k in range(ORDER):
         x = symbols
         if k:
-            x = counts[k - 1][lo - 1 : hi - 1].copy() if lo else np.append(0, counts[k - 1][: hi - 1])
+            x = counts[k - 1][lo - 1 : hi - 1].astype(np.int64) if lo else np.append(0, counts[k - 1][: hi - 1])
             x[starts] = begins
         q.append(counts[k][lo:hi] / np.maximum(x, 1))
         b.append(bucket(x))
@@ -236,14 +294,31 @@ def _held_cases(ranges: int, n_docs: int, n_symbols: int):
         names = [c.split()[0] for c in _CASES.split(", ")]
         if not chunk.num_rows:
             return pa.table({n: pa.array([], pa.float64() if n[0] == "q" else pa.int64()) for n in names})
-        g = _Grams(chunk.to_pylist()[0], places=True)
-        train = g.filled(answers, ranges, "train", [np.zeros(len(k)) for k in g.keys])
-        q, b = _estimates([x[at] for x, at in zip(train, g.at)], n_docs, g.so, np.full(g.so[-1], n_symbols), 0, g.so[-1])
-        h = np.zeros(g.so[-1], dtype=_U)
-        for x in (*q, *b):
-            h = mix(h * _U(3) + x.view(_U))
-        _, first, n = np.unique(h, return_index=True, return_counts=True)
-        return pa.table([pa.array(n), *(pa.array(x[first]) for k in range(ORDER) for x in (q[k], b[k]))], names=names)
+        g = _Grams(chunk.to_pylist()[0])
+        train, before = [], np.zeros(ranges, dtype=np.int64)
+        for k in range(ORDER):
+            keys, _, at = g.of(k, places=True)
+            cut = _cuts(keys, ranges)
+            train.append(_narrow(_filled(answers, "train", np.zeros(len(keys), dtype=np.int64), cut, before))[at])
+            before = before + np.diff(cut)
+        parts = [[] for _ in range(2 + 2 * ORDER)]
+        for lo in range(0, len(g.number), STEP):
+            hi = min(lo + STEP, len(g.number))
+            q, b = _estimates(train, n_docs, g.so, np.full(hi - lo, n_symbols), lo, hi)
+            h = np.zeros(hi - lo, dtype=_U)
+            for x in (*q, *b):
+                h = mix(h * _U(3) + x.view(_U))
+            h, first, n = np.unique(h, return_index=True, return_counts=True)
+            for to, x in zip(parts, (h, n.astype(np.uint32), *(x[first] for k in range(ORDER) for x in (q[k], b[k].astype(np.uint8))))):
+                to.append(x)
+        del train, g
+        h, first, at = np.unique(np.concatenate(parts.pop(0)), return_index=True, return_inverse=True)
+        cols = [pa.array(np.bincount(at, np.concatenate(parts.pop(0))).astype(np.int64))]
+        del h, at
+        while parts:
+            x = np.concatenate(parts.pop(0))[first]
+            cols.append(pa.array(x.astype(np.int64) if x.dtype == np.uint8 else x))
+        return pa.table(cols, names=names)
 
     return cases
 
@@ -264,19 +339,23 @@ def _score(ranges: int, n_docs: int, n_symbols: int, words: int, weights: np.nda
         if not chunk.num_rows:
             return pa.table({"doc_id": pa.array([], pa.int64()), "known": pa.array([], pa.bool_()), "n_words": pa.array([], pa.int64()), "bits": pa.array([], pa.float64())})
         row = chunk.to_pylist()[0]
-        g = _Grams(row, places=True)
-        total, size = g.filled(answers, ranges, "total", g.n), np.diff(g.so)
+        g = _Grams(row)
+        size, before, others = np.diff(g.so), np.zeros(ranges, dtype=np.int64), []
         doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
-        others = []
-        while total:  # what an order took goes before the next one
-            at, n, counts = g.at.pop(0), g.n.pop(0), total.pop(0)
-            other = counts[at]
-            again = np.flatnonzero(n[at] > 1)
-            other[n[at] == 1] -= 1  # these occur once in the chunk, so once in the text
+        for k in range(ORDER):
+            keys, n, at = g.of(k, places=True)
+            cut, m = _cuts(keys, ranges), len(keys)
+            del keys
+            other = _filled(answers, "total", n.astype(np.int64), cut, before)[at]
+            before = before + np.diff(cut)
+            once = n[at] == 1
+            other[once] -= 1  # these occur once in the chunk, so once in the text
+            again = np.flatnonzero(~once)
             for some in _by_text(again, doc, STEP):
-                _, pair, own = np.unique(doc[some].astype(np.int64) * len(n) + at[some], return_inverse=True, return_counts=True)
+                _, pair, own = np.unique(doc[some].astype(np.int64) * m + at[some], return_inverse=True, return_counts=True)
                 other[some] -= own[pair]
-            others.append(other)
+            others.append(_narrow(other))
+            del other, again, at, n, once  # what an order took goes before the next one
         bits = np.empty(g.so[-1])
         for lo in range(0, len(bits), STEP):
             hi = min(lo + STEP, len(bits))

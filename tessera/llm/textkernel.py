@@ -38,6 +38,11 @@ def powers(base: str, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have[0][:n], have[1][:n]
 
 
+def forget_powers() -> None:
+    """Frees the kept powers, for a process that goes on to work without them; they are worked out again when needed."""
+    _powers.clear()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser, so that every bit of the result depends on all of the input."""
     h = h ^ (h >> _U(30))

@@ -163,6 +163,45 @@ def test_lm_scores_a_chunk_in_little_memory(monkeypatch):
     assert peaks[0] < 170 < peaks[2], peaks
 
 
+def test_lm_counts_and_sums_in_little_memory(monkeypatch):
+    """Counting, adding up, held-out cases and scores take a bounded number of bytes a symbol, and come out the same whatever is worked out at once."""
+    import tracemalloc
+
+    from tessera.llm import textkernel
+
+    rng = np.random.default_rng(7)
+    lens = np.append(rng.integers(0, 1500, 400), [0, 1, 100_000])
+    symbols, vocabulary, peaks, results = int(lens.sum() + len(lens)), rng.integers(0, 1 << 63, 50_000, dtype=np.uint64).tobytes(), {}, []
+    rows = [{"chunk": c, "held": c == 1, "ids": list(range(len(lens))), "known": [True] * len(lens), "lens": lens.tolist(), "vocabulary": vocabulary, "words": lm._planes((rng.zipf(1.3, lens.sum()) % 50_000).astype("<u4"))} for c in range(2)]
+    chunks = [pa.RecordBatch.from_pylist([r]) for r in rows]
+
+    def traced(name, of):
+        tracemalloc.start()
+        out = of()
+        peaks[name] = tracemalloc.get_traced_memory()[1] / symbols
+        tracemalloc.stop()
+        return out
+
+    for step in (1 << 16, 999):
+        monkeypatch.setattr(lm, "STEP", step, raising=False)
+        counts = traced("count", lambda: list(lm._count(3)(iter(chunks))))
+        table = pa.Table.from_batches(counts).sort_by([("range", "ascending"), ("chunk", "ascending")])
+        assert sum(int(lm._numbers(x, "<u4").sum()) for x in table["counts"].to_pylist()) == 2 * lm.ORDER * symbols
+        totals = pa.Table.from_batches(traced("total", lambda: list(lm._total(iter(table.combine_chunks().to_batches())))))
+        of = lambda c: totals.filter(pa.array(np.asarray(totals["chunk"]) == c))
+        cases = traced("cases", lambda: lm._held_cases(3, len(lens), symbols)(pa.Table.from_batches(chunks[1:]), of(1)))
+        scores = traced("score", lambda: lm._score(3, 2 * len(lens), 2 * symbols, 50_000, np.full((lm.ORDER, lm.BUCKETS), 0.4))(pa.Table.from_batches(chunks[:1]), of(0)))
+        assert sum(cases["n"].to_pylist()) == symbols
+        results.append((table.to_pydict(), totals.sort_by([("range", "ascending"), ("chunk", "ascending")]).to_pydict(), cases.sort_by([(c, "ascending") for c in cases.column_names]).to_pydict(), scores.to_pydict()))
+        if step > 999:
+            most = dict(peaks)
+    assert results[0] == results[1]
+    texts = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array(["one two"]), pa.array([True]), pa.array([False])], ["id", "t", "k", "h"])
+    monkeypatch.setattr(lm, "TaskContext", type("Context", (), {"get": staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 0})())}))
+    assert len(list(lm._chunks(1 << 20)(iter([texts])))) == 1 and not textkernel._powers  # 64 MB that later stages don't need
+    assert most["count"] < 60 and most["total"] < 52 and most["cases"] < 90 and most["score"] < 75, most
+
+
 def test_mixing_water_filling(spark):
     docs = frame(spark, [(i, "x" * 10, None, s) for i, s in enumerate("a" * 80 + "b" * 15 + "c" * 5)])
     rate = {r.source: r for r in mixing.source_rates(docs, max_epochs=4.0).collect()}
