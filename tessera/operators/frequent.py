@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.storage import stored
 from . import dedup
 
 
@@ -136,6 +137,7 @@ def remove(docs: DataFrame, new: DataFrame, old: DataFrame | None = None, min_fr
     else:
         keys = keys.withColumn("_old", F.lit(False))
     if similar:
+        keys = stored(keys, "listed")  # the lists may be long in the making, and are used three times
         rows = rows.join(listed(rows.select("domain", "p").distinct(), keys.select("domain", "p", F.coalesce("_old", F.lit(False)).alias("_old")), *similar), ["domain", "p"]).withColumn("p", F.col("_listed")).drop("_listed")
     hits = rows.join(keys, ["domain", "p"]).withColumn("_r", F.dense_rank().over(w))
     drop = hits.where(F.coalesce("_old", F.lit(False)) | (F.col("_r") >= min_freq)).groupBy(id_col).agg(F.collect_set("i").alias("_drop"))
@@ -146,7 +148,8 @@ def remove(docs: DataFrame, new: DataFrame, old: DataFrame | None = None, min_fr
 def _banded(paragraphs: DataFrame, keys: list[str], perms: int, b: int, r: int) -> DataFrame:
     """keys and a hash ``g`` of domain and band for each band; a paragraph without n-grams is like its equals only."""
     sigs = dedup.signatures(paragraphs, keys, "p", perms) if "p" not in keys else dedup.signatures(paragraphs.withColumn("_t", F.col("p")), keys, "_t", perms)
-    return dedup.bands(sigs.where(F.get("sig", F.lit(0)) != dedup.NO_SHINGLE), keys, b, r).withColumn("g", F.xxhash64("domain", "band", "hash")).drop("band", "hash")
+    own = dedup.hashed(sigs.where(F.get("sig", F.lit(0)) != dedup.NO_SHINGLE), keys, b, r)
+    return own.select(*keys, F.explode("_g").alias("g")).withColumn("g", F.xxhash64("domain", "g"))
 
 
 def representatives(paragraphs: DataFrame, perms: int, b: int, r: int) -> DataFrame:
@@ -155,7 +158,7 @@ def representatives(paragraphs: DataFrame, perms: int, b: int, r: int) -> DataFr
     Keep-first in the order of documents (within one, of hashes): a paragraph whose band a kept one of its domain has is
     represented by the least such one, others by themselves. Hashes stand for paragraphs while bands move.
     """
-    own = paragraphs.withColumn("h", F.xxhash64("domain", "p"))
+    own = stored(paragraphs.withColumn("h", F.xxhash64("domain", "p")), "paragraphs")  # read three times
     banded = _banded(own, ["domain", "t", "h"], perms, b, r).select(F.struct("t", "h").alias("id"), "g")
     gone = dedup.keep_first(banded).select(F.col("n.h").alias("h"), F.col("rep.h").alias("_r"))
     reps = gone.join(own.select(F.col("h").alias("_r"), F.col("p").alias("rep")), "_r").select("h", "rep")
