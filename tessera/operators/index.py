@@ -133,19 +133,20 @@ def line_filter(lines: DataFrame, surts: list[str], col: str = "line") -> DataFr
     return lines.where(F.col(col).rlike(f"^(?:{either})[,)]"))
 
 
-def join_pages(index: DataFrame, pages: DataFrame, key: str = "url") -> DataFrame:
+def join_pages(index: DataFrame, pages: DataFrame, key: str = "url", same: tuple[str, ...] = ()) -> DataFrame:
     """Index rows with their pages, by fully decoded URL; repeated URLs are paired in the order of their positions (``pos``).
 
-    Index rows without a page go; a page without an index row is an error.
+    same: columns in which an index row and its page agree too. Where pages are missing, the order alone would give a
+    later page of the same URL to the index row of an earlier one. Index rows without a page go; a page without an index row is an error.
     """
     def numbered(df: DataFrame, n: str) -> DataFrame:
-        k = U.unquote_all(F.col(key))
+        k = F.struct(U.unquote_all(F.col(key)).alias("url"), *same) if same else U.unquote_all(F.col(key))
         return df.withColumn("_key", k).withColumn(n, F.row_number().over(Window.partitionBy("_key").orderBy("pos")))
 
     left = numbered(index, "_n").drop("pos")
     right = numbered(pages, "_n").drop(key, "pos").withColumn("_page", F.lit(True))
     out = left.withColumn("_row", F.lit(True)).join(right, ["_key", "_n"], "right")
-    ok = F.when(F.col("_row"), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("page without index row: "), F.col("_key"))).cast("boolean"))
+    ok = F.when(F.col("_row"), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("page without index row: "), F.col("_key.url" if same else "_key"))).cast("boolean"))
     return out.where(ok).drop("_key", "_n", "_row", "_page")
 
 

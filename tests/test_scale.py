@@ -4,10 +4,9 @@ import random
 from hashlib import md5
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import functions as F
+import pytest
 
-from tessera.operators import dedup
+from tessera.operators import dedup, index, pages
 
 
 def test_minima_of_many_texts_are_those_of_each(monkeypatch):
@@ -53,3 +52,11 @@ def test_signatures_are_made_once(spark):
         seen.value = 0
         f(counted).collect()
         assert seen.value == 30
+
+
+def test_repeated_urls_get_their_own_pages(spark):
+    left = spark.createDataFrame([(1, "u", 1), (2, "u", 2), (3, "%75", 3)], "page_id int, url string, pos int")
+    right = spark.createDataFrame([("u", 2, "b"), ("u", 3, "c")], "url string, pos int, body string")
+    assert sorted((r.page_id, r.body) for r in index.join_pages(left, right, same=("pos",)).collect()) == [(2, "b"), (3, "c")]
+    with pytest.raises(Exception, match="page without index row: u"):
+        index.join_pages(left, right.where("false").union(spark.createDataFrame([("u", 9, "x")], right.schema)), same=("pos",)).collect()
