@@ -37,17 +37,18 @@ def content_type_audit(records: DataFrame, tag_mime: str = "mime") -> DataFrame:
     return records.withColumns({"tag_type": said(F.col(tag_mime)), "identified_type": said(F.col("identified")), "response_type": said(M.content_type(F.lit(None).cast("string"), F.col("http_header"))), "extension": F.coalesce(M.attachment_extension(F.col("http_header")), F.lit("-"))})
 
 
-def output_documents(index: DataFrame, paragraphs: DataFrame, request: str | None = None, response: str | None = None, key: str = "url") -> DataFrame:
+def output_documents(index: DataFrame, paragraphs: DataFrame, request: str | None = None, response: str | None = None, key: str = "url", same: tuple[str, ...] = ()) -> DataFrame:
     """Documents from index rows and the paragraphs of their pages: the URL is the id, other index fields are attributes.
 
+    same: columns in which an index row and its page's paragraphs agree too, for URLs that come more than once; they are no attributes.
     request, response: columns with the headers, kept as HTTP metadata; date and content type of the response become
     attributes too. Index rows whose page has no paragraph left go.
     """
-    rest = [c for c in index.columns if c not in (key, request, response)]
+    rest = [c for c in index.columns if c not in (key, request, response, *same)]
     meta = F.map_from_arrays(F.array(*map(F.lit, rest)), F.array(*(F.col(c).cast("string") for c in rest))) if rest else F.create_map().cast("map<string,string>")
     http = [(n, c) for n, c in (("request", request), ("response", response)) if c]
     headers = F.map_from_arrays(F.array(*(F.lit(n) for n, _ in http)), F.array(*(F.trim(F.col(c)) for _, c in http))) if http else F.lit(None).cast("map<string,string>")
-    docs = index.join(paragraphs.select(key, "paragraphs"), key).where(F.size("paragraphs") > 0)
+    docs = index.join(paragraphs.select(key, *same, "paragraphs"), [key, *same]).where(F.size("paragraphs") > 0)
     docs = docs.select(F.col(key).alias("id"), F.map_filter(meta, lambda _, v: v.isNotNull()).alias("meta"), headers.alias("http_meta"), "paragraphs")
     return http_metadata(docs) if response else docs
 

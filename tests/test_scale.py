@@ -60,3 +60,10 @@ def test_repeated_urls_get_their_own_pages(spark):
     assert sorted((r.page_id, r.body) for r in index.join_pages(left, right, same=("pos",)).collect()) == [(2, "b"), (3, "c")]
     with pytest.raises(Exception, match="page without index row: u"):
         index.join_pages(left, right.where("false").union(spark.createDataFrame([("u", 9, "x")], right.schema)), same=("pos",)).collect()
+
+
+def test_repeated_urls_get_their_own_paragraphs(spark):
+    rows = spark.createDataFrame([(1, "u", "w1"), (2, "u", "w2")], "page_id int, url string, warc string")
+    texts = spark.createDataFrame([(1, "u", ["a"]), (2, "u", ["b"])], "page_id int, url string, paragraphs array<string>")
+    out = pages.output_documents(rows, texts, same=("page_id",)).collect()
+    assert sorted((r.id, r.meta["warc"], r.paragraphs) for r in out) == [("u", "w1", ["a"]), ("u", "w2", ["b"])]
