@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+#: Bytes of text, about, that become Python strings at once.
+TEXT_BYTES = 8 << 20
+
+
+def sized_slices(batch: pa.RecordBatch, most_bytes: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about so many bytes, a row at least."""
+    rows = max(1, batch.num_rows * most_bytes // max(1, batch.nbytes))
+    for lo in range(0, batch.num_rows, rows):
+        yield batch.slice(lo, rows)
+
+
 #: Signs that are neither letters, digits, underscores nor white space, three or more in a row.
 PUNCTUATION_RUN = r"[^\p{L}\p{N}_\s]{3,}"
 
@@ -81,24 +94,31 @@ def clean_tag(tag: Column) -> Column:
     return reduce(lambda c, s: F.regexp_replace(c, *s), steps, F.trim(tag))
 
 
-@F.pandas_udf(StringType())
-def _nfc(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFC")
+def _normalized(s: pa.Array, form: str) -> pa.Array:
+    """Texts in a normal form; some MB of them at a time are Python strings."""
+    one = lambda t: t if t is None else unicodedata.normalize(form, t)
+    parts = [pa.array([one(t) for t in x.column(0).to_pylist()], pa.string()) for x in sized_slices(pa.RecordBatch.from_arrays([s], ["t"]))]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+
+@F.arrow_udf(StringType())
+def _nfc(s: pa.Array) -> pa.Array:
+    return _normalized(s, "NFC")
 
 
-@F.pandas_udf(StringType())
-def _nfd(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFD")
+@F.arrow_udf(StringType())
+def _nfd(s: pa.Array) -> pa.Array:
+    return _normalized(s, "NFD")
 
 
-@F.pandas_udf(StringType())
-def _nfkc(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFKC")
+@F.arrow_udf(StringType())
+def _nfkc(s: pa.Array) -> pa.Array:
+    return _normalized(s, "NFKC")
 
 
-@F.pandas_udf(StringType())
-def _nfkd(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFKD")
+@F.arrow_udf(StringType())
+def _nfkd(s: pa.Array) -> pa.Array:
+    return _normalized(s, "NFKD")
 
 
 def normalize(text: Column, form: str = "NFC", lower: bool = False) -> Column:

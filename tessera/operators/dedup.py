@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import sized_slices
 from ..sources.storage import stored
 
 _U = np.uint64
@@ -263,17 +264,6 @@ def all_minima(texts: list[list[str]], known: _Grams) -> np.ndarray:
     return out
 
 
-#: Bytes of text, about, that become Python strings at once.
-TEXT_BYTES = 8 << 20
-
-
-def sized_slices(batch: pa.RecordBatch, most_bytes: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of about so many bytes, a row at least."""
-    rows = max(1, batch.num_rows * most_bytes // max(1, batch.nbytes))
-    for lo in range(0, batch.num_rows, rows):
-        yield batch.slice(lo, rows)
-
-
 #: A worker's n-grams by permutations and n: they outlive a task.
 _KNOWN: dict[tuple, _Grams] = {}
 

@@ -12,9 +12,14 @@ from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import sized_slices
+
+#: Bytes of pages, about, that are cut into blocks at once.
+PAGE_BYTES = 2 << 20
 BLOCK_TAGS = frozenset("address article aside blockquote body button canvas caption center col colgroup dd div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li link main meta nav noscript ol optgroup option p pre section table tbody td textarea tfoot th thead title tr ul".split())
 SKIPPED_TAGS = frozenset("script style noscript template head select textarea button svg iframe object".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -103,12 +108,15 @@ def segments(pages: DataFrame, id_col: str, html: str = "html", language: bool =
     """A row for each block: ``id_col, i, path, text, heading, link_chars``, and the page's stated ``language`` if asked for. A page without text has none."""
     kind = dict(pages.dtypes)[id_col]
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(k, *b, *([stated_language(h)] if language else [])) for k, h in zip(f["k"], f["h"]) for b in segment(h)]
-            yield pd.DataFrame(rows, columns=[id_col, "i", "path", "text", "heading", "link_chars", *(["language"] if language else [])])
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (x for batch in batches for x in sized_slices(batch, PAGE_BYTES)):
+            rows = [(n, *b, *([stated_language(h)] if language else [])) for n, h in enumerate(part.column(1).to_pylist()) for b in segment(h)]
+            if rows:
+                own, *columns = zip(*rows)
+                arrays = [pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.string()])]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(own)), *arrays], [id_col, "i", "path", "text", "heading", "link_chars", "language"][: 1 + len(arrays)])
 
-    return pages.select(F.col(id_col).alias("k"), F.col(html).alias("h")).mapInPandas(cut, f"{id_col} {kind}, {_BLOCKS}" + ", language string" * language)
+    return pages.select(F.col(id_col).alias("k"), F.col(html).alias("h")).mapInArrow(cut, f"{id_col} {kind}, {_BLOCKS}" + ", language string" * language)
 
 
 def page_language(blocks: DataFrame, id_col: str, lists: dict[str, list[str]] = STOP_WORDS) -> DataFrame:
