@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_tag, normalize
+from ..functions.text import clean_tag, normalize, sized_slices
 
 UNKNOWN = "[UNK]"
+#: Words whose pieces are kept within a batch.
+KNOWN_WORDS = 1 << 17
 
 
 def field(name: str, header: list[str]):
@@ -54,6 +59,29 @@ def add_space_after(tokens: DataFrame, form: str = "form", text: str = "text", k
     return tokens.withColumn("wsafter", F.when(last_sentence, "\\n\\n").when(ends, "\\n").otherwise(space))
 
 
+def token_runs(tokens: DataFrame, keys: tuple[str, ...], order: str, token: str, between: str = " ", rest: tuple[str, ...] = ()) -> DataFrame:
+    """``keys, order, rest, token``: tokens of equal keys that follow each other, in the rows and by number, as one string; order and rest are the first one's.
+
+    Where the tokens of a sentence stand together they are one row before anything is shuffled; wherever they stand, runs don't
+    overlap. A null token is a run of its own.
+    """
+    rows = tokens.select(*keys, F.col(order).cast("long").alias(order), *rest, token)
+    n = len(keys)
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            if x.num_rows:
+                there = x.column(x.num_columns - 1).is_valid().to_numpy(zero_copy_only=False)
+                same = (np.diff(x.column(n).to_numpy(zero_copy_only=False)) == 1) & there[1:] & there[:-1]
+                for c in x.columns[:n]:
+                    same &= pc.fill_null(pc.equal(c.slice(1), c.slice(0, len(c) - 1)), False).to_numpy(zero_copy_only=False)
+                first = np.append(0, np.flatnonzero(~same) + 1)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, x.num_rows).astype(np.int32)), x.column(x.num_columns - 1))
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(first)) for c in x.columns[:-1]), pc.binary_join(lists, between)], x.schema.names)
+
+    return rows.mapInArrow(joined, ", ".join(f"`{c}` {t}" for c, t in rows.dtypes))
+
+
 def sentence_text(tokens: DataFrame, token: str = "token", order: str = "tok") -> DataFrame:
     """``doc_id, par, sent, text``: tokens of each sentence joined by spaces."""
     return tokens.groupBy("doc_id", "par", "sent").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, token))), lambda x: x[token]), " ").alias("text"))
@@ -66,7 +94,8 @@ def export_text(tokens: DataFrame, style: str = "bert", token: str = "token", fo
     """
     t = F.col(token)
     t = normalize(t, form, lower) if form else F.lower(t) if lower else t
-    sents = sentence_text(tokens.withColumn(token, t), token)
+    runs = token_runs(tokens.withColumn(token, t), ("doc_id", "par", "sent"), "tok", token)
+    sents = sentence_text(runs.repartition("doc_id"), token)  # one shuffle for sentences, paragraphs and documents
     ordered = lambda c, *o: F.transform(F.array_sort(F.collect_list(F.struct(*o, c))), lambda x: x[c])
     if style == "bert":
         return sents.groupBy("doc_id").agg(F.array_join(ordered("text", "par", "sent"), "\n").alias("text"))
@@ -134,8 +163,8 @@ def wordpieces(df: DataFrame, vocabulary: list[str], text: str = "text", name: s
     """Adds the wordpieces of a text's words. The vocabulary, a fixed list, is broadcast; each distinct word of a batch is cut once."""
     held = df.sparkSession.sparkContext.broadcast(frozenset(vocabulary))
 
-    @F.pandas_udf("array<string>")
-    def pieces(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def pieces(texts: pa.Array) -> pa.Array:
         known: dict[str, list[str]] = {}
 
         def one(t: str | None) -> list[str] | None:
@@ -144,11 +173,15 @@ def wordpieces(df: DataFrame, vocabulary: list[str], text: str = "text", name: s
             out: list[str] = []
             for w in t.split():
                 if w not in known:
+                    if len(known) >= KNOWN_WORDS:
+                        known.clear()
                     known[w] = wordpiece(w, held.value)
                 out += known[w]
             return out
 
-        return texts.map(one)
+        kind = pa.list_(pa.string())
+        parts = [pa.array([one(t) for t in x.column(0).to_pylist()], kind) for x in sized_slices(pa.RecordBatch.from_arrays([texts], ["t"]))]
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
     return df.withColumn(name, pieces(text))
 
