@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import content, escape_xml, paragraphs
 from ..model import DOCUMENT, DOCUMENT_JSON
 from ..operators.sampling import rechunk
+from .storage import file_lines, list_files
+
+#: Characters of the documents of one batch.
+CHARS = 4 << 20
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], recursive: bool = True) -> DataFrame:
@@ -24,7 +28,7 @@ def read_jsonl(spark: SparkSession, path: str | list[str], recursive: bool = Tru
 _TAG = re.compile(r"""([\w:-]+)="([^"]*)\"""")
 
 
-def parse_tagged(text: str, name: str = "") -> Iterator[tuple[str, dict, dict, list[str]]]:
+def parse_tagged(text: str | Iterable[str], name: str = "") -> Iterator[tuple[str, dict, dict, list[str]]]:
     """(id, attributes, HTTP metadata, paragraphs) of ``<doc>`` elements; each tag has a line of its own.
 
     An element out of place is an error that names file and line.
@@ -39,7 +43,7 @@ def parse_tagged(text: str, name: str = "") -> Iterator[tuple[str, dict, dict, l
         return ValueError(f"{name}:{n}: {why}")
 
     n = 0
-    for n, line in enumerate(text.split("\n"), 1):
+    for n, line in enumerate(text.split("\n") if isinstance(text, str) else text, 1):
         tag = line.strip()
         if tag.startswith("<doc ") or tag == "<doc>":
             if attrs is not None:
@@ -73,15 +77,27 @@ def parse_tagged(text: str, name: str = "") -> Iterator[tuple[str, dict, dict, l
 
 
 def read_tagged(spark: SparkSession, path: str | list[str], recursive: bool = True) -> DataFrame:
-    """Documents of tagged files, one file a task row: plain, ``.gz`` or ``.bz2``."""
-    raw = spark.read.option("recursiveFileLookup", recursive).text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-
-    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(*d, file) for text, file in zip(f["value"], f["file"]) for d in parse_tagged(text, file)]
-            yield pd.DataFrame(rows, columns=["id", "meta", "http_meta", "paragraphs", "file"])
-
-    return raw.mapInPandas(parse, f"{DOCUMENT}, file string")
+    """Documents of tagged files: plain, ``.gz`` or ``.bz2``. A worker reads a file line by line and holds about ``CHARS`` characters."""
+    pairs = pa.map_(pa.string(), pa.string())
+    kinds = [("id", pa.string()), ("meta", pairs), ("http_meta", pairs), ("paragraphs", pa.list_(pa.string())), ("file", pa.string())]
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [[list(x.items()) for x in c] if t == pairs else c for c, (_, t) in zip(zip(*rows), kinds)]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, kinds)], [n for n, _ in kinds])
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for file in (f for b in batches for f in b.column(0).to_pylist()):
+            rows, held = [], 0
+            for d in parse_tagged(file_lines(file), file):
+                rows.append((*d, file))
+                held += 200 + sum(map(len, d[3]))
+                if held > CHARS:
+                    yield packed(rows)
+                    rows, held = [], 0
+            if rows:
+                yield packed(rows)
+
+    return list_files(spark, path, recursive).mapInArrow(parse, f"{DOCUMENT}, file string")
 
 
 def read_documents(spark: SparkSession, paths: list[str]) -> DataFrame:

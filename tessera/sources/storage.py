@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import io
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -47,7 +50,24 @@ def file_system(uri: str):
     """The Arrow file system of a URI, for workers, and the path in it. Spark's names of S3 are those that Arrow calls s3."""
     import pyarrow.fs as pafs
 
-    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri if "://" in uri else f"file://{uri}"))
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri if re.match(r"[a-zA-Z][\w+.-]*:/", uri) else f"file://{uri}"))
+
+
+def file_lines(uri: str) -> Iterator[str]:
+    """Lines of a text file, plain or compressed by its suffix, as it streams by; what follows the last newline is a line too."""
+    fs, path = file_system(uri)
+    end = "\n"
+    with fs.open_input_stream(path) as stream, io.TextIOWrapper(stream, "utf-8", "replace", "\n") as lines:
+        for line in lines:
+            yield line.removesuffix("\n")
+            end = line
+    if end.endswith("\n"):
+        yield ""
+
+
+def list_files(spark: SparkSession, path: str | list[str], recursive: bool = True) -> DataFrame:
+    """``file``: the files below a path or several, dealt to tasks by size; a worker reads them with :func:`file_lines`."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path).select(F.col("_metadata.file_path").alias("file"))
 
 
 def open_output(uri: str):

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.tokens import token_runs
+from .storage import file_lines, list_files
+
+#: Token rows of one batch.
+ROWS = 10_000
 _TOKEN = "file string, doc_id string, par_id string, par long, sent long, text string, tok long, fields array<string>"
 
 
-def parse_text(text: str, header: bool = True) -> Iterator[tuple]:
+def parse_text(text: str | Iterable[str], header: bool = True) -> Iterator[tuple]:
     """(document, paragraph id, paragraph, sentence, sentence text, token, fields): numbers from 1; paragraphs and sentences count within the document."""
     doc = par_id = raw = None
     par = sent = tok = 0
-    for line in text.split("\n"):
+    for line in text.split("\n") if isinstance(text, str) else text:
         if header:
             header = False
         elif line.startswith("# newdoc id ="):
@@ -34,19 +40,22 @@ def parse_text(text: str, header: bool = True) -> Iterator[tuple]:
 
 
 def read_tsv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """Token rows of annotated files."""
-    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    """Token rows of annotated files, which a worker reads line by line: it holds some thousand rows at a time."""
+    kinds = [("file", pa.string()), ("doc_id", pa.string()), ("par_id", pa.string()), ("par", pa.int64()), ("sent", pa.int64()), ("text", pa.string()), ("tok", pa.int64()), ("fields", pa.list_(pa.string()))]
 
-    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(file, *r) for text, file in zip(f["value"], f["file"]) for r in parse_text(text, header)]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _TOKEN.split(", ")])
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for file in (f for b in batches for f in b.column(0).to_pylist()):
+            rows = parse_text(file_lines(file), header)
+            while part := list(islice(rows, ROWS)):
+                columns = [[file] * len(part), *zip(*part)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, kinds)], [n for n, _ in kinds])
 
-    return raw.mapInPandas(parse, _TOKEN)
+    return list_files(spark, path).mapInArrow(parse, _TOKEN)
 
 
 def to_lines(tokens: DataFrame) -> DataFrame:
-    """``doc_id, value``: each document in the annotated format, without the header row."""
+    """``doc_id, value``: each document in the annotated format, without the header row. Runs of tokens are lines before they are shuffled."""
+    tokens = token_runs(tokens.withColumn("_f", F.array_join("fields", "\t")), ("doc_id", "par", "sent"), "tok", "_f", "\n", ("par_id", "text"))
     first = Window.partitionBy("doc_id").orderBy("par", "sent", "tok")
     prev_par, prev_sent = F.lag("par").over(first), F.lag("sent").over(first)
     new_sent = prev_sent.isNull() | (prev_sent != F.col("sent")) | (prev_par != F.col("par"))
@@ -55,5 +64,5 @@ def to_lines(tokens: DataFrame) -> DataFrame:
         F.when(prev_par.isNull() | (prev_par != F.col("par")), F.concat(F.lit("# newpar id = "), F.coalesce("par_id", F.lit("")), F.lit("\n"))).otherwise(""),
         F.when(new_sent & F.col("text").isNotNull(), F.concat(F.lit("# text = "), "text", F.lit("\n"))).otherwise(""),
     )
-    rows = tokens.withColumn("_l", F.concat(head, F.array_join("fields", "\t"), F.lit("\n")))
+    rows = tokens.withColumn("_l", F.concat(head, "_f", F.lit("\n")))
     return rows.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("par", "sent", "tok", "_l"))), lambda x: x["_l"]), "").alias("value"))
