@@ -117,12 +117,14 @@ def merge_ranges(ranges: DataFrame, most: int | None = None, file: str = "file",
     Gaps and islands: a range that doesn't begin where the one before ended starts an island.
     """
     order = Window.partitionBy(file).orderBy(offset, length)
-    gap = (F.coalesce(F.lag(F.col(offset) + F.col(length)).over(order), F.lit(-1)) != F.col(offset)).cast("int")
-    out = ranges.withColumn("_gap", gap).withColumn("_island", F.sum("_gap").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    gap = (F.coalesce(F.lag(F.col(offset) + F.col(length)).over(order) != F.col(offset), F.lit(True))).cast("int")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    begin = F.max(F.when(F.col("_gap") == 1, F.col("_at"))).over(so_far)  # a range's number in its island, by the same order: no second sort
+    out = ranges.withColumns({"_gap": gap, "_at": F.row_number().over(order)})
+    out = out.withColumns({"_island": F.sum("_gap").over(so_far), "_begin": begin})
     by = [file, "_island"]
     if most:
-        inside = Window.partitionBy(file, "_island").orderBy(offset, length)
-        out = out.withColumn("_part", F.floor((F.row_number().over(inside) - 1) / most))
+        out = out.withColumn("_part", F.floor((F.col("_at") - F.col("_begin")) / most))
         by.append("_part")
     return out.groupBy(*by).agg(F.min(offset).alias("offset"), F.sum(length).cast("long").alias("length"), F.count(F.lit(1)).alias("n")).select(F.col(file).alias("file"), "offset", "length", "n")
 

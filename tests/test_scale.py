@@ -1,12 +1,16 @@
 """What larger inputs ask of the operators: work done once, in small pieces, by all tasks."""
 
+import gzip
 import random
+from collections import Counter
 from hashlib import md5
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tessera.operators import dedup, index, pages
+from tessera.functions import language, text
+from tessera.operators import dedup, index, pages, tokens
 
 
 def test_minima_of_many_texts_are_those_of_each(monkeypatch):
@@ -67,3 +71,54 @@ def test_repeated_urls_get_their_own_paragraphs(spark):
     texts = spark.createDataFrame([(1, "u", ["a"]), (2, "u", ["b"])], "page_id int, url string, paragraphs array<string>")
     out = pages.output_documents(rows, texts, same=("page_id",)).collect()
     assert sorted((r.id, r.meta["warc"], r.paragraphs) for r in out) == [("u", "w1", ["a"]), ("u", "w2", ["b"])]
+
+
+def test_files_are_read_line_by_line(spark, tmp_path, monkeypatch):
+    from tessera.sources import documents, storage, tsv
+
+    monkeypatch.setattr(tsv, "ROWS", 3)
+    doc = "\n# newdoc id = {0}\n# newpar id = p\na{0}\tx\nb\tx\n\nc\tx\n"
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a b.tsv").write_text("form\theader" + "".join(doc.format(i) for i in range(50)))
+    rows = tsv.read_tsv(spark, str(tmp_path / "t")).collect()
+    assert sorted((r.doc_id, r.par, r.sent, r.tok, r.fields) for r in rows) == sorted((str(i), 1, s, t, [w, "x"]) for i in range(50) for s, t, w in ((1, 1, f"a{i}"), (1, 2, "b"), (2, 1, "c")))
+    assert list(storage.file_lines((tmp_path / "t" / "a b.tsv").as_uri()))[-1] == ""
+    (tmp_path / "d").mkdir()
+    with gzip.open(tmp_path / "d" / "a%b.xml.gz", "wt") as out:
+        out.write("".join(f'<doc url="{i}" k="v">\n<p>\nx\ny{i}\n</p>\n</doc>\n' for i in range(40)))
+    got = documents.read_tagged(spark, str(tmp_path / "d")).collect()
+    assert len(got) == 40
+    assert {(r.id, r.meta["k"], r.paragraphs[0]) for r in got} == {(str(i), "v", f"x\ny{i}") for i in range(40)}
+
+
+def test_token_runs_in_any_order(spark):
+    rows = [("d", 1, 1, t, w) for t, w in enumerate(["a", None, "b", "c", "d"], 1)] + [("d", 1, 2, 1, None), ("d", 2, 1, 1, "e")]
+    kind = "doc_id string, par int, sent int, tok int, token string"
+    for order in (rows, rows[::-1], rows[::2] + rows[1::2]):
+        df = spark.createDataFrame(order, kind).coalesce(1)
+        assert tokens.export_text(df).first().text == "a b c d\n\ne"
+        assert tokens.export_text(df, "lm").first().text == "<newdoc>\na b c d \ne"
+    assert tokens.token_runs(spark.createDataFrame(rows, kind).coalesce(1), ("doc_id", "par", "sent"), "tok", "token").count() == 5
+
+
+def test_most_frequent_as_by_sorting_all():
+    rng = random.Random(3)
+    for _ in range(50):
+        counts = Counter("".join(rng.choices("abcdefghijkl", k=2)) for _ in range(rng.randrange(1, 200)))
+        for size in (1, 5, 40, 1000):
+            assert language._most_frequent(counts, size) == sorted(counts, key=lambda g: (-counts[g], g))[:size]
+
+
+def test_ranges_are_sorted_once(spark):
+    ranges = spark.createDataFrame([("f", i * 10, 10) for i in (0, 1, 2, 5, 6, 7, 8, 9)], "file string, offset long, length long")
+    merged = index.merge_ranges(ranges, 2)
+    assert sorted(tuple(r)[1:] for r in merged.collect()) == [(0, 20, 2), (20, 10, 1), (50, 20, 2), (70, 20, 2), (90, 10, 1)]
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2  # those before, then sums over them; both in the order of offsets
+
+
+def test_workers_hold_small_parts(spark):
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 1000] * 100)], ["t"])
+    parts = list(text.sized_slices(batch, 10_000))
+    assert sum(p.num_rows for p in parts) == 100 and max(p.num_rows for p in parts) <= 10
+    assert [p.num_rows for p in text.sized_slices(batch, 1)] == [1] * 100 and list(text.sized_slices(batch.slice(0, 0))) == []
